@@ -1,0 +1,6 @@
+"""Streaming use of the cutoff operators.
+
+The reference has no streaming workload. What carries over is that the
+cutoff filter and the per-entity rollups are plain Structured Streaming
+operations; see :mod:`cohortflow.streaming.rollup`.
+"""
