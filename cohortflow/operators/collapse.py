@@ -48,15 +48,21 @@ def collapse_events(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
     * ``clicks_sum``  - sum after exact dedup (A7 + A13)
     * ``clicks_max``  - max (dedup does not change it)
     * ``clicks_mean`` - mean of the raw rows (A14)
-    * ``raw_rows`` / ``dedup_rows`` - row counts under both policies
+    * ``clicks_raw``  - plain sum of the raw rows
+    * ``raw_rows`` / ``dedup_rows`` - row counts under both policies (for a
+      log of exactly (key, measure), rows left after exact dedup = distinct
+      measure values, NULL counted once = ``distinct_values``)
     """
     m = F.col(spec.measure)
+    distinct_values = F.count_distinct(m) + F.max(m.isNull().cast("long"))
     return log.groupBy(*spec.event_key).agg(
         F.sum_distinct(m).alias("clicks_sum"),
         F.max(m).alias("clicks_max"),
         F.avg(m).alias("clicks_mean"),
+        F.sum(m).alias("clicks_raw"),
         F.count(F.lit(1)).alias("raw_rows"),
-        F.count_distinct(m).alias("dedup_rows"),
+        distinct_values.alias("dedup_rows"),
+        distinct_values.alias("distinct_values"),
     )
 
 

@@ -33,10 +33,15 @@ E = ENTITY_KEY
 # activity type lists (schema-shaping; bounded by the dimension size)
 
 
+def activity_type_names(vle: DataFrame, category: str = "activity_type") -> DataFrame:
+    """Distinct clean names of the dimension's categories."""
+    return vle.where(F.col(category).isNotNull()).select(clean_name(category).alias("activity_type")).distinct()
+
+
 def dimension_activity_types(vle: DataFrame, category: str = "activity_type") -> list[str]:
-    """Sorted distinct clean names of the dimension's categories."""
-    rows = vle.where(F.col(category).isNotNull()).select(clean_name(category).alias("t")).distinct().collect()
-    return sorted(r.t for r in rows)
+    """Sorted A24 names on the driver: a schema-shaping list, bounded by the
+    dimension size."""
+    return sorted(r.activity_type for r in activity_type_names(vle, category).collect())
 
 
 def observed_activity_types(

@@ -31,3 +31,119 @@ def _r6(df: DataFrame) -> DataFrame:
 @query
 def click_features_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(stages.click_features_mean(course_tables(spark, sf)))
+
+
+# ---------------------------------------------------------------- audit
+from cohortflow.operators import audit, collapse  # noqa: E402
+from cohortflow.operators.features import activity_type_names  # noqa: E402
+
+
+@query
+def table_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.table_shapes(course_tables(spark, sf))
+
+
+@query
+def missing_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.missing_profile(course_tables(spark, sf)))
+
+
+@query
+def missing_top10(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.missing_top(course_tables(spark, sf), 10))
+
+
+@query
+def key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.key_uniqueness(course_tables(spark, sf))
+
+
+@query
+def exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.exact_duplicates(course_tables(spark, sf))
+
+
+@query
+def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return collapse.drop_exact_duplicates(course_tables(spark, sf)["student_vle"])
+
+
+@query
+def dup_group_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dup_group_sizes(course_tables(spark, sf)["student_vle"])
+
+
+@query
+def dup_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dup_conflicts(course_tables(spark, sf)["student_vle"])
+
+
+@query
+def dup_strategy_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dup_strategy_totals(course_tables(spark, sf)["student_vle"])
+
+
+@query
+def dup_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.dup_summary(course_tables(spark, sf)["student_vle"])
+
+
+@query
+def referential_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.referential_integrity(course_tables(spark, sf))
+
+
+@query
+def column_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.column_profile(course_tables(spark, sf)))
+
+
+@query
+def range_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.range_flags(course_tables(spark, sf))
+
+
+@query
+def audit_risks(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return audit.audit_risks(
+        audit.key_uniqueness(t), audit.dup_summary(t["student_vle"]), audit.referential_integrity(t), audit.range_flags(t)
+    )
+
+
+@query
+def target_overall(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.target_overall(course_tables(spark, sf)["student_info"]))
+
+
+@query
+def target_by_pair(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.target_within(course_tables(spark, sf)["student_info"], ["code_module", "code_presentation"]))
+
+
+@query
+def target_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.target_grouping_sets(course_tables(spark, sf)["student_info"]))
+
+
+@query
+def collapse_sum_max(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return collapse.collapse_sum_max(t["student_vle"], t["vle"])
+
+
+@query
+def collapse_mean(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return _r6(collapse.collapse_mean(t["student_vle"], t["vle"]))
+
+
+@query
+def activity_types(spark: SparkSession, sf: str) -> DataFrame:
+    return activity_type_names(course_tables(spark, sf)["vle"])
+
+
+@query
+def base_table(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return stages.build_base(t["student_info"], t["student_registration"])

@@ -44,3 +44,262 @@ from student_info s cross join cut c
 left join r on r.cutoff = c.cutoff and r.code_module = s.code_module
            and r.code_presentation = s.code_presentation and r.id_student = s.id_student
 """
+
+ALL_VIEWS = ("courses", "assessments", "vle", "student_info", "student_registration", "student_assessment", "student_vle")
+K = "code_module, code_presentation, id_student, id_site, date"
+_COLS = {
+    "courses": 3,
+    "assessments": 6,
+    "vle": 4,
+    "student_info": 12,
+    "student_registration": 5,
+    "student_assessment": 5,
+    "student_vle": 6,
+}
+_KEYS = {
+    "courses": "code_module, code_presentation",
+    "assessments": "id_assessment",
+    "vle": "id_site",
+    "student_info": E,
+    "student_registration": E,
+    "student_assessment": "id_assessment, id_student",
+    "student_vle": K,
+}
+
+ORACLE["table_shapes"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
+    f"select '{t}' as \"table\", count(*)::bigint as rows, {n}::bigint as columns from {t}" for t, n in _COLS.items()
+)
+
+_MISSING_LONG = ",\n".join(
+    f"""m_{t} as (select * from (unpivot (select count(*) as __rows, count(*) - count(columns(*)) from {t})
+          on columns(* exclude (__rows)) into name "column" value missing_count))"""
+    for t in _COLS
+)
+_MISSING_ALL = "ma as (" + "\nunion all\n".join(
+    f"select '{t}' as \"table\", \"column\", missing_count::bigint as missing_count, __rows as rows from m_{t}"
+    for t in _COLS
+) + ")"
+
+ORACLE["missing_profile"] = _with(*ALL_VIEWS, extra=_MISSING_LONG + ",\n" + _MISSING_ALL) + """
+select "table", "column", missing_count, round(missing_count / rows, 6) as missing_ratio
+from ma where missing_count > 0
+"""
+
+ORACLE["missing_top10"] = _with(*ALL_VIEWS, extra=_MISSING_LONG + ",\n" + _MISSING_ALL) + """
+select "table", rank, "column", missing_ratio from (
+  select "table", "column", round(missing_count / rows, 6) as missing_ratio,
+         row_number() over (partition by "table" order by missing_count / rows desc, "column") as rank
+  from ma) where rank <= 10
+"""
+
+ORACLE["key_uniqueness"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
+    f"""select '{t}' as "table", '{k}' as key, sum(n)::bigint as rows, sum(n - 1)::bigint as duplicated_rows_by_key,
+       count(*) filter (where n > 1)::bigint as duplicated_key_groups,
+       coalesce(sum(n) filter (where n > 1), 0)::bigint as duplicated_rows_full
+from (select count(*) as n from {t} group by {k})"""
+    for t, k in _KEYS.items()
+)
+
+ORACLE["exact_duplicates"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
+    f"""select '{t}' as "table", (select count(*) from {t})::bigint as rows,
+       (select count(*) from (select distinct * from {t}))::bigint as distinct_rows,
+       ((select count(*) from {t}) - (select count(*) from (select distinct * from {t})))::bigint as exact_duplicate_rows"""
+    for t in _COLS
+)
+
+ORACLE["distinct_rows"] = _with("student_vle") + "select distinct * from student_vle"
+
+_DEDUP_GROUPS = f"""g as (select {K}, count(*) as n,
+         count(distinct sum_click) + max(case when sum_click is null then 1 else 0 end) as nv
+       from (select distinct * from student_vle) d group by {K})"""
+
+ORACLE["dup_group_sizes"] = _with("student_vle", extra=_DEDUP_GROUPS) + """
+select n::bigint as group_size, count(*)::bigint as group_count from g where n > 1 group by n
+"""
+
+ORACLE["dup_conflicts"] = _with("student_vle", extra=_DEDUP_GROUPS) + f"""
+select {K}, n::bigint as group_size, nv::bigint as distinct_values from g where n > 1 and nv > 1
+"""
+
+ORACLE["dup_strategy_totals"] = _with("student_vle") + f"""
+select (select sum(sum_click) from student_vle)::bigint as raw_total_clicks,
+       (select sum(sum_click) from (select distinct * from student_vle))::bigint as exact_dedup_total_clicks,
+       (select sum(s) from (select sum(sum_click) as s from (select distinct * from student_vle) group by {K}))::bigint
+         as key_sum_total_clicks,
+       (select sum(m) from (select max(sum_click) as m from (select distinct * from student_vle) group by {K}))::bigint
+         as key_max_total_clicks
+"""
+
+ORACLE["dup_summary"] = _with(
+    "student_vle",
+    extra=_DEDUP_GROUPS
+    + f""",
+r as (select {K}, count(*) as n from student_vle group by {K}),
+v as (select
+  (select count(*) from student_vle) as total_rows,
+  (select count(*) from student_vle) - (select count(*) from (select distinct * from student_vle)) as exact_duplicate_rows,
+  (select sum(n - 1) from r) as key_duplicate_rows,
+  (select count(*) from (select distinct * from student_vle)) as rows_after_exact_duplicate_removal,
+  (select sum(n - 1) from g) as remaining_key_duplicate_rows_after_exact_removal,
+  (select count(*) from g where n > 1) as duplicated_key_groups_after_exact_removal,
+  (select count(*) from g where nv > 1) as all_key_groups_with_different_sum_click_after_exact_removal,
+  (select count(*) from g where n > 1 and nv > 1) as duplicated_key_groups_with_different_sum_click_after_exact_removal,
+  (select sum(sum_click) from student_vle) as raw_total_clicks,
+  (select sum(sum_click) from (select distinct * from student_vle)) as total_clicks_after_exact_duplicate_removal,
+  (select sum(s) from (select sum(sum_click) as s from (select distinct * from student_vle) group by {K}))
+     as total_clicks_after_key_aggregation_sum,
+  (select sum(m) from (select max(sum_click) as m from (select distinct * from student_vle) group by {K}))
+     as total_clicks_after_key_aggregation_max)""",
+) + """
+select row_number() over ()::bigint as position, metric, value::bigint as value from (
+  unpivot v on total_rows, exact_duplicate_rows, key_duplicate_rows, rows_after_exact_duplicate_removal,
+     remaining_key_duplicate_rows_after_exact_removal, duplicated_key_groups_after_exact_removal,
+     all_key_groups_with_different_sum_click_after_exact_removal,
+     duplicated_key_groups_with_different_sum_click_after_exact_removal, raw_total_clicks,
+     total_clicks_after_exact_duplicate_removal, total_clicks_after_key_aggregation_sum,
+     total_clicks_after_key_aggregation_max
+  into name metric value value)
+"""
+
+
+def _ref(name: str, left: str, right: str, cols: list[str]) -> str:
+    on = " and ".join(f"l.{c} is not distinct from r.{c}" for c in cols)
+    sel = ", ".join(cols)
+    return f"""select '{name}' as "check", '{", ".join(cols)}' as key,
+       count(*) filter (where l.m is not null and r.m is not null)::bigint as both,
+       count(*) filter (where r.m is null)::bigint as left_only,
+       count(*) filter (where l.m is null)::bigint as right_only
+from (select distinct {sel}, 1 as m from {left}) l full outer join (select distinct {sel}, 1 as m from {right}) r on {on}"""
+
+
+_EK = ["code_module", "code_presentation", "id_student"]
+ORACLE["referential_integrity"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
+    [
+        _ref("student_info_to_student_registration", "student_info", "student_registration", _EK),
+        _ref("student_vle_to_student_info", "student_vle", "student_info", _EK),
+        _ref("student_assessment_to_assessments", "student_assessment", "assessments", ["id_assessment"]),
+        _ref("student_vle_to_vle", "student_vle", "vle", ["id_site"]),
+    ]
+)
+
+_RANGE = [
+    ("student_registration", "date_registration"),
+    ("student_registration", "date_unregistration"),
+    ("student_assessment", "date_submitted"),
+    ("student_assessment", "score"),
+    ("student_vle", "date"),
+    ("student_vle", "sum_click"),
+    ("assessments", "date"),
+    ("assessments", "weight"),
+]
+
+ORACLE["column_profile"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
+    f"""select '{t}' as "table", '{c}' as "column", round(count(x)::double, 6) as count, round(avg(x), 6) as mean,
+       round(stddev_samp(x), 6) as std, round(min(x), 6) as min,
+       round(quantile_cont(x, 0.01), 6) as p1, round(quantile_cont(x, 0.05), 6) as p5,
+       round(quantile_cont(x, 0.25), 6) as p25, round(quantile_cont(x, 0.5), 6) as p50,
+       round(quantile_cont(x, 0.75), 6) as p75, round(quantile_cont(x, 0.95), 6) as p95,
+       round(quantile_cont(x, 0.99), 6) as p99, round(max(x), 6) as max
+from (select try_cast({c} as double) as x from {t})"""
+    for t, c in _RANGE
+)
+
+
+def _rules(t: str, c: str) -> list[tuple[str, str]]:
+    out = []
+    if c in ("score", "weight"):
+        out.append(("outside expected 0-100 range", f"{c} < 0 or {c} > 100"))
+    if c in ("date_registration", "date_unregistration", "date_submitted", "date"):
+        out.append(("date offset less than -365", f"{c} < -365"))
+    if c == "sum_click":
+        out.append(("negative click count", f"{c} < 0"))
+    return out
+
+
+_FLAGS = "fl as (" + "\nunion all\n".join(
+    f"""select '{t}' as "table", '{c}' as "column", '{issue}' as issue, count(*) filter (where {cond})::bigint as count from {t}"""
+    for t, c in _RANGE
+    for issue, cond in _rules(t, c)
+) + ")"
+
+ORACLE["range_flags"] = _with(*ALL_VIEWS, extra=_FLAGS) + "select * from fl where count > 0"
+
+ORACLE["audit_risks"] = _with(
+    *ALL_VIEWS,
+    extra=_FLAGS
+    + ",\n"
+    + _DEDUP_GROUPS
+    + ",\nku as ("
+    + "\nunion all\n".join(
+        f"select sum(n - 1) as d from (select count(*) as n from {t} group by {k})" for t, k in _KEYS.items()
+    )
+    + "),\nri as ("
+    + ORACLE["referential_integrity"].split("\n", 0)[0][ORACLE["referential_integrity"].index("select '"):]
+    + ")",
+) + """
+select 'key_not_unique' as rule, (select max(d) > 0 from ku) as triggered
+union all select 'vle_key_duplicates_after_exact_removal', (select coalesce(sum(n - 1), 0) > 0 from g)
+union all select 'vle_duplicate_groups_with_different_clicks', (select count(*) > 0 from g where n > 1 and nv > 1)
+union all select 'referential_orphans', (select sum(left_only + right_only) > 0 from ri)
+union all select 'range_rule_violations', (select count(*) > 0 from fl where count > 0)
+"""
+
+ORACLE["target_overall"] = _with("student_info") + """
+select final_result, count(*)::bigint as count, round(count(*) / sum(count(*)) over (), 6) as ratio
+from student_info group by final_result
+"""
+
+ORACLE["target_by_pair"] = _with("student_info") + """
+select code_module, code_presentation, final_result, count(*)::bigint as count,
+       round(count(*) / sum(count(*)) over (partition by code_module, code_presentation), 6) as ratio_within_group
+from student_info group by code_module, code_presentation, final_result
+"""
+
+ORACLE["target_grouping_sets"] = _with("student_info") + """
+select 'overall' as grouping, null::varchar as code_module, null::varchar as code_presentation, final_result,
+       count(*)::bigint as count, round(count(*) / sum(count(*)) over (), 6) as ratio_within_group
+from student_info group by final_result
+union all
+select 'by_module', code_module, null, final_result, count(*)::bigint,
+       round(count(*) / sum(count(*)) over (partition by code_module), 6)
+from student_info group by code_module, final_result
+union all
+select 'by_presentation', null, code_presentation, final_result, count(*)::bigint,
+       round(count(*) / sum(count(*)) over (partition by code_presentation), 6)
+from student_info group by code_presentation, final_result
+union all
+select 'by_module_presentation', code_module, code_presentation, final_result, count(*)::bigint,
+       round(count(*) / sum(count(*)) over (partition by code_module, code_presentation), 6)
+from student_info group by code_module, code_presentation, final_result
+"""
+
+ORACLE["collapse_sum_max"] = _with("student_vle", "vle") + f"""
+select d.code_module, d.code_presentation, d.id_student, d.id_site, d.date,
+       coalesce(v.activity_type, 'unknown_activity_type') as activity_type,
+       sum(d.sum_click)::bigint as sum_click_sum_strategy, max(d.sum_click)::bigint as sum_click_max_strategy
+from (select distinct * from student_vle) d left join vle v on d.id_site = v.id_site
+group by d.code_module, d.code_presentation, d.id_student, d.id_site, d.date, v.activity_type
+"""
+
+ORACLE["collapse_mean"] = _with("student_vle", "vle") + f"""
+select s.code_module, s.code_presentation, s.id_student, s.id_site, s.date,
+       coalesce(translate(lower(trim(v.activity_type)), ' -/', '___'), 'unknown_activity_type') as activity_type,
+       round(avg(s.sum_click), 6) as sum_click_mean_strategy
+from student_vle s left join vle v on s.id_site = v.id_site
+group by s.code_module, s.code_presentation, s.id_student, s.id_site, s.date, v.activity_type
+"""
+
+ORACLE["activity_types"] = _with("vle") + """
+select distinct translate(lower(trim(activity_type)), ' -/', '___') as activity_type from vle where activity_type is not null
+"""
+
+ORACLE["base_table"] = _with("student_info", "student_registration") + """
+select i.code_module, i.code_presentation, i.id_student, gender, region, highest_education, imd_band, age_band,
+       num_of_prev_attempts, studied_credits, disability, final_result,
+       (final_result = 'Withdrawn')::bigint as target_withdrawn,
+       r.date_registration,
+       case when r.date_registration is null then null else (r.date_registration <= 0)::bigint end
+         as is_registered_before_start
+from student_info i left join student_registration r
+  on i.code_module = r.code_module and i.code_presentation = r.code_presentation and i.id_student = r.id_student
+"""
