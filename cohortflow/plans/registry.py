@@ -147,3 +147,65 @@ def activity_types(spark: SparkSession, sf: str) -> DataFrame:
 def base_table(spark: SparkSession, sf: str) -> DataFrame:
     t = course_tables(spark, sf)
     return stages.build_base(t["student_info"], t["student_registration"])
+
+
+# ---------------------------------------------------------------- feature stages
+from cohortflow.operators import features as feat  # noqa: E402
+
+_E = ["code_module", "code_presentation", "id_student"]
+
+
+@query
+def click_features_sum_max(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    r = feat.click_rollup(t["student_vle"], t["vle"])
+    return _r6(r.select("cutoff", "cutoff_day", *_E, *feat.STAGE3_CLICK_COLUMNS))
+
+
+@query
+def activity_pivot_observed(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    observed = feat.observed_activity_types(t["student_vle"], t["vle"])
+    types = sorted({x for ts in observed.values() for x in ts})
+    r = feat.click_rollup(t["student_vle"], t["vle"], stage3_types=types)
+    return r.select("cutoff", *_E, *feat.stage3_pivot_columns(types))
+
+
+@query
+def activity_pivot_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    types = feat.dimension_activity_types(t["vle"])
+    r = feat.click_rollup(t["student_vle"], t["vle"], baseline_types=types)
+    return _r6(r.select("cutoff", *_E, *feat.baseline_pivot_columns(types)))
+
+
+@query
+def assessment_features(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return _r6(feat.stage3_assessment_block(feat.assessment_rollup(t["student_assessment"], t["assessments"])))
+
+
+@query
+def assessment_features_clean(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return _r6(feat.baseline_assessment_block(feat.assessment_rollup(t["student_assessment"], t["assessments"])))
+
+
+@query
+def features_stage3(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(stages.stage3_features(course_tables(spark, sf)))
+
+
+@query
+def cohort_stage4(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(stages.cohort_stage4(course_tables(spark, sf)))
+
+
+@query
+def already_withdrawn(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(stages.withdrawn_stage4(course_tables(spark, sf)))
+
+
+@query
+def baseline_stage5(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(stages.baseline_stage5(course_tables(spark, sf)))

@@ -303,3 +303,193 @@ select i.code_module, i.code_presentation, i.id_student, gender, region, highest
 from student_info i left join student_registration r
   on i.code_module = r.code_module and i.code_presentation = r.code_presentation and i.id_student = r.id_student
 """
+
+# ---------------------------------------------------------------- feature stages
+_FEAT_VIEWS = ("student_info", "student_registration", "student_vle", "vle", "student_assessment", "assessments")
+_ON_E = "x.code_module = y.code_module and x.code_presentation = y.code_presentation and x.id_student = y.id_student"
+_CLEAN = "translate(lower(trim({c})), ' -/', '___')"
+
+_CK_CTES = f"""{CUT},
+vt as (select id_site, {_CLEAN.format(c='activity_type')} as t from vle),
+kd as (select {K}, sum(sum_click) as s, max(sum_click) as mx from (select distinct * from student_vle) group by {K}),
+km as (select {K}, avg(sum_click) as m from student_vle group by {K}),
+kk as (select kd.*, km.m, coalesce(vt.t, 'unknown_activity_type') as t
+       from kd join km using ({K}) left join vt using (id_site)),
+ck as (select c.cutoff, c.cutoff_day, kk.* from kk join cut c on kk.date <= c.cutoff_day),
+cr as (select cutoff, cutoff_day, {E}, sum(s) as ts, sum(mx) as tm, sum(m) as tmean,
+              count(distinct date) as days, count(distinct id_site) as sites, min(date) as f, max(date) as l
+       from ck group by cutoff, cutoff_day, {E})"""
+
+
+def _pivot_source(select: str) -> str:
+    """Self-contained subquery for a dynamic PIVOT (its value scan cannot
+    see outer CTEs)."""
+    return "(" + _with("student_info", "student_vle", "vle", extra=_CK_CTES) + select + ")"
+
+
+_P3_SRC = _pivot_source(f"""select cutoff, {E}, 'clicks_activity_' || t || '_sum_strategy' as name, s as v from ck
+              union all select cutoff, {E}, 'clicks_activity_' || t || '_max_strategy', mx from ck""")
+_P5_SRC = _pivot_source(f"""select cutoff, {E}, 'clicks_activity_' || t || '_until_cutoff_mean_strategy' as name, m as v
+              from ck where t in (select t from vt where t is not null)
+              union all
+              select cr.cutoff, cr.code_module, cr.code_presentation, cr.id_student,
+                     'clicks_activity_' || d.t || '_until_cutoff_mean_strategy', 0.0
+              from cr, (select distinct t from vt where t is not null) d""")
+
+_BASE_CTE = """base as (select i.code_module, i.code_presentation, i.id_student, gender, region, highest_education, imd_band,
+                age_band, num_of_prev_attempts, studied_credits, disability, final_result,
+                (final_result = 'Withdrawn')::bigint as target_withdrawn, r.date_registration,
+                case when r.date_registration is null then null else (r.date_registration <= 0)::bigint end
+                  as is_registered_before_start
+         from student_info i left join student_registration r
+           on i.code_module = r.code_module and i.code_presentation = r.code_presentation and i.id_student = r.id_student)"""
+
+_FEAT_CTES = _CK_CTES + f""",
+{_BASE_CTE},
+p3 as (pivot {_P3_SRC} on name using sum(v) group by cutoff, {E}),
+p5 as (pivot {_P5_SRC} on name using sum(v) group by cutoff, {E}),
+sj as (select s.id_assessment, s.id_student, s.date_submitted, s.score, a.code_module, a.code_presentation,
+              a.date as due, a.weight, a.id_assessment is not null as matched
+       from student_assessment s left join assessments a on s.id_assessment = a.id_assessment),
+sc as (select c.cutoff, sj.* from sj join cut c on sj.date_submitted <= c.cutoff_day),
+ar as (select cutoff, {E}, count(id_assessment) as cnt, avg(score) as mean_s, min(score) as min_s, max(score) as max_s,
+              coalesce(sum(case when due is not null then (date_submitted > due)::bigint end), 0) as late,
+              count(*) filter (where due is null) as missing_due, count(score) as scored,
+              case when coalesce(sum(case when score is not null then weight end), 0) > 0
+                   then sum(score * weight) / sum(case when score is not null then weight end) end as weighted
+       from sc group by cutoff, {E}),
+ac as (select cutoff, {E}, count(id_assessment) as cnt, avg(score) as mean_s, min(score) as min_s, max(score) as max_s,
+              sum(coalesce((date_submitted > due)::bigint, 0)) as late,
+              sum(coalesce((date_submitted <= due)::bigint, 0)) as on_time,
+              avg(due - date_submitted) as avg_before_due, count(score) as scored,
+              case when coalesce(sum(case when score is not null then weight end), 0) > 0
+                   then sum(score * weight) / sum(case when score is not null then weight end) end as weighted
+       from sc where not (matched and due is null) group by cutoff, {E}),
+s3 as (select c.cutoff, c.cutoff_day, b.*,
+              coalesce(cr.ts, 0)::bigint as total_click_until_cutoff_sum_strategy,
+              coalesce(cr.tm, 0)::bigint as total_click_until_cutoff_max_strategy,
+              coalesce(cr.days, 0)::bigint as active_days_until_cutoff,
+              coalesce(cr.sites, 0)::bigint as used_site_count_until_cutoff,
+              cr.f as first_activity_date_until_cutoff, cr.l as last_activity_date_until_cutoff,
+              round(cr.ts / cr.days, 6) as avg_click_per_active_day_until_cutoff_sum_strategy,
+              round(cr.tm / cr.days, 6) as avg_click_per_active_day_until_cutoff_max_strategy,
+              c.cutoff_day - cr.l as days_since_last_activity_at_cutoff,
+              coalesce(columns(lambda n: n like 'clicks_activity_%_strategy'), 0)::bigint,
+              coalesce(ar.cnt, 0)::bigint as assessment_count_until_cutoff,
+              round(ar.mean_s, 6) as mean_score_until_cutoff, round(ar.min_s, 6) as min_score_until_cutoff,
+              round(ar.max_s, 6) as max_score_until_cutoff,
+              coalesce(ar.late, 0)::bigint as submitted_late_count_until_cutoff,
+              coalesce(ar.missing_due, 0)::bigint as assessment_rows_missing_due_date_until_cutoff,
+              coalesce(ar.scored, 0)::bigint as scored_assessment_count_until_cutoff,
+              round(ar.weighted, 6) as weighted_score_until_cutoff
+       from base b cross join cut c
+       left join cr on cr.cutoff = c.cutoff and cr.code_module = b.code_module
+                   and cr.code_presentation = b.code_presentation and cr.id_student = b.id_student
+       left join p3 on p3.cutoff = c.cutoff and p3.code_module = b.code_module
+                   and p3.code_presentation = b.code_presentation and p3.id_student = b.id_student
+       left join ar on ar.cutoff = c.cutoff and ar.code_module = b.code_module
+                   and ar.code_presentation = b.code_presentation and ar.id_student = b.id_student),
+unreg as (select c.cutoff, r.code_module, r.code_presentation, r.id_student
+          from student_registration r join cut c on r.date_unregistration <= c.cutoff_day)"""
+
+_FEAT_HEAD = _with(*_FEAT_VIEWS, extra=_FEAT_CTES)
+
+ORACLE["click_features_sum_max"] = _FEAT_HEAD + f"""
+select cutoff, cutoff_day, {E}, ts::bigint as total_click_until_cutoff_sum_strategy,
+       tm::bigint as total_click_until_cutoff_max_strategy, days::bigint as active_days_until_cutoff,
+       sites::bigint as used_site_count_until_cutoff, f as first_activity_date_until_cutoff,
+       l as last_activity_date_until_cutoff,
+       round(ts / days, 6) as avg_click_per_active_day_until_cutoff_sum_strategy,
+       round(tm / days, 6) as avg_click_per_active_day_until_cutoff_max_strategy,
+       cutoff_day - l as days_since_last_activity_at_cutoff
+from cr
+"""
+
+ORACLE["activity_pivot_observed"] = _FEAT_HEAD + f"""
+select cutoff, {E}, coalesce(columns(lambda n: n like 'clicks_activity_%'), 0)::bigint from p3
+"""
+
+ORACLE["activity_pivot_fixed"] = _FEAT_HEAD + f"""
+select cutoff, {E}, round(coalesce(columns(lambda n: n like 'clicks_activity_%'), 0), 6) from p5
+"""
+
+ORACLE["assessment_features"] = _FEAT_HEAD + f"""
+select cutoff, {E}, cnt::bigint as assessment_count_until_cutoff, round(mean_s, 6) as mean_score_until_cutoff,
+       round(min_s, 6) as min_score_until_cutoff, round(max_s, 6) as max_score_until_cutoff,
+       late::bigint as submitted_late_count_until_cutoff,
+       missing_due::bigint as assessment_rows_missing_due_date_until_cutoff,
+       scored::bigint as scored_assessment_count_until_cutoff, round(weighted, 6) as weighted_score_until_cutoff
+from ar
+"""
+
+ORACLE["assessment_features_clean"] = _FEAT_HEAD + f"""
+select cutoff, {E}, cnt::bigint as assessment_count_until_cutoff, round(mean_s, 6) as mean_score_until_cutoff,
+       round(min_s, 6) as min_score_until_cutoff, round(max_s, 6) as max_score_until_cutoff,
+       late::bigint as submitted_late_count_until_cutoff, on_time::bigint as on_time_submission_count_until_cutoff,
+       round(avg_before_due, 6) as avg_days_before_due_until_cutoff,
+       0::bigint as assessment_rows_missing_due_date_until_cutoff,
+       scored::bigint as scored_assessment_count_until_cutoff, round(weighted, 6) as weighted_score_until_cutoff
+from ac
+"""
+
+ORACLE["features_stage3"] = _FEAT_HEAD + "select * from s3"
+
+ORACLE["cohort_stage4"] = _FEAT_HEAD + f"""
+select * from s3 x where not exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E})
+"""
+
+ORACLE["already_withdrawn"] = _FEAT_HEAD + f"""
+select * from s3 x where exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E})
+"""
+
+ORACLE["baseline_stage5"] = _FEAT_HEAD + f""",
+coh as (select c.cutoff, c.cutoff_day, b.* from base b cross join cut c
+        where not exists (select 1 from unreg u where u.cutoff = c.cutoff and u.code_module = b.code_module
+                            and u.code_presentation = b.code_presentation and u.id_student = b.id_student)),
+j as (select coh.*, cr.tmean, cr.days, cr.sites, cr.f, cr.l, p5.* exclude (cutoff, code_module, code_presentation, id_student),
+             ac.cnt, ac.mean_s, ac.min_s, ac.max_s, ac.late, ac.on_time, ac.avg_before_due, ac.scored, ac.weighted,
+             ac.cutoff is not null as has_ac
+      from coh
+      left join cr on cr.cutoff = coh.cutoff and cr.code_module = coh.code_module
+                  and cr.code_presentation = coh.code_presentation and cr.id_student = coh.id_student
+      left join p5 on p5.cutoff = coh.cutoff and p5.code_module = coh.code_module
+                  and p5.code_presentation = coh.code_presentation and p5.id_student = coh.id_student
+      left join ac on ac.cutoff = coh.cutoff and ac.code_module = coh.code_module
+                  and ac.code_presentation = coh.code_presentation and ac.id_student = coh.id_student)
+select cutoff, cutoff_day, {E}, gender, region, highest_education, coalesce(imd_band, 'Unknown') as imd_band,
+       age_band, num_of_prev_attempts, studied_credits, disability, final_result, target_withdrawn,
+       coalesce(date_registration, 0) as date_registration,
+       coalesce(is_registered_before_start, 0)::bigint as is_registered_before_start,
+       round(coalesce(tmean, 0), 6) as total_click_until_cutoff_mean_strategy,
+       coalesce(days, 0)::bigint as active_days_until_cutoff,
+       coalesce(sites, 0)::bigint as used_site_count_until_cutoff,
+       coalesce(f, 0) as first_activity_date_until_cutoff, coalesce(l, 0) as last_activity_date_until_cutoff,
+       round(coalesce(tmean / nullif(days, 0), 0), 6) as avg_click_per_active_day_until_cutoff_mean_strategy,
+       coalesce(cutoff_day - l, 0) as days_since_last_activity_at_cutoff,
+       round(coalesce(columns(lambda n: n like 'clicks_activity_%'), 0), 6),
+       coalesce(cnt, 0)::bigint as assessment_count_until_cutoff,
+       round(coalesce(mean_s, 0), 6) as mean_score_until_cutoff,
+       round(coalesce(min_s, 0), 6) as min_score_until_cutoff,
+       round(coalesce(max_s, 0), 6) as max_score_until_cutoff,
+       coalesce(late, 0)::bigint as submitted_late_count_until_cutoff,
+       coalesce(on_time, 0)::bigint as on_time_submission_count_until_cutoff,
+       round(coalesce(avg_before_due, 0), 6) as avg_days_before_due_until_cutoff,
+       0::bigint as assessment_rows_missing_due_date_until_cutoff,
+       coalesce(scored, 0)::bigint as scored_assessment_count_until_cutoff,
+       round(coalesce(weighted, 0), 6) as weighted_score_until_cutoff,
+       coalesce(final_result in ('Withdrawn', 'Fail'), false)::bigint as target_at_risk,
+       coalesce(num_of_prev_attempts > 0, false)::bigint as is_retake,
+       (imd_band is null)::bigint as imd_band_missing,
+       (date_registration is null)::bigint as date_registration_missing,
+       (is_registered_before_start is null)::bigint as is_registered_before_start_missing,
+       (mean_s is null)::bigint as mean_score_until_cutoff_missing,
+       (min_s is null)::bigint as min_score_until_cutoff_missing,
+       (max_s is null)::bigint as max_score_until_cutoff_missing,
+       (weighted is null)::bigint as weighted_score_until_cutoff_missing,
+       (scored is null)::bigint as scored_assessment_count_until_cutoff_missing,
+       (avg_before_due is null)::bigint as avg_days_before_due_until_cutoff_missing,
+       (f is null)::bigint as first_activity_date_until_cutoff_missing,
+       (l is null)::bigint as last_activity_date_until_cutoff_missing,
+       (l is null)::bigint as days_since_last_activity_at_cutoff_missing
+from j
+"""
