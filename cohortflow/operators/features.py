@@ -38,10 +38,22 @@ def activity_type_names(vle: DataFrame, category: str = "activity_type") -> Data
     return vle.where(F.col(category).isNotNull()).select(clean_name(category).alias("activity_type")).distinct()
 
 
+_TYPES: dict[tuple, object] = {}
+
+
+def _memo(key: tuple, compute):
+    """Schema-shaping lists are data-dependent; remember them per plan."""
+    if key not in _TYPES:
+        _TYPES[key] = compute()
+    return _TYPES[key]
+
+
 def dimension_activity_types(vle: DataFrame, category: str = "activity_type") -> list[str]:
     """Sorted A24 names on the driver: a schema-shaping list, bounded by the
     dimension size."""
-    return sorted(r.activity_type for r in activity_type_names(vle, category).collect())
+    names = activity_type_names(vle, category)
+    key = ("dim", id(vle.sparkSession._jsparkSession), names.semanticHash())
+    return list(_memo(key, lambda: sorted(r.activity_type for r in names.collect())))
 
 
 def observed_activity_types(
@@ -52,8 +64,9 @@ def observed_activity_types(
     Reads two columns of the log and keeps the first day per item (partial
     aggregation, output bounded by the number of items)."""
     first_day = at_or_before(log, spec.time, cutoffs).groupBy(spec.item).agg(F.min(spec.time).alias("d"))
-    typed = with_activity(first_day, vle, spec)
-    rows = typed.groupBy("activity_clean").agg(F.min("d").alias("d")).collect()
+    typed = with_activity(first_day, vle, spec).groupBy("activity_clean").agg(F.min("d").alias("d"))
+    key = ("observed", id(log.sparkSession._jsparkSession), typed.semanticHash())
+    rows = _memo(key, typed.collect)
     return {
         name: sorted(r.activity_clean for r in rows if r.d <= day) for name, day in cutoffs.items()
     }

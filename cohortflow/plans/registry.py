@@ -209,3 +209,87 @@ def already_withdrawn(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def baseline_stage5(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(stages.baseline_stage5(course_tables(spark, sf)))
+
+
+# ---------------------------------------------------------------- cohort and evidence
+from cohortflow.functions.columns import target_at_risk as _at_risk  # noqa: E402
+from cohortflow.operators import cohort as coh  # noqa: E402
+from cohortflow.operators import evidence as ev  # noqa: E402
+
+
+def _base_cutoffs(t) -> DataFrame:
+    return stages._base_by_cutoff(t, stages.CUTOFFS, True).withColumn("target_at_risk", _at_risk())
+
+
+@query
+def unmatched_rows(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return ev.unmatched_rows(t["student_vle"], t["vle"], t["student_assessment"], t["assessments"])
+
+
+@query
+def cutoff_row_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return ev.cutoff_row_evidence(t["student_vle"], t["student_assessment"], t["assessments"])
+
+
+@query
+def target_timing(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return coh.target_timing(t["student_info"], t["student_registration"])
+
+
+@query
+def strict_target(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return coh.strict_target(t["student_info"], t["student_registration"])
+
+
+@query
+def cohort_counts(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    everyone = _base_cutoffs(t)
+    return coh.cohort_counts(everyone, coh.active_cohort(everyone, t["student_registration"]))
+
+
+@query
+def zero_activity_share(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    clicks = stages.click_features_mean(t)
+    base = stages._base_by_cutoff(t, stages.CUTOFFS, True).select("cutoff", *_E, "target_withdrawn")
+    return ev.zero_activity_share(clicks.join(base, ["cutoff", *_E]), t["student_registration"])
+
+
+@query
+def outcome_behaviour(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.outcome_behaviour(stages.cohort_stage4(course_tables(spark, sf)))
+
+
+@query
+def strategy_totals_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    clicks = feat.click_rollup(t["student_vle"], t["vle"])
+    return ev.strategy_totals(coh.active_cohort(clicks, t["student_registration"]))
+
+
+@query
+def on_time_share(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return ev.on_time_share(t["student_assessment"], t["assessments"])
+
+
+@query
+def activity_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.activity_gaps(course_tables(spark, sf)["student_vle"])
+
+
+@query
+def gap_by_target(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    cohort = coh.active_cohort(_base_cutoffs(t), t["student_registration"])
+    return ev.gap_by_target(ev.activity_gaps(t["student_vle"]), cohort)
+
+
+@query
+def inactivity_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.inactivity_ratio(stages.click_features_mean(course_tables(spark, sf)))

@@ -41,7 +41,7 @@ from cohortflow.operators.features import (
     stage3_assessment_block,
     stage3_pivot_columns,
 )
-from cohortflow.operators.joins import assert_unique
+from cohortflow.operators.joins import unique_in_plan
 from cohortflow.schemas import CUTOFFS, ENTITY_KEY, STATIC_COLUMNS
 
 E = ENTITY_KEY
@@ -64,8 +64,8 @@ def build_base(info: DataFrame, registration: DataFrame, validate: bool = True)
         "is_registered_before_start", registered_before_start()
     )
     if validate:
-        assert_unique(reg, E, "student_registration")
-        assert_unique(base, E, "student_info")
+        reg = unique_in_plan(reg, E, "student_registration")
+        base = unique_in_plan(base, E, "student_info")
     return base.join(reg, E, "left").select(*BASE_COLUMNS)
 
 

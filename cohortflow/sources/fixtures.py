@@ -111,10 +111,19 @@ def read_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
 
 
+_CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
 def course_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven course tables as lazy DataFrames over ``sf_dir``."""
-    frames: dict[str, DataFrame] = dict(read_base_tables(spark, sf_dir))
-    for view in VIEW_ORDER:
-        args = {ref: frames[ref] for ref in _refs(view)}
-        frames[view] = spark.sql(render_spark(view), **args)
-    return {v: frames[v] for v in VIEW_ORDER}
+    """The seven course tables as lazy DataFrames over ``sf_dir``.
+
+    The analysed plans (not data) are reused per session and folder, so
+    repeated queries skip re-parsing the view SQL."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _CACHE:
+        frames: dict[str, DataFrame] = dict(read_base_tables(spark, sf_dir))
+        for view in VIEW_ORDER:
+            args = {ref: frames[ref] for ref in _refs(view)}
+            frames[view] = spark.sql(render_spark(view), **args)
+        _CACHE[key] = {v: frames[v] for v in VIEW_ORDER}
+    return dict(_CACHE[key])

@@ -493,3 +493,134 @@ select cutoff, cutoff_day, {E}, gender, region, highest_education, coalesce(imd_
        (l is null)::bigint as days_since_last_activity_at_cutoff_missing
 from j
 """
+
+# ---------------------------------------------------------------- cohort and evidence
+_UNREG = f"""unreg as (select c.cutoff, r.code_module, r.code_presentation, r.id_student
+          from student_registration r join cut c on r.date_unregistration <= c.cutoff_day)"""
+
+ORACLE["unmatched_rows"] = _with("student_vle", "vle", "student_assessment", "assessments", extra=CUT) + """
+select 'student_vle_to_vle' as "join", 'all' as cutoff, count(*)::bigint as rows,
+       count(*) filter (where v.id_site is null)::bigint as unmatched_rows
+from (select distinct * from student_vle) d left join vle v on d.id_site = v.id_site
+union all
+select 'student_assessment_to_assessments', c.cutoff, count(*)::bigint,
+       count(*) filter (where a.id_assessment is null)::bigint
+from student_assessment s join cut c on s.date_submitted <= c.cutoff_day
+left join assessments a on s.id_assessment = a.id_assessment
+group by c.cutoff
+"""
+
+ORACLE["cutoff_row_evidence"] = _with("student_vle", "student_assessment", "assessments", extra=CUT) + """
+select c.cutoff, c.cutoff_day,
+  (select count(*) from student_vle where date <= c.cutoff_day)::bigint as student_vle_rows_allowed,
+  (select count(*) from student_vle where date > c.cutoff_day)::bigint as student_vle_rows_future,
+  (select count(*) from student_assessment where date_submitted <= c.cutoff_day)::bigint as student_assessment_rows_allowed,
+  (select count(*) from student_assessment where date_submitted > c.cutoff_day)::bigint as student_assessment_rows_future,
+  (select count(*) from assessments where date <= c.cutoff_day)::bigint as assessment_due_dates_allowed,
+  (select count(*) from assessments where date > c.cutoff_day)::bigint as assessment_due_dates_future,
+  (select count(*) from assessments where date is null)::bigint as assessment_due_dates_missing
+from cut c
+"""
+
+_TIMING = f"""t as (select c.cutoff, c.cutoff_day, i.code_module, i.code_presentation, i.id_student,
+                 coalesce(i.final_result = 'Withdrawn', false) as w,
+                 coalesce(r.date_unregistration <= c.cutoff_day, false) as by_cut,
+                 coalesce(r.date_unregistration > c.cutoff_day, false) as after_cut,
+                 r.date_unregistration is null as undated
+          from student_info i left join student_registration r
+            on i.code_module = r.code_module and i.code_presentation = r.code_presentation and i.id_student = r.id_student
+          cross join cut c)"""
+
+ORACLE["target_timing"] = _with("student_info", "student_registration", extra=CUT + ",\n" + _TIMING) + """
+select cutoff, cutoff_day,
+       count(*) filter (where w)::bigint as withdrawn_total,
+       count(*) filter (where w and by_cut)::bigint as withdrawn_by_cutoff,
+       count(*) filter (where w and after_cut)::bigint as withdrawn_after_cutoff,
+       count(*) filter (where w and undated)::bigint as withdrawn_undated,
+       count(*) filter (where not w and by_cut)::bigint as non_withdrawn_unregistered_by_cutoff,
+       count(*) filter (where not by_cut)::bigint as active_at_cutoff
+from t group by cutoff, cutoff_day
+"""
+
+ORACLE["strict_target"] = _with("student_info", "student_registration", extra=CUT + ",\n" + _TIMING) + f"""
+select cutoff, cutoff_day, {E}, w::bigint as target_withdrawn, (w and after_cut)::bigint as target_withdrawn_after_cutoff,
+       (w and undated)::bigint as withdrawn_undated
+from t where not by_cut
+"""
+
+ORACLE["cohort_counts"] = _with("student_info", "student_registration", extra=CUT + ",\n" + _UNREG) + """,
+a as (select c.cutoff, i.*, coalesce(i.final_result in ('Withdrawn', 'Fail'), false)::bigint as y,
+             exists (select 1 from unreg u where u.cutoff = c.cutoff and u.code_module = i.code_module
+                     and u.code_presentation = i.code_presentation and u.id_student = i.id_student) as gone
+      from student_info i cross join cut c)
+select cutoff, count(*)::bigint as original_rows, count(*) filter (where gone)::bigint as excluded_rows,
+       count(*) filter (where not gone)::bigint as cohort_rows,
+       coalesce(sum(y) filter (where not gone), 0)::bigint as positives,
+       round(avg(y) filter (where not gone), 6) as positive_rate
+from a group by cutoff
+"""
+
+ORACLE["zero_activity_share"] = _FEAT_HEAD + f""",
+z as (select s.cutoff, s.target_withdrawn,
+             exists (select 1 from unreg u where u.cutoff = s.cutoff and u.code_module = s.code_module
+                     and u.code_presentation = s.code_presentation and u.id_student = s.id_student) as gone
+      from s3 s where s.active_days_until_cutoff = 0)
+select cutoff, count(*)::bigint as zero_activity_all, round(avg(target_withdrawn), 6) as withdrawn_share_all,
+       count(*) filter (where not gone)::bigint as zero_activity_cohort,
+       round(avg(target_withdrawn) filter (where not gone), 6) as withdrawn_share_cohort
+from z group by cutoff
+"""
+
+_COHORT4 = f"""c4 as (select * from s3 x where not exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E}))"""
+
+ORACLE["outcome_behaviour"] = _FEAT_HEAD + ",\n" + _COHORT4 + """
+select cutoff, final_result, count(*)::bigint as students,
+       round(avg(total_click_until_cutoff_sum_strategy), 6) as mean_clicks,
+       round(avg(active_days_until_cutoff), 6) as mean_active_days
+from c4 group by cutoff, final_result
+"""
+
+ORACLE["strategy_totals_cohort"] = _FEAT_HEAD + f"""
+select cutoff, sum(ts)::bigint as total_clicks_sum_strategy, round(sum(tmean), 6) as total_clicks_mean_strategy,
+       sum(tm)::bigint as total_clicks_max_strategy
+from cr x where not exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E})
+group by cutoff
+"""
+
+ORACLE["on_time_share"] = _with("student_assessment", "assessments", extra=CUT) + """
+select c.cutoff, count(*)::bigint as submissions, sum((s.date_submitted <= a.date)::bigint)::bigint as on_time,
+       round(avg((s.date_submitted <= a.date)::bigint), 6) as on_time_share
+from student_assessment s join assessments a on s.id_assessment = a.id_assessment and a.date is not null
+join cut c on s.date_submitted <= c.cutoff_day
+group by c.cutoff
+"""
+
+_GAPS = f"""d as (select distinct {E}, date from student_vle),
+gx as (select c.cutoff, d.*, d.date - lag(d.date) over (partition by c.cutoff, {E} order by d.date) as gap
+       from d join cut c on d.date <= c.cutoff_day),
+gaps as (select cutoff, {E}, count(gap)::bigint as gap_count, max(gap) as max_gap, round(avg(gap), 6) as mean_gap,
+                count(*) filter (where gap >= 7)::bigint as long_gap_count,
+                round(avg((gap >= 7)::double), 6) as long_gap_rate
+         from gx group by cutoff, {E})"""
+
+ORACLE["activity_gaps"] = _with("student_vle", extra=CUT + ",\n" + _GAPS) + "select * from gaps"
+
+ORACLE["gap_by_target"] = _with(
+    "student_vle", "student_info", "student_registration", extra=CUT + ",\n" + _GAPS + ",\n" + _UNREG
+) + f""",
+coh as (select c.cutoff, i.code_module, i.code_presentation, i.id_student,
+               coalesce(i.final_result in ('Withdrawn', 'Fail'), false)::bigint as target_at_risk
+        from student_info i cross join cut c
+        where not exists (select 1 from unreg u where u.cutoff = c.cutoff and u.code_module = i.code_module
+                          and u.code_presentation = i.code_presentation and u.id_student = i.id_student))
+select coh.cutoff, coh.target_at_risk, count(*)::bigint as students,
+       round(avg(coalesce(g.max_gap, 0)), 6) as mean_max_gap,
+       round(avg((g.long_gap_count > 0)::double), 6) as share_long_gap
+from coh join gaps g on g.cutoff = coh.cutoff and g.code_module = coh.code_module
+  and g.code_presentation = coh.code_presentation and g.id_student = coh.id_student
+group by coh.cutoff, coh.target_at_risk
+"""
+
+ORACLE["inactivity_ratio"] = _FEAT_HEAD + f"""
+select cutoff, {E}, round(1 - active_days_until_cutoff / cutoff_day, 6) as inactivity_ratio from s3
+"""
