@@ -293,3 +293,63 @@ def gap_by_target(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def inactivity_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return ev.inactivity_ratio(stages.click_features_mean(course_tables(spark, sf)))
+
+
+# ---------------------------------------------------------------- guards and validation
+from cohortflow.operators import guards  # noqa: E402
+from cohortflow.operators.joins import join_guard_report as _join_guard_report  # noqa: E402
+from cohortflow.schemas import RECOMMENDED_PREDICTORS  # noqa: E402
+
+
+@query
+def join_guard_report(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    return _join_guard_report(
+        {
+            "student_registration": (t["student_registration"], _E),
+            "student_info": (t["student_info"], _E),
+            "vle": (t["vle"], ["id_site"]),
+            "assessments": (t["assessments"], ["id_assessment"]),
+        }
+    )
+
+
+@query
+def validation_stage3(spark: SparkSession, sf: str) -> DataFrame:
+    t = course_tables(spark, sf)
+    blocks = stages.feature_blocks(t)
+    s3 = stages.stage3_features(t, blocks=blocks)
+    base_width = len(stages.BASE_COLUMNS) + len(feat.STAGE3_CLICK_COLUMNS) + len(feat.STAGE3_ASSESSMENT_COLUMNS)
+    widths = {c: base_width + 2 * len(types) for c, types in blocks.stage3_types.items()}
+    return guards.validation_stage3(s3, widths)
+
+
+@query
+def validation_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    return guards.validation_baseline(stages.baseline_stage5(course_tables(spark, sf)))
+
+
+@query
+def label_domain(spark: SparkSession, sf: str) -> DataFrame:
+    return guards.label_domain(stages.baseline_stage5(course_tables(spark, sf)))
+
+
+@query
+def flag_binary(spark: SparkSession, sf: str) -> DataFrame:
+    return guards.flag_binary(stages.baseline_stage5(course_tables(spark, sf)))
+
+
+@query
+def late_registration(spark: SparkSession, sf: str) -> DataFrame:
+    return guards.late_registration(stages.baseline_stage5(course_tables(spark, sf)))
+
+
+@query
+def missing_cells_stage3(spark: SparkSession, sf: str) -> DataFrame:
+    return guards.missing_by_column(stages.stage3_features(course_tables(spark, sf)))
+
+
+@query
+def predictor_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    b = stages.baseline_stage5(course_tables(spark, sf))
+    return _r6(guards.predictor_matrix(b, RECOMMENDED_PREDICTORS, excluded=guards.RECOMMENDED_EXCLUSIONS))

@@ -624,3 +624,118 @@ group by coh.cutoff, coh.target_at_risk
 ORACLE["inactivity_ratio"] = _FEAT_HEAD + f"""
 select cutoff, {E}, round(1 - active_days_until_cutoff / cutoff_day, 6) as inactivity_ratio from s3
 """
+
+# ---------------------------------------------------------------- guards and validation
+ORACLE["join_guard_report"] = _with("student_registration", "student_info", "vle", "assessments") + "\nunion all\n".join(
+    f"""select '{t}' as join_side, '{k}' as key, coalesce(sum(n), 0)::bigint as rows,
+       count(*) filter (where n > 1)::bigint as duplicated_key_groups,
+       case when count(*) filter (where n > 1) = 0 then 'ok' else 'violation' end as verdict
+from (select count(*) as n from {t} group by {k})"""
+    for t, k in [("student_registration", E), ("student_info", E), ("vle", "id_site"), ("assessments", "id_assessment")]
+)
+
+ORACLE["validation_stage3"] = _FEAT_HEAD + f""",
+mc as (select cutoff, count(*) filter (where n > 0) as nz from (
+         unpivot (select cutoff, count(*) - count(columns(* exclude (cutoff, cutoff_day))) from s3 group by cutoff)
+         on columns(* exclude (cutoff)) into name col value n) group by cutoff),
+dk as (select cutoff, coalesce(sum(n) filter (where n > 1), 0) as d
+       from (select cutoff, {E}, count(*) as n from s3 group by cutoff, {E}) group by cutoff),
+nt as (select cutoff, count(distinct t) as k from ck group by cutoff)
+select s.cutoff, s.cutoff_day, count(*)::bigint as rows, (32 + 2 * any_value(nt.k))::bigint as columns,
+       any_value(dk.d)::bigint as duplicated_base_key_rows,
+       '0: ' || count(*) filter (where target_withdrawn = 0) || ', 1: ' || count(*) filter (where target_withdrawn = 1)
+         as target_distribution,
+       any_value(mc.nz)::bigint as missing_columns_nonzero, '' as forbidden_columns_present,
+       concat_ws(', ',
+         case when count(*) filter (where last_activity_date_until_cutoff > s.cutoff_day) > 0
+              then 'last_activity_date_until_cutoff' end,
+         case when count(*) filter (where first_activity_date_until_cutoff > s.cutoff_day) > 0
+              then 'first_activity_date_until_cutoff' end) as after_cutoff_feature_violations
+from s3 s join mc on mc.cutoff = s.cutoff join dk on dk.cutoff = s.cutoff join nt on nt.cutoff = s.cutoff
+group by s.cutoff, s.cutoff_day
+"""
+
+_B5 = "(" + ORACLE["baseline_stage5"] + ")"
+_FLAG_COLS = [
+    "imd_band", "date_registration", "is_registered_before_start", "mean_score_until_cutoff", "min_score_until_cutoff",
+    "max_score_until_cutoff", "weighted_score_until_cutoff", "scored_assessment_count_until_cutoff",
+    "avg_days_before_due_until_cutoff", "first_activity_date_until_cutoff", "last_activity_date_until_cutoff",
+    "days_since_last_activity_at_cutoff",
+]
+
+ORACLE["validation_baseline"] = f"""
+with b as {_B5},
+nulls as (select cutoff, sum(n) as cells from (
+            unpivot (select cutoff, count(*) - count(columns(* exclude (cutoff, cutoff_day))) from b group by cutoff)
+            on columns(* exclude (cutoff)) into name col value n) group by cutoff),
+dk as (select cutoff, coalesce(sum(n) filter (where n > 1), 0) as d
+       from (select cutoff, {E}, count(*) as n from b group by cutoff, {E}) group by cutoff),
+nt as (select count(distinct translate(lower(trim(p_type_or_name)), ' -/', '___')) as k
+       from (select case when p_partkey = 11 then ' Repeat Activity/New-Type' else p_type end as p_type_or_name
+             from part where p_partkey < 12 and p_partkey <> 9))
+select b.cutoff, b.cutoff_day, count(*)::bigint as rows, (46 + any_value(nt.k))::bigint as columns,
+       false as date_unregistration_present, any_value(dk.d)::bigint as duplicated_base_key_rows,
+       round(avg(target_at_risk), 6) as target_at_risk_positive_rate, 12::bigint as missing_flag_columns,
+       concat_ws(', ', {", ".join(f"case when count(*) filter (where {c}_missing not in (0, 1)) > 0 then '{c}_missing' end" for c in _FLAG_COLS)})
+         as non_binary_missing_flags,
+       concat_ws(', ',
+         case when count(*) filter (where last_activity_date_until_cutoff > b.cutoff_day) > 0
+              then 'last_activity_date_until_cutoff' end,
+         case when count(*) filter (where first_activity_date_until_cutoff > b.cutoff_day) > 0
+              then 'first_activity_date_until_cutoff' end) as after_cutoff_feature_violations,
+       '' as missing_final_features, '' as non_mean_strategy_click_columns,
+       round(avg(is_retake), 6) as is_retake_positive_rate, any_value(nulls.cells)::bigint as remaining_missing_cells
+from b join nulls on nulls.cutoff = b.cutoff join dk on dk.cutoff = b.cutoff cross join nt
+group by b.cutoff, b.cutoff_day
+"""
+
+ORACLE["label_domain"] = f"""
+with b as {_B5}
+select cutoff,
+       count(*) filter (where final_result is not null
+                        and final_result not in ('Withdrawn', 'Fail', 'Pass', 'Distinction'))::bigint as unknown_results,
+       count(*) filter (where final_result is null)::bigint as missing_results,
+       count(*) filter (where target_at_risk is distinct from
+                        case final_result when 'Withdrawn' then 1 when 'Fail' then 1 when 'Pass' then 0
+                                          when 'Distinction' then 0 end)::bigint as target_mismatches,
+       count(*) filter (where target_at_risk is null or target_at_risk not in (0, 1))::bigint as non_binary_targets
+from b group by cutoff
+"""
+
+ORACLE["flag_binary"] = f"""
+with b as {_B5}
+""" + "\nunion all\n".join(
+    f"""select cutoff, '{c}_missing' as "column",
+       count(*) filter (where {c}_missing is not null and {c}_missing not in (0, 1))::bigint as non_binary_count
+from b group by cutoff"""
+    for c in _FLAG_COLS
+)
+
+ORACLE["late_registration"] = f"""
+with b as {_B5}
+select cutoff, cutoff_day, count(*) filter (where date_registration > cutoff_day)::bigint as registered_after_cutoff
+from b group by cutoff, cutoff_day
+"""
+
+ORACLE["missing_cells_stage3"] = _FEAT_HEAD + """
+select cutoff, col as "column", n::bigint as missing_count from (
+  unpivot (select cutoff, count(*) - count(columns(* exclude (cutoff, cutoff_day))) from s3 group by cutoff)
+  on columns(* exclude (cutoff)) into name col value n)
+where n > 0
+"""
+
+_PRED = [
+    "code_module", "code_presentation", "gender", "region", "highest_education", "imd_band", "age_band",
+    "num_of_prev_attempts", "studied_credits", "disability", "imd_band_missing", "is_retake",
+    "is_registered_before_start", "is_registered_before_start_missing", "total_click_until_cutoff_mean_strategy",
+    "active_days_until_cutoff", "days_since_last_activity_at_cutoff", "days_since_last_activity_at_cutoff_missing",
+    "assessment_count_until_cutoff", "mean_score_until_cutoff", "mean_score_until_cutoff_missing",
+    "on_time_submission_count_until_cutoff", "avg_days_before_due_until_cutoff",
+    "avg_days_before_due_until_cutoff_missing",
+]
+ORACLE["predictor_matrix"] = f"""
+with b as {_B5}
+select cutoff, cutoff_day, code_module, code_presentation, id_student, target_at_risk,
+       {", ".join(c for c in _PRED if c not in ("code_module", "code_presentation"))}
+from b
+"""
