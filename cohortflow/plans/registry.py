@@ -353,3 +353,59 @@ def missing_cells_stage3(spark: SparkSession, sf: str) -> DataFrame:
 def predictor_matrix(spark: SparkSession, sf: str) -> DataFrame:
     b = stages.baseline_stage5(course_tables(spark, sf))
     return _r6(guards.predictor_matrix(b, RECOMMENDED_PREDICTORS, excluded=guards.RECOMMENDED_EXCLUSIONS))
+
+
+# ---------------------------------------------------------------- model evaluation
+from cohortflow.operators import ml  # noqa: E402
+from cohortflow.schemas import BASELINE_MODEL_FEATURES  # noqa: E402
+from cohortflow.session import materialize  # noqa: E402
+
+
+def _model_input(t) -> DataFrame:
+    b = stages.baseline_stage5(t)
+    guards.guard_predictors(BASELINE_MODEL_FEATURES)
+    return b.select("cutoff", "cutoff_day", *_E, *BASELINE_MODEL_FEATURES, "target_at_risk")
+
+
+@query
+def fold_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.assign_folds(_model_input(course_tables(spark, sf))).select("cutoff", *_E, "target_at_risk", "fold")
+
+
+def _folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The fold-assigned model input, written once under the checkpoint
+    folder: every fit and metric reads it many times."""
+    return materialize(ml.assign_folds(_model_input(course_tables(spark, sf))), "model-input")
+
+
+def _nb_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.gaussian_nb_predictions(_folded(spark, sf), BASELINE_MODEL_FEATURES)
+
+
+@query
+def gaussian_nb(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(_nb_predictions(spark, sf))
+
+
+@query
+def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.classification_metrics(_nb_predictions(spark, sf))
+
+
+@query
+def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
+    folded = _folded(spark, sf)
+    rows = folded.groupBy("cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
+    m = ml.classification_metrics(ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES))
+    return ml.metric_summary(m, rows, BASELINE_MODEL_FEATURES)
+
+
+@query
+def model_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """M2/M4/M5/M9/M10 (rows-only check): Spark ML fits per cutoff and fold
+    on the materialised two-feature matrix, summarised like the reference."""
+    folded = _folded(spark, sf).cache()
+    preds = ml.spark_ml_predictions(folded, BASELINE_MODEL_FEATURES)
+    preds = preds.unionByName(ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES))
+    rows = folded.groupBy("cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
+    return ml.metric_summary(ml.classification_metrics(preds), rows, BASELINE_MODEL_FEATURES)

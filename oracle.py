@@ -739,3 +739,63 @@ select cutoff, cutoff_day, code_module, code_presentation, id_student, target_at
        {", ".join(c for c in _PRED if c not in ("code_module", "code_presentation"))}
 from b
 """
+
+# ---------------------------------------------------------------- model evaluation
+_FOLDS = f"""mi as (select cutoff, cutoff_day, {E}, total_click_until_cutoff_mean_strategy as x0,
+                  active_days_until_cutoff as x1, target_at_risk as y,
+                  (((id_student % 1000003) * 7919 + 42 * 104729) % 1000003) as h from {_B5}),
+fo as (select *, (row_number() over (partition by cutoff, y order by h % 64, h, {E}) - 1) % 5 as fold from mi)"""
+
+ORACLE["fold_assignment"] = f"with {_FOLDS}\nselect cutoff, {E}, y as target_at_risk, fold::bigint as fold from fo"
+
+_NB = _FOLDS + f""",
+tr as (select f.cutoff, k.k as held_out, f.y, count(*) as n, avg(x0) as m0, avg(x1) as m1,
+              var_pop(x0) as v0, var_pop(x1) as v1
+       from fo f join range(5) k(k) on f.fold <> k.k group by f.cutoff, k.k, f.y),
+ev as (select f.cutoff, k.k as held_out, greatest(var_pop(x0), var_pop(x1)) * 1e-9 as eps, count(*) as ntot
+       from fo f join range(5) k(k) on f.fold <> k.k group by f.cutoff, k.k),
+par as (select a.cutoff, a.held_out,
+               a.n / e.ntot as p0, a.m0 as m00, a.m1 as m10, a.v0 + e.eps as v00, a.v1 + e.eps as v10,
+               b.n / e.ntot as p1, b.m0 as m01, b.m1 as m11, b.v0 + e.eps as v01, b.v1 + e.eps as v11
+        from tr a join tr b on a.cutoff = b.cutoff and a.held_out = b.held_out and a.y = 0 and b.y = 1
+        join ev e on e.cutoff = a.cutoff and e.held_out = a.held_out),
+ll as (select f.cutoff, f.fold, {", ".join("f." + c for c in _EK)}, f.y,
+              ln(p0) - 0.5 * ln(2 * pi() * v00) - (x0 - m00) ^ 2 / (2 * v00)
+                     - 0.5 * ln(2 * pi() * v10) - (x1 - m10) ^ 2 / (2 * v10) as l0,
+              ln(p1) - 0.5 * ln(2 * pi() * v01) - (x0 - m01) ^ 2 / (2 * v01)
+                     - 0.5 * ln(2 * pi() * v11) - (x1 - m11) ^ 2 / (2 * v11) as l1
+       from fo f join par p on p.cutoff = f.cutoff and p.held_out = f.fold),
+pr as (select cutoff, 'GaussianNB' as model, fold::bigint as fold, {E}, y::bigint as label,
+              (l1 > l0)::bigint as prediction, 1 / (1 + exp(l0 - l1)) as score from ll),
+rk as (select *, avg(r) over (partition by cutoff, model, fold, score) as ar from
+         (select *, row_number() over (partition by cutoff, model, fold order by score) as r from pr)),
+met as (select cutoff, model, fold,
+               count(*) filter (where label = 1 and prediction = 1) as tp,
+               count(*) filter (where label = 0 and prediction = 1) as fp,
+               count(*) filter (where label = 1 and prediction = 0) as fn,
+               count(*) filter (where label = 0 and prediction = 0) as tn,
+               sum(ar) filter (where label = 1) as rsum,
+               count(*) filter (where label = 1) as np, count(*) filter (where label = 0) as nn
+        from rk group by cutoff, model, fold),
+mt as (select cutoff, model, fold,
+              round(case when tp + fp > 0 then tp / (tp + fp) else 0 end, 6) as precision,
+              round(case when tp + fn > 0 then tp / (tp + fn) else 0 end, 6) as recall,
+              round(case when 2 * tp + fp + fn > 0 then 2 * tp / (2 * tp + fp + fn) else 0 end, 6) as f1,
+              round(case when np * nn > 0 then (rsum - np * (np + 1) / 2) / (np * nn) end, 6) as roc_auc,
+              round((tp + tn) / (tp + tn + fp + fn), 6) as accuracy
+       from met)"""
+
+ORACLE["gaussian_nb"] = f"with {_NB}\nselect cutoff, model, fold, {E}, label, prediction, round(score, 6) as score from pr"
+ORACLE["classification_metrics"] = f"with {_NB}\nselect * from mt"
+ORACLE["metric_summary"] = f"""with {_NB}
+select m.cutoff, model,
+       round(avg(precision), 6) as precision_mean, round(avg(recall), 6) as recall_mean, round(avg(f1), 6) as f1_mean,
+       round(avg(roc_auc), 6) as roc_auc_mean, round(avg(accuracy), 6) as accuracy_mean,
+       round(stddev_samp(precision), 6) as precision_std, round(stddev_samp(recall), 6) as recall_std,
+       round(stddev_samp(f1), 6) as f1_std, round(stddev_samp(roc_auc), 6) as roc_auc_std,
+       round(stddev_samp(accuracy), 6) as accuracy_std,
+       any_value(n.n_rows) as n_rows, 'mean' as strategy, 'at_risk' as positive_class, 'target_at_risk' as target,
+       'total_click_until_cutoff_mean_strategy,active_days_until_cutoff' as features
+from mt m join (select cutoff, count(*) as n_rows from mi group by cutoff) n on n.cutoff = m.cutoff
+group by m.cutoff, model
+"""
