@@ -409,3 +409,22 @@ def model_sweep(spark: SparkSession, sf: str) -> DataFrame:
     preds = preds.unionByName(ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES))
     rows = folded.groupBy("cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
     return ml.metric_summary(ml.classification_metrics(preds), rows, BASELINE_MODEL_FEATURES)
+
+
+# ---------------------------------------------------------------- sources
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from cohortflow.session import ensure_checkpoint_dir  # noqa: E402
+from cohortflow.sources import tables as _src  # noqa: E402
+
+
+@query
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """S1-S3 + D1: write the seven tables as CSV with '?' for NULL under the
+    shared checkpoint folder, read them back with fixed schemas, and compare
+    each with its source as a bag of rows."""
+    t = course_tables(spark, sf)
+    target = _os.path.join(ensure_checkpoint_dir(spark), f"csv-{_uuid.uuid4().hex}")
+    back = _src.csv_roundtrip(t, target)
+    return audit.union_all([audit.table_equality(n, t[n], back[n]) for n in t])

@@ -1,6 +1,8 @@
-"""Streaming use of the cutoff operators.
+"""Streaming: intentionally empty.
 
-The reference has no streaming workload. What carries over is that the
-cutoff filter and the per-entity rollups are plain Structured Streaming
-operations; see :mod:`cohortflow.streaming.rollup`.
+The reference has no streaming workload (no watermark, window, state or
+late-data handling), so no streaming operator is built. The cutoff filter
+and expansion (``cohortflow.operators.cutoffs``) are stateless projections
+and accept a streaming DataFrame unchanged; the rollups are batch
+aggregations over a closed log.
 """

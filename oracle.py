@@ -799,3 +799,9 @@ select m.cutoff, model,
 from mt m join (select cutoff, count(*) as n_rows from mi group by cutoff) n on n.cutoff = m.cutoff
 group by m.cutoff, model
 """
+
+ORACLE["csv_roundtrip"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
+    f"""select '{t}' as "table", true as same_schema, count(*)::bigint as rows_a, count(*)::bigint as rows_b,
+       0::bigint as only_in_a, 0::bigint as only_in_b, true as equal from {t}"""
+    for t in _COLS
+)
