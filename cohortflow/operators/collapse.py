@@ -37,8 +37,9 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[str] | None =
 
 
 def site_dimension(vle: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
-    """(item, category, category_clean), one row per item."""
-    dim = first_per_key(vle.select(spec.item, spec.category), spec.item)
+    """(item, category, category_clean), one row per item; a repeated item
+    keeps its smallest category (hash aggregate, no sort)."""
+    dim = vle.groupBy(spec.item).agg(F.min(spec.category).alias(spec.category))
     return dim.withColumn("activity_clean", clean_name(spec.category))
 
 
@@ -54,15 +55,30 @@ def collapse_events(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
       measure values, NULL counted once = ``distinct_values``)
     """
     m = F.col(spec.measure)
-    distinct_values = F.count_distinct(m) + F.max(m.isNull().cast("long"))
-    return log.groupBy(*spec.event_key).agg(
-        F.sum_distinct(m).alias("clicks_sum"),
+    g = log.groupBy(*spec.event_key).agg(
+        # distinct measure values of one event key: bounded by that key's
+        # duplicate count (at most 8 in the published data), and combined
+        # map-side, so the whole collapse is a single shuffle on the key
+        F.collect_set(m).alias("_vals"),
+        F.max(m.isNull().cast("long")).alias("_has_null"),
         F.max(m).alias("clicks_max"),
         F.avg(m).alias("clicks_mean"),
         F.sum(m).alias("clicks_raw"),
         F.count(F.lit(1)).alias("raw_rows"),
-        distinct_values.alias("dedup_rows"),
-        distinct_values.alias("distinct_values"),
+    )
+    n_values = F.size("_vals").cast("long") + F.col("_has_null")
+    vals = F.col("_vals")
+    return g.select(
+        *spec.event_key,
+        F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0).cast(log.schema[spec.measure].dataType), lambda a, x: a + x)).alias(
+            "clicks_sum"
+        ),
+        "clicks_max",
+        "clicks_mean",
+        "clicks_raw",
+        "raw_rows",
+        n_values.alias("dedup_rows"),
+        n_values.alias("distinct_values"),
     )
 
 
