@@ -117,7 +117,9 @@ def click_rollup(
         *pivot(stage3_types, "clicks_max", "max_strategy"),
         *pivot(baseline_types, "clicks_mean", "until_cutoff_mean_strategy"),
     ]
-    r = x.groupBy("cutoff", "cutoff_day", *spec.key).agg(*aggs)
+    # cutoff_day is a function of cutoff: carry it as an aggregate so the
+    # output is partitioned on (cutoff, entity), the key of every later join
+    r = x.groupBy("cutoff", *spec.key).agg(F.max("cutoff_day").alias("cutoff_day"), *aggs)
     days = F.col("active_days_until_cutoff")
     return r.withColumns(
         {
@@ -234,7 +236,7 @@ def assessment_rollup(
         F.coalesce(F.sum(only(clean, scored_w)), F.lit(0.0)).alias("_cden"),
         F.count(only(clean, F.lit(1))).alias("_clean_rows"),
     ]
-    r = x.groupBy("cutoff", "cutoff_day", *E).agg(*aggs)
+    r = x.groupBy("cutoff", *E).agg(F.max("cutoff_day").alias("cutoff_day"), *aggs)
     return r.withColumns(
         {
             "weighted_score_until_cutoff": safe_ratio("_num", "_den"),
