@@ -139,7 +139,12 @@ def event_key_groups(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame
 def dup_group_sizes(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
     """After exact dedup, how many key groups have each size > 1."""
     g = event_key_groups(log, spec).where("dedup_rows > 1")
-    return g.groupBy(F.col("dedup_rows").alias("group_size")).agg(F.count(F.lit(1)).alias("group_count"))
+    # O2: by group size
+    return (
+        g.groupBy(F.col("dedup_rows").alias("group_size"))
+        .agg(F.count(F.lit(1)).alias("group_count"))
+        .orderBy("group_size")
+    )
 
 
 def dup_conflicts(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
@@ -376,7 +381,10 @@ def audit_risks(
 def target_overall(info: DataFrame, target: str = "final_result") -> DataFrame:
     """Value counts with ratio over all rows (NULL kept as a value)."""
     c = info.groupBy(target).agg(F.count(F.lit(1)).alias("count"))
-    return c.withColumn("ratio", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    # O1: count descending, value as the tie-break (value_counts order)
+    return c.withColumn("ratio", F.col("count") / F.sum("count").over(Window.partitionBy())).orderBy(
+        F.desc("count"), F.asc_nulls_last(target)
+    )
 
 
 def target_within(info: DataFrame, groups: Sequence[str], target: str = "final_result") -> DataFrame:
@@ -417,3 +425,41 @@ def target_grouping_sets(info: DataFrame, target: str = "final_result") -> DataF
         "count",
         (F.col("count") / F.sum("count").over(w)).alias("ratio_within_group"),
     )
+
+
+# ---------------------------------------------------------------- C1
+
+
+def integrity_audit(tables: Mapping[str, DataFrame], log_name: str = "student_vle") -> DataFrame:
+    """The audit as one long table (section, item, metric, value)."""
+
+    def long(df: DataFrame, section: str, item: Column, metrics: Sequence[str]) -> DataFrame:
+        arr = F.array(
+            *[F.struct(_lit_str(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+        )
+        return df.select(_lit_str(section).alias("section"), item.cast("string").alias("item"), F.inline(arr))
+
+    keys = key_uniqueness(tables)
+    dups = dup_summary(tables[log_name])
+    refs = referential_integrity(tables)
+    flags = range_flags(tables)
+    parts = [
+        long(table_shapes(tables), "table_shapes", F.col("table"), ["rows", "columns"]),
+        long(missing_profile(tables), "missing_values", F.concat_ws(".", "table", "column"), ["missing_count"]),
+        long(keys, "key_uniqueness", F.col("table"), ["duplicated_rows_by_key", "duplicated_key_groups"]),
+        dups.select(
+            _lit_str("duplicate_summary").alias("section"),
+            _lit_str(log_name).alias("item"),
+            "metric",
+            F.col("value").cast("double").alias("value"),
+        ),
+        long(refs, "referential_integrity", F.col("check"), ["both", "left_only", "right_only"]),
+        long(flags, "range_flags", F.concat_ws(".", "table", "column"), ["count"]),
+        audit_risks(keys, dups, refs, flags).select(
+            _lit_str("risks").alias("section"),
+            F.col("rule").alias("item"),
+            _lit_str("triggered").alias("metric"),
+            F.col("triggered").cast("double").alias("value"),
+        ),
+    ]
+    return union_all(parts)

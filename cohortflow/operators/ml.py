@@ -218,6 +218,7 @@ def metric_summary(metrics: DataFrame, n_rows: DataFrame | None = None, features
     )
     if n_rows is not None:
         out = out.join(n_rows, "cutoff")
+    out = out.orderBy(*(["cutoff_day"] if "cutoff_day" in out.columns else ["cutoff"]), "model")  # O4
     return out.withColumns(
         {
             "strategy": F.lit("mean"),

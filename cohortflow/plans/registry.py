@@ -367,6 +367,18 @@ def _model_input(t) -> DataFrame:
     return b.select("cutoff", "cutoff_day", *_E, *BASELINE_MODEL_FEATURES, "target_at_risk")
 
 
+def _guarded_model_input(t) -> DataFrame:
+    """V4-V7 before any fit: required columns, no leakage column, labels
+    consistent with the outcome, finite features."""
+    b = stages.baseline_stage5(t)
+    guards.require_columns(b, [*BASELINE_MODEL_FEATURES, "target_at_risk", "final_result", *_E])
+    guards.forbid_columns(b)
+    guards.guard_labels(b)
+    inp = _model_input(t)
+    guards.guard_finite(inp, BASELINE_MODEL_FEATURES)
+    return inp
+
+
 @query
 def fold_assignment(spark: SparkSession, sf: str) -> DataFrame:
     return ml.assign_folds(_model_input(course_tables(spark, sf))).select("cutoff", *_E, "target_at_risk", "fold")
@@ -375,7 +387,7 @@ def fold_assignment(spark: SparkSession, sf: str) -> DataFrame:
 def _folded(spark: SparkSession, sf: str) -> DataFrame:
     """The fold-assigned model input, written once under the checkpoint
     folder: every fit and metric reads it many times."""
-    return materialize(ml.assign_folds(_model_input(course_tables(spark, sf))), "model-input")
+    return materialize(ml.assign_folds(_guarded_model_input(course_tables(spark, sf))), "model-input")
 
 
 def _nb_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -428,3 +440,18 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     target = _os.path.join(ensure_checkpoint_dir(spark), f"csv-{_uuid.uuid4().hex}")
     back = _src.csv_roundtrip(t, target)
     return audit.union_all([audit.table_equality(n, t[n], back[n]) for n in t])
+
+
+
+@query
+def integrity_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(audit.integrity_audit(course_tables(spark, sf)))
+
+
+@query
+def keyset_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """(cutoff, entity) keys of the Stage 3 matrix vs the Stage 4 cohort."""
+    t = course_tables(spark, sf)
+    s3 = stages.stage3_features(t)
+    s4 = stages.cohort_stage4(t, stage3=s3)
+    return audit.keyset_diff({"features_vs_cohort": s3}, {"features_vs_cohort": s4}, {"features_vs_cohort": ["cutoff", *_E]})

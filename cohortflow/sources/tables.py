@@ -96,6 +96,12 @@ def write_by_cutoff(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").partitionBy("cutoff").format(fmt).option("header", True).save(path)
 
 
+def write_evidence(evidence: Mapping[str, DataFrame], directory: str) -> None:
+    """One header CSV folder per audit evidence table."""
+    for name, df in evidence.items():
+        df.write.mode("overwrite").option("header", True).csv(os.path.join(directory, f"{name}.csv"))
+
+
 def read_cutoff(spark: SparkSession, path: str, cutoff: str) -> DataFrame:
     """Read one cutoff of a derived dataset (partition pruning)."""
     return spark.read.parquet(path).where(F.col("cutoff") == cutoff)

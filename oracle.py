@@ -805,3 +805,32 @@ ORACLE["csv_roundtrip"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
        0::bigint as only_in_a, 0::bigint as only_in_b, true as equal from {t}"""
     for t in _COLS
 )
+
+# ---------------------------------------------------------------- C1 / J10
+def _sub(name: str) -> str:
+    return "(" + ORACLE[name] + ")"
+
+
+ORACLE["integrity_audit"] = f"""
+select 'table_shapes' as section, "table" as item, 'rows' as metric, rows::double as value from {_sub("table_shapes")}
+union all select 'table_shapes', "table", 'columns', columns::double from {_sub("table_shapes")}
+union all select 'missing_values', "table" || '.' || "column", 'missing_count', missing_count::double
+  from {_sub("missing_profile")}
+union all select 'key_uniqueness', "table", 'duplicated_rows_by_key', duplicated_rows_by_key::double
+  from {_sub("key_uniqueness")}
+union all select 'key_uniqueness', "table", 'duplicated_key_groups', duplicated_key_groups::double
+  from {_sub("key_uniqueness")}
+union all select 'duplicate_summary', 'student_vle', metric, value::double from {_sub("dup_summary")}
+union all select 'referential_integrity', "check", 'both', "both"::double from {_sub("referential_integrity")}
+union all select 'referential_integrity', "check", 'left_only', left_only::double from {_sub("referential_integrity")}
+union all select 'referential_integrity', "check", 'right_only', right_only::double from {_sub("referential_integrity")}
+union all select 'range_flags', "table" || '.' || "column", 'count', count::double from {_sub("range_flags")}
+union all select 'risks', rule, 'triggered', triggered::double from {_sub("audit_risks")}
+"""
+
+ORACLE["keyset_diff"] = _FEAT_HEAD + f""",
+c4 as (select * from s3 x where not exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E}))
+select 'features_vs_cohort' as dataset, 'cutoff, code_module, code_presentation, id_student' as key,
+       (select count(*) from c4)::bigint as both,
+       (select count(*) from s3) - (select count(*) from c4) as left_only, 0::bigint as right_only
+"""
