@@ -311,7 +311,13 @@ def _fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequenc
         est = LinearSVC(maxIter=SVC_MAX_ITER, regParam=0.01)
     else:
         est = NaiveBayes(modelType="gaussian")
+    if name == "SVC":
+        # iterative optimiser: keep the expanded training vectors in memory
+        # for the duration of the fit (recomputable from the parquet input)
+        tr_v = tr_v.select("features", "label").cache()
     model = est.fit(tr_v)
+    if name == "SVC":
+        tr_v.unpersist()
     p = model.transform(te_v)
     score = vector_to_array("rawPrediction" if name == "SVC" else "probability")[1]
     return p.select(
