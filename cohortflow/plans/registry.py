@@ -367,16 +367,20 @@ def _model_input(t) -> DataFrame:
     return b.select("cutoff", "cutoff_day", *_E, *BASELINE_MODEL_FEATURES, "target_at_risk")
 
 
-def _guarded_model_input(t) -> DataFrame:
-    """V4-V7 before any fit: required columns, no leakage column, labels
+def _folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The fold-assigned model input, written once under the checkpoint
+    folder (every fit and metric reads it many times). The V4-V7 guards run
+    on the written copy: required columns, no leakage column, labels
     consistent with the outcome, finite features."""
-    b = stages.baseline_stage5(t)
+    b = stages.baseline_stage5(course_tables(spark, sf))
+    guards.guard_predictors(BASELINE_MODEL_FEATURES)
     guards.require_columns(b, [*BASELINE_MODEL_FEATURES, "target_at_risk", "final_result", *_E])
     guards.forbid_columns(b)
-    guards.guard_labels(b)
-    inp = _model_input(t)
-    guards.guard_finite(inp, BASELINE_MODEL_FEATURES)
-    return inp
+    inp = b.select("cutoff", "cutoff_day", *_E, *BASELINE_MODEL_FEATURES, "target_at_risk", "final_result")
+    folded = materialize(ml.assign_folds(inp), "model-input")
+    guards.guard_labels(folded)
+    guards.guard_finite(folded, BASELINE_MODEL_FEATURES)
+    return folded.drop("final_result")
 
 
 @query
@@ -384,12 +388,6 @@ def fold_assignment(spark: SparkSession, sf: str) -> DataFrame:
     return ml.assign_folds(_model_input(course_tables(spark, sf))).select("cutoff", *_E, "target_at_risk", "fold")
 
 
-def _folded(spark: SparkSession, sf: str) -> DataFrame:
-    """The fold-assigned model input, written once under the checkpoint
-    folder: every fit and metric reads it many times."""
-    return materialize(ml.assign_folds(_guarded_model_input(course_tables(spark, sf))), "model-input")
-
-
 def _nb_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return ml.gaussian_nb_predictions(_folded(spark, sf), BASELINE_MODEL_FEATURES)
 
