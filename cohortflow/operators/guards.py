@@ -124,60 +124,75 @@ def late_registration(df: DataFrame, day: str = "date_registration") -> DataFram
     )
 
 
-def _count_nonzero_columns(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Number of columns that have at least one NULL in the group."""
-    parts = [(F.count_if(F.col(c).isNull()) > 0).cast("long") for c in columns]
-    return sum(parts[1:], parts[0]) if parts else F.lit(0).cast("long")
+def _after_cutoff(cols: Sequence[str]) -> Column:
+    """Names of the date columns with any value after the cutoff, from the
+    per-key maxima ``_max_<col>`` of the first aggregation level."""
+    names = [F.when(F.count_if(F.col(f"_max_{c}") > F.col("cutoff_day")) > 0, F.lit(c)) for c in cols]
+    return F.concat_ws(", ", *names)
+
+
+_DATE_COLS = ["last_activity_date_until_cutoff", "first_activity_date_until_cutoff"]
 
 
-def _dup_key_rows(df: DataFrame) -> DataFrame:
-    per_key = df.groupBy("cutoff", *E).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.groupBy("cutoff").agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("duplicated_base_key_rows")
+def _per_key(df: DataFrame, extra: Sequence[Column]) -> DataFrame:
+    """First level: one row per (cutoff, entity), the key the matrix is
+    already partitioned by (no shuffle). Duplicate keys show up as n > 1."""
+    return df.groupBy("cutoff", *E).agg(
+        F.max("cutoff_day").alias("cutoff_day"),
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max(c).alias(f"_max_{c}") for c in _DATE_COLS],
+        *extra,
     )
 
 
-def _after_cutoff(cols: Sequence[str]) -> Column:
-    names = [F.when(F.count_if(F.col(c) > F.col("cutoff_day")) > 0, F.lit(c)) for c in cols]
-    return F.concat_ws(", ", *names)
+def _dup_rows() -> Column:
+    return F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias(
+        "duplicated_base_key_rows"
+    )
 
 
 def validation_stage3(stage3: DataFrame, columns_per_cutoff: Mapping[str, int]) -> DataFrame:
-    """V10 (Stage 3): one row per cutoff. ``columns_per_cutoff`` is the
-    schema width of each cutoff's matrix (observed activity types differ)."""
+    """V10 (Stage 3): one row per cutoff from a two-level aggregate (one read
+    of the matrix). ``columns_per_cutoff`` is the schema width of each
+    cutoff's matrix (observed activity types differ)."""
     data_cols = [c for c in stage3.columns if c not in KEYS]
     widths = F.create_map(*[x for k, v in columns_per_cutoff.items() for x in (F.lit(k), F.lit(v).cast("long"))])
     y = F.col("target_withdrawn")
     forbidden = ", ".join(c for c in FORBIDDEN_COLUMNS if c in stage3.columns)
-    main = stage3.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.concat(F.lit("0: "), F.count_if(y == 0).cast("string"), F.lit(", 1: "), F.count_if(y == 1).cast("string")).alias(
+    first = _per_key(
+        stage3,
+        [
+            F.count_if(y == 0).alias("_y0"),
+            F.count_if(y == 1).alias("_y1"),
+            *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(data_cols)],
+        ],
+    )
+    nonzero = [(F.sum(f"_null_{i}") > 0).cast("long") for i in range(len(data_cols))]
+    out = first.groupBy("cutoff").agg(
+        F.max("cutoff_day").alias("cutoff_day"),
+        F.sum("_n").cast("long").alias("rows"),
+        _dup_rows(),
+        F.concat(F.lit("0: "), F.sum("_y0").cast("string"), F.lit(", 1: "), F.sum("_y1").cast("string")).alias(
             "target_distribution"
         ),
-        _count_nonzero_columns(stage3, data_cols).alias("missing_columns_nonzero"),
-        _after_cutoff(["last_activity_date_until_cutoff", "first_activity_date_until_cutoff"]).alias(
-            "after_cutoff_feature_violations"
-        ),
+        sum(nonzero[1:], nonzero[0]).alias("missing_columns_nonzero"),
+        _after_cutoff(_DATE_COLS).alias("after_cutoff_feature_violations"),
     )
-    return (
-        main.join(_dup_key_rows(stage3), "cutoff")
-        .withColumn("columns", widths[F.col("cutoff")])
-        .withColumn("forbidden_columns_present", F.lit(forbidden))
-        .select(
-            *KEYS,
-            "rows",
-            "columns",
-            "duplicated_base_key_rows",
-            "target_distribution",
-            "missing_columns_nonzero",
-            "forbidden_columns_present",
-            "after_cutoff_feature_violations",
-        )
+    return out.select(
+        *KEYS,
+        "rows",
+        widths[F.col("cutoff")].alias("columns"),
+        "duplicated_base_key_rows",
+        "target_distribution",
+        "missing_columns_nonzero",
+        F.lit(forbidden).alias("forbidden_columns_present"),
+        "after_cutoff_feature_violations",
     )
 
 
 def validation_baseline(baseline: DataFrame) -> DataFrame:
-    """V10 (baseline) + V5 + V13: one row per cutoff."""
+    """V10 (baseline) + V5 + V13: one row per cutoff from a two-level
+    aggregate (one read of the matrix)."""
     data_cols = [c for c in baseline.columns if c not in KEYS]
     flags = [c for c in data_cols if c.endswith("_missing")]
     missing_final = ", ".join(c for c in REQUIRED_BASELINE_FEATURES if c not in baseline.columns)
@@ -186,21 +201,28 @@ def validation_baseline(baseline: DataFrame) -> DataFrame:
         for c in data_cols
         if (c.startswith("clicks_activity_") or c.startswith("total_click_")) and not c.endswith("_mean_strategy")
     )
-    non_binary = [
-        F.when(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(0, 1)) > 0, F.lit(c)) for c in flags
-    ]
-    cells = [F.count_if(F.col(c).isNull()) for c in data_cols]
-    main = baseline.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.round(F.avg("target_at_risk"), 6).alias("target_at_risk_positive_rate"),
+    nulls = [F.count_if(F.col(c).isNull()) for c in data_cols]
+    first = _per_key(
+        baseline,
+        [
+            F.sum("target_at_risk").alias("_y"),
+            F.sum("is_retake").alias("_r"),
+            sum(nulls[1:], nulls[0]).alias("_nulls"),
+            *[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(0, 1)).alias(f"_nb_{i}") for i, c in enumerate(flags)],
+        ],
+    )
+    non_binary = [F.when(F.sum(f"_nb_{i}") > 0, F.lit(c)) for i, c in enumerate(flags)]
+    out = first.groupBy("cutoff").agg(
+        F.max("cutoff_day").alias("cutoff_day"),
+        F.sum("_n").cast("long").alias("rows"),
+        _dup_rows(),
+        F.round(F.sum("_y") / F.sum("_n"), 6).alias("target_at_risk_positive_rate"),
         F.concat_ws(", ", *non_binary).alias("non_binary_missing_flags"),
-        _after_cutoff(["last_activity_date_until_cutoff", "first_activity_date_until_cutoff"]).alias(
-            "after_cutoff_feature_violations"
-        ),
-        F.round(F.avg("is_retake"), 6).alias("is_retake_positive_rate"),
-        sum(cells[1:], cells[0]).cast("long").alias("remaining_missing_cells"),
+        _after_cutoff(_DATE_COLS).alias("after_cutoff_feature_violations"),
+        F.round(F.sum("_r") / F.sum("_n"), 6).alias("is_retake_positive_rate"),
+        F.sum("_nulls").cast("long").alias("remaining_missing_cells"),
     )
-    return main.join(_dup_key_rows(baseline), "cutoff").select(
+    return out.select(
         *KEYS,
         "rows",
         F.lit(len(data_cols)).cast("long").alias("columns"),
