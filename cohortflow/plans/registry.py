@@ -453,3 +453,12 @@ def keyset_diff(spark: SparkSession, sf: str) -> DataFrame:
     s3 = stages.stage3_features(t)
     s4 = stages.cohort_stage4(t, stage3=s3)
     return audit.keyset_diff({"features_vs_cohort": s3}, {"features_vs_cohort": s4}, {"features_vs_cohort": ["cutoff", *_E]})
+
+
+@query
+def features_stage3_week5(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 schema drift: the day-35 matrix with only the activity types
+    observed by day 35 (the long table carries the union)."""
+    t = course_tables(spark, sf)
+    blocks = stages.feature_blocks(t)
+    return _r6(stages.stage3_for_cutoff(stages.stage3_features(t, blocks=blocks), blocks, "week5"))

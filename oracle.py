@@ -834,3 +834,15 @@ select 'features_vs_cohort' as dataset, 'cutoff, code_module, code_presentation,
        (select count(*) from c4)::bigint as both,
        (select count(*) from s3) - (select count(*) from c4) as left_only, 0::bigint as right_only
 """
+
+_P35_SRC = _pivot_source(f"""select cutoff, {E}, 'clicks_activity_' || t || '_sum_strategy' as name, s as v
+              from ck where cutoff = 'week5'
+              union all select cutoff, {E}, 'clicks_activity_' || t || '_max_strategy', mx from ck where cutoff = 'week5'""")
+
+ORACLE["features_stage3_week5"] = _FEAT_HEAD + f""",
+p35 as (pivot {_P35_SRC} on name using sum(v) group by cutoff, {E}),
+a as (select columns(lambda c: c not like 'clicks_activity_%') from s3 where cutoff = 'week5')
+select a.*, coalesce(columns(lambda n: n like 'clicks_activity_%'), 0)::bigint
+from a left join p35 on p35.cutoff = a.cutoff and p35.code_module = a.code_module
+  and p35.code_presentation = a.code_presentation and p35.id_student = a.id_student
+"""
