@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,20 +109,113 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def local_forest(n: int, pairs) -> list[int]:
-    """Root (smallest index) of each of ``n`` items under ``pairs`` of indices."""
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, j in pairs:
-        i, j = find(int(i)), find(int(j))
-        if i != j:
-            root[max(i, j)] = min(i, j)
-    return [find(i) for i in range(n)]
-
-
+class Forest:
+    """Components of ``n`` items inside one task; ``root`` is the smallest
+    index of each item's component."""
+
+    def __init__(self, n: int) -> None:
+        self.root = np.arange(n)
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Link the pairs (i[k], j[k]): each round hooks every root to the
+        smallest root it touches, so the rounds are logarithmic."""
+        while True:
+            a, b = self.root[i], self.root[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            up = np.arange(len(self.root))
+            np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+            while not np.array_equal(nxt := up[up], up):
+                up = nxt
+            self.root = up[self.root]
+
+
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Bounds of the runs of equal rows in sorted ``keys``: starts, then n."""
+    n = len(keys[0])
+    if not n:
+        return np.zeros(1, np.int64)
+    new = np.zeros(n, bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.append(np.flatnonzero(new), n)
+
+
+def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterable[pa.Table]:
+    """Regroup a sorted stream of Arrow batches so that no run of equal
+    ``keys`` is cut; only the last, open run is held back."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1].as_py() for k in keys]
+        same = np.ones(batch.num_rows, bool)
+        for k, v in zip(keys, last, strict=True):
+            same &= batch.column(k).to_numpy(zero_copy_only=False) == v
+        cut = int(batch.num_rows - np.argmin(same[::-1])) if not same.all() else 0
+        if cut or (held and [held[-1].column(k)[0].as_py() for k in keys] != last):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+#: Frames of at most this many bytes are broadcast; beyond it they are shuffled.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A written ``df`` as the side of a join: broadcast if all its rows, at
+    ``row_bytes`` each, stay under ``BROADCAST_BYTES``; else left to a shuffle
+    join, whose hot partitions Spark splits."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    h = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def window_hashes(v: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hash of every window of ``length`` items of ``v`` (uint64 hashes
+    of the items), by doubling; equal windows have equal hashes anywhere."""
+    m = len(v) - length + 1
+    if m <= 0:
+        return np.empty(0, np.uint64)
+    out, off, size, cur = None, 0, 1, v
+    while True:
+        if length & size:
+            part = cur[off : off + m]
+            out = part if out is None else _mix(out[:m], part)
+            off += size
+        if size * 2 > length:
+            return _mix(out[:m], np.uint64(length) + np.zeros(1, np.uint64))
+        cur = _mix(cur[:-size], cur[size:])
+        size *= 2
+
+
+def minimizers(h: np.ndarray, w: int, chunk: int = 1 << 22) -> np.ndarray:
+    """For every ``w`` consecutive values of ``h``, the index of the smallest
+    (the first, if several are: order by the value's high bits, then place)."""
+    n = len(h) - w + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    bits = np.uint64(23)
+    low = np.uint64((1 << 23) - 1)
+    out = []
+    for s in range(0, n, chunk):
+        x = h[s : min(s + chunk, n) + w - 1]
+        m = -(-len(x) // w) * w
+        p = np.full(m, ~np.uint64(0))
+        p[: len(x)] = ((x >> bits) << bits) | np.arange(len(x), dtype=np.uint64)
+        a = p.reshape(-1, w)
+        ahead = np.minimum.accumulate(a, 1).ravel()
+        back = np.minimum.accumulate(a[:, ::-1], 1)[:, ::-1].ravel()
+        c = len(x) - w + 1
+        out.append((np.minimum(back[:c], ahead[w - 1 : w - 1 + c]) & low).astype(np.int64) + s)
+    return np.concatenate(out)

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import lines, rules
+from cohortflow.llm import debruijn, lines, packing, rules, simhash
 from cohortflow.llm.common import read_table
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.span_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(read_table(spark, sf_dir, "documents"))
 
@@ -17,6 +29,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score_documents(docs, rules.learn_from(docs, read_table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op9_line_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op3_best_fit_packing, op8_substring_dedup, op9_line_dedup, op10_quality_rules)}
 
 ORACLE = {"op9_line_dedup": lines.LINE_REPORT_SQL}

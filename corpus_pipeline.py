@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import lines, rules
+from cohortflow.llm import debruijn, lines, packing, rules, simhash
 from cohortflow.llm.common import materialize, read_table
 
 
@@ -23,7 +23,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs, "source", "text", n_chars_col="n_chars")
 
 
-STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup)]
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the long spans that an earlier one also has."""
+    return debruijn.drop_repeated_spans(docs, n_chars_col="n_chars")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every word of every document in one bin: (doc_id, segment, start, bin...)."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("simhash near-dedup", simhash_dedup),
+    ("substring dedup", substring_dedup),
+    ("best-fit packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
