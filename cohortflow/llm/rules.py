@@ -214,8 +214,11 @@ def score_documents(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id",
 def keep_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that neither the base check nor a rule rejects."""
     inner = docs.select(F.struct(*map(col, docs.columns)).alias("__row"), col(text_col).alias("t"))
-    out = with_counts(inner, "t", {k: k for k in COUNTS}).where(~base_failed() & rule_number(rules).isNull())
-    return out.select("__row.*")
+    out = with_counts(inner, "t", {k: k for k in COUNTS})
+    # explode holds the verdict: a filter on it is not pushed below the counts,
+    # where each of its references would count again
+    good = F.explode(F.array(~base_failed() & rule_number(rules).isNull())).alias("good")
+    return out.select("__row", good).where("good").select("__row.*")
 
 
 def learn_from(docs: DataFrame, labels: DataFrame, **params) -> list[Rule]:
