@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -54,6 +55,13 @@ def release(*frames: DataFrame | None) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Collect garbage here and in the driver's JVM, so that Spark's cleaner
+    deletes the shuffle files of steps whose results are written."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
 def fresh(df: DataFrame | Iterable[str], *names: str) -> list[str]:
     """Names that no column of ``df`` has, in any letter case."""
     taken = {c.lower() for c in (df.columns if isinstance(df, DataFrame) else df)}

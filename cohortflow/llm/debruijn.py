@@ -30,16 +30,15 @@ long are never touched.  Empty table: no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import _mix, col, fresh, materialize, minimizers, release, small_side, text_or_empty, window_hashes
+from cohortflow.llm.texts import base_rows, covered, key_columns, over_texts, requested
 
 WINDOW = 50
 ANCHOR = 10
@@ -65,43 +64,6 @@ def pieces_of(words: list[bytes], window: int = WINDOW, anchor: int = ANCHOR) ->
     return grams[at[start]].view(np.int64), piece.view(np.int64), start, stop - start + 1
 
 
-def _key(id_col: str, text: Column) -> list[Column]:
-    """id (nulls last) and a tag that tells apart texts under one id."""
-    return [
-        F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("tag"),
-    ]
-
-
-def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = text_or_empty(text_col)
-    return docs.select(col(id_col).alias("doc_id"), *_key(id_col, text), text.cast("binary").alias("text"))
-
-
-def _over_texts(rows: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``fn(text, request)`` of every row of (doc_id, id, tag, text, request);
-    it returns a tuple of the columns that ``schema`` adds to doc_id, id, tag."""
-    types = pa.schema([(f.name, _arrow(f.dataType)) for f in rows.sparkSession.createDataFrame([], schema).schema])
-    head = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select("doc_id", "id", "tag").schema]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for b in batches:
-            request = b.column(4) if b.num_columns > 4 else None
-            for s in range(0, b.num_rows, 512):  # small batches out: a request can be long
-                part = range(s, min(s + 512, b.num_rows))
-                got = [fn(b.column(3)[i].as_py(), request[i].as_py() if request is not None else None) for i in part]
-                cols = [pa.array([g[k] for g in got], types.field(k).type) for k in range(len(types))]
-                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(s, len(part)) for k in range(3)), *cols], names=["doc_id", "id", "tag", *types.names])
-
-    return rows.mapInArrow(run, ", ".join([*head, schema]))
-
-
-def _arrow(t) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(t)
-
-
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """One row per document: n_words, sha256 of its words, its pieces."""
 
@@ -110,16 +72,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         cols = [x.tolist() for x in pieces_of(words, window, anchor)]
         return len(words), hashlib.sha256(b" ".join(words)).hexdigest(), [dict(zip(("m", "p", "start", "n"), r)) for r in zip(*cols)]
 
-    return _over_texts(_base(docs, id_col, text_col), one, f"n_words long, sha string, pieces {PIECES}")
-
-
-def _requested(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, items: str) -> DataFrame:
-    """Documents that ``asked`` names, with the structs they are asked for."""
-    lists = materialize(asked.groupBy("id", "tag").agg(F.collect_list(items).alias("request")))
-    total = lists.agg(F.sum(F.size("request"))).first()[0] or 0
-    rows = max(1, lists.count())
-    side = small_side(lists, 48 + 40 * total // rows)
-    return _base(docs, id_col, text_col).join(side, ["id", "tag"]).select("doc_id", "id", "tag", "text", "request")
+    return over_texts(base_rows(docs, id_col, text_col), one, f"n_words long, sha string, pieces {PIECES}")
 
 
 def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
@@ -142,7 +95,7 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: s
         h = window_hashes(_word_hashes(text.split()), window).view(np.int64)
         return ([{**r, "h": h[r["start"] : r["start"] + r["n"]].tolist()} for r in request],)
 
-    taken = _over_texts(_requested(docs, ask, id_col, text_col, "x"), edges, "out array<struct<m:long,p:long,start:int,n:int,h:array<long>>>")
+    taken = over_texts(requested(docs, ask, id_col, text_col, "x"), edges, "out array<struct<m:long,p:long,start:int,n:int,h:array<long>>>")
     # a twin row under the same key repeats its request: distinct takes it out
     taken = taken.select("id", "tag", F.explode("out").alias("x")).select("id", "tag", "x.m", "x.p", "x.start", F.posexplode("x.h").alias("off", "h"))
     taken = materialize(taken)
@@ -175,22 +128,13 @@ def _verified(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) ->
         words = text.split()
         return ([{"lo": r["lo"], "len": r["len"], "d": xxhash.xxh3_128_digest(b" ".join(words[r["lo"] : r["lo"] + r["len"]]))} for r in request],)
 
-    rows = _requested(docs, ask.select("x.id", "x.tag", F.struct("x.lo", "x.len").alias("x")), id_col, text_col, "x")
-    got = materialize(_over_texts(rows, digests, "out array<struct<lo:int,len:int,d:binary>>").select("id", "tag", F.explode("out").alias("x")).select("id", "tag", "x.*").distinct())
+    rows = requested(docs, ask.select("x.id", "x.tag", F.struct("x.lo", "x.len").alias("x")), id_col, text_col, "x")
+    got = materialize(over_texts(rows, digests, "out array<struct<lo:int,len:int,d:binary>>").select("id", "tag", F.explode("out").alias("x")).select("id", "tag", "x.*").distinct())
     mine = got.withColumnRenamed("d", "d1")
     theirs = got.select(F.col("id").alias("src"), F.col("tag").alias("stag"), F.col("lo").alias("slo"), "len", F.col("d").alias("d2"))
     return spans.join(mine, ["id", "tag", "lo", "len"]).join(theirs, ["src", "stag", "slo", "len"]).where("d1 = d2").select("id", "tag", "lo", "len", "src", "stag", "slo")
 
 
-def _mask(n: int, request: list[dict]) -> np.ndarray:
-    """True for each of ``n`` words that some span covers."""
-    step = np.zeros(n + 1, np.int64)
-    for r in request:
-        step[r["lo"]] += 1
-        step[min(n, r["lo"] + r["len"])] -= 1
-    return np.cumsum(step[:n]) > 0
-
-
 def span_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256."""
     scanned = materialize(scan(docs, id_col, text_col, window, anchor))
@@ -198,12 +142,12 @@ def span_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def cut(text: bytes, request: list[dict]) -> tuple:
         words = text.split()
-        gone = _mask(len(words), request)
+        gone = covered(len(words), request)
         kept = [w for w, g in zip(words, gone.tolist()) if not g]
         return len(words), int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()
 
-    rows = _requested(docs, spans.select("id", "tag", F.struct("lo", "len").alias("x")), id_col, text_col, "x")
-    cut_rows = _over_texts(rows, cut, "n_words long, n_removed long, kept_sha256 string").drop("id", "tag")
+    rows = requested(docs, spans.select("id", "tag", F.struct("lo", "len").alias("x")), id_col, text_col, "x")
+    cut_rows = over_texts(rows, cut, "n_words long, n_removed long, kept_sha256 string").drop("id", "tag")
     touched = spans.select("id", "tag").distinct()
     rest = scanned.join(touched, ["id", "tag"], "left_anti").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"))
     return rest.unionByName(cut_rows)
@@ -220,7 +164,7 @@ def drop_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     side = small_side(lists, 48 + 40 * total // max(1, lists.count()))
     key_id, key_tag, request = fresh(docs, "id", "tag", "request")
     side = side.select(F.col("id").alias(key_id), F.col("tag").alias(key_tag), F.col("request").alias(request))
-    id_key, tag_key = _key(id_col, text_or_empty(text_col))
+    id_key, tag_key = key_columns(id_col, text_or_empty(text_col))
     out = docs.join(side, (id_key == F.col(key_id)) & (tag_key == F.col(key_tag)), "left")
 
     @F.pandas_udf("string")
@@ -240,6 +184,6 @@ def _cut_text(text: str | None, request) -> str | None:
     if text is None or request is None:
         return text
     ends = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text)]
-    gone = _mask(len(ends), list(request))
+    gone = covered(len(ends), list(request))
     lead = text[: ends[0][0]] if ends else text
     return lead + "".join(text[a:b] for (a, b), g in zip(ends, gone.tolist()) if not g)

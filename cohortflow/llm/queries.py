@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import debruijn, lines, packing, rules, simhash
+from cohortflow.llm import bpe, debruijn, embed, lines, packing, rules, simhash, suffix
 from cohortflow.llm.common import read_table
 
 
@@ -16,6 +17,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.span_report(read_table(spark, sf_dir, "documents"))
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.span_report(read_table(spark, sf_dir, "documents"))
 
@@ -29,6 +42,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score_documents(docs, rules.learn_from(docs, read_table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op3_best_fit_packing, op8_substring_dedup, op9_line_dedup, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_simhash_dedup,
+        op3_best_fit_packing,
+        op5_suffix_array_dedup,
+        op6_bpe_round_trip,
+        op7_embedding_dedup,
+        op8_substring_dedup,
+        op9_line_dedup,
+        op10_quality_rules,
+    )
+}
 
 ORACLE = {"op9_line_dedup": lines.LINE_REPORT_SQL}
