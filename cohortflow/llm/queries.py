@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import bpe, debruijn, embed, lines, packing, rules, simhash, suffix
+from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, packing, rules, simhash, suffix
 from cohortflow.llm.common import read_table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -17,6 +21,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.span_report(read_table(spark, sf_dir, "documents"))
 
@@ -45,8 +53,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_html_extraction,
         op2_simhash_dedup,
         op3_best_fit_packing,
+        op4_quality_classifier,
         op5_suffix_array_dedup,
         op6_bpe_round_trip,
         op7_embedding_dedup,
