@@ -8,11 +8,11 @@ edges always meet under the same minimizer.
 
 1. One pass over the texts writes each document's pieces.
 2. Pieces whose minimizer stands in one document only leave (a join).
-3. Equal pieces become one, with its first source (smallest id, place).  A
-   minimizer with a single distinct piece has no branch: all its edges have that
-   source.  The pieces of branching minimizers are taken apart into their edges,
-   each edge gets its first source, and runs of edges on one source diagonal are
-   compacted again.
+3. Equal pieces become one, with its first source (smallest id, place): a
+   nonbranching path.  A minimizer with several distinct pieces branches: there
+   the edges of each piece's first source are taken apart, edges that also stand
+   under a smaller id get that source, and runs of them on one source diagonal
+   are compacted again.
 4. Occurrences join their piece; runs that continue each other on the same
    diagonal are compacted into long repeated spans.
 5. Source coordinates verify every span: the words at both places are digested
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import _mix, col, fresh, materialize, minimizers, release, small_side, text_or_empty, window_hashes
+from cohortflow.llm.common import _mix, col, free_shuffles, fresh, materialize, minimizers, release, small_side, text_or_empty, window_hashes
 from cohortflow.llm.texts import base_rows, covered, key_columns, over_texts, requested
 
 WINDOW = 50
@@ -79,33 +79,35 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: s
     """(id, tag, lo, len, src, stag, slo): verified spans of words, compacted,
     that also start at ``slo`` of a document with a smaller id."""
     every = scanned.select("id", "tag", F.explode("pieces").alias("x")).select("id", "tag", "x.*")
-    shared = every.groupBy("m").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("m")
-    found = materialize(every.join(shared, "m"))
+    shared = materialize(every.groupBy("m").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("m"))
+    found = materialize(every.join(small_side(shared, 8), "m"))
+    free_shuffles(docs)
     first = F.min(F.struct("id", "tag", "start")).alias("s")
     paths = materialize(found.groupBy("m", "p").agg(first, F.max("id").alias("last"), F.first("n").alias("n")))
     branching = materialize(paths.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"))
 
-    plain = paths.join(branching, "m", "left_anti").where("s.id < last")
-    runs = plain.select("m", "p", F.lit(0).alias("lo"), F.col("n").alias("len"), F.col("s.id").alias("src"), F.col("s.tag").alias("stag"), F.col("s.start").alias("slo"))
+    # a whole piece stands at its first source
+    runs = paths.where("s.id < last").select("m", "p", F.lit(0).alias("lo"), F.col("n").alias("len"), F.col("s.id").alias("src"), F.col("s.tag").alias("stag"), F.col("s.start").alias("slo"))
 
-    # branching pieces: their edges, from the text of each piece's first source
-    ask = paths.join(branching, "m").select("s.id", "s.tag", F.struct("m", "p", F.col("s.start").alias("start"), "n").alias("x"))
+    # branching pieces: their edges, from the text of each piece's first source,
+    # may stand in a document with a smaller id than the piece's
+    ask = paths.join(small_side(branching, 8), "m").select("s.id", "s.tag", F.struct("m", "p", F.col("s.start").alias("start"), "n").alias("x"))
 
     def edges(text: bytes, request: list[dict]) -> tuple:
         h = window_hashes(_word_hashes(text.split()), window).view(np.int64)
         return ([{**r, "h": h[r["start"] : r["start"] + r["n"]].tolist()} for r in request],)
 
     taken = over_texts(requested(docs, ask, id_col, text_col, "x"), edges, "out array<struct<m:long,p:long,start:int,n:int,h:array<long>>>")
-    # a twin row under the same key repeats its request: distinct takes it out
-    taken = taken.select("id", "tag", F.explode("out").alias("x")).select("id", "tag", "x.m", "x.p", "x.start", F.posexplode("x.h").alias("off", "h"))
-    taken = materialize(taken)
-    origin = taken.groupBy("m", "h").agg(F.min(F.struct("id", "tag", (F.col("start") + F.col("off")).alias("at"))).alias("o"), F.max("id").alias("hi"), F.count("*").alias("c"))
-    lasts = paths.select("m", "p", "last")
-    edge = taken.select("m", "p", "off", "h").distinct().join(origin, ["m", "h"]).join(lasts, ["m", "p"]).where("o.id < last")
-    edge = edge.select("m", "p", "off", F.col("o.id").alias("src"), F.col("o.tag").alias("stag"), (F.col("o.at") - F.col("off")).alias("diag"))
+    taken = materialize(taken.select("id", "tag", F.explode("out").alias("x")).select("id", "tag", "x.m", "x.p", "x.start", F.posexplode("x.h").alias("off", "h")))
+    free_shuffles(docs)
+    several = materialize(taken.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("h"))
+    both = materialize(taken.join(small_side(several, 8), "h"))
+    origin = both.groupBy("h").agg(F.min(F.struct("id", "tag", (F.col("start") + F.col("off")).alias("at"))).alias("o"))
+    edge = both.join(origin, "h").where("o.id < id").select("m", "p", "off", F.col("o.id").alias("src"), F.col("o.tag").alias("stag"), (F.col("o.at") - F.col("off")).alias("diag"))
+    # runs of edges on one diagonal (a row listed twice asks twice: dense ranks)
     line = W.partitionBy("m", "p", "src", "stag", "diag").orderBy("off")
-    edge = edge.withColumn("island", F.col("off") - F.row_number().over(line))
-    edge = edge.groupBy("m", "p", "src", "stag", "diag", "island").agg(F.min("off").alias("lo"), F.count("*").cast("int").alias("len"))
+    edge = edge.withColumn("island", F.col("off") - F.dense_rank().over(line))
+    edge = edge.groupBy("m", "p", "src", "stag", "diag", "island").agg(F.min("off").alias("lo"), (F.max("off") - F.min("off") + 1).alias("len"))
     runs = runs.unionByName(edge.select("m", "p", "lo", "len", "src", "stag", (F.col("diag") + F.col("lo")).alias("slo")))
 
     hits = found.join(runs, ["m", "p"]).where("src < id").select("id", "tag", (F.col("start") + F.col("lo")).alias("lo"), "len", "src", "stag", "slo").distinct()
@@ -115,7 +117,8 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: s
     spans = hits.groupBy("id", "tag", "src", "stag", "diag", "part").agg(F.min("lo").alias("lo"), F.max(F.col("lo") + F.col("len")).alias("hi"))
     spans = spans.select("id", "tag", "lo", (F.col("hi") - F.col("lo") + (window - 1)).alias("len"), "src", "stag", (F.col("lo") + F.col("diag")).alias("slo"))
     spans = materialize(spans)
-    release(found, paths, branching, taken)
+    release(found, paths, branching, taken, shared, several, both)
+    free_shuffles(docs)
     return _verified(docs, spans, id_col, text_col)
 
 

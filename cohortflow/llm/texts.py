@@ -51,12 +51,16 @@ def _arrow(t) -> pa.DataType:
 
 
 def requested(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, items: str) -> DataFrame:
-    """Documents that ``asked`` names, with the structs they are asked for."""
+    """Documents that ``asked`` names, with the structs they are asked for.
+
+    Texts are shuffled to their requests; while the keys asked for are few
+    enough to broadcast, the other texts are left out before the shuffle."""
     lists = materialize(asked.groupBy("id", "tag").agg(F.collect_list(items).alias("request")))
-    total = lists.agg(F.sum(F.size("request"))).first()[0] or 0
-    rows = max(1, lists.count())
-    side = small_side(lists, 48 + 40 * total // rows)
-    return base_rows(docs, id_col, text_col).join(side, ["id", "tag"]).select("doc_id", "id", "tag", "text", "request")
+    rows = base_rows(docs, id_col, text_col)
+    keys = lists.select("id", "tag")
+    if (few := small_side(keys, 16)) is not keys:
+        rows = rows.join(few, ["id", "tag"], "left_semi")
+    return rows.join(lists, ["id", "tag"]).select("doc_id", "id", "tag", "text", "request")
 
 
 def covered(n: int, request: list[dict]) -> np.ndarray:
