@@ -23,20 +23,11 @@ def clean_name(c: str | Column) -> Column:
     return F.translate(F.lower(stripped), " -/", "___")
 
 
-def clean_name_py(value: object) -> str:
-    """Driver-side twin of :func:`clean_name`, for names of pivot columns."""
-    return str(value).strip().lower().replace(" ", "_").replace("-", "_").replace("/", "_")
-
-
 def false_if_null(predicate: Column) -> Column:
     """pandas comparison: missing compares False -> 0/1 integer."""
     return F.coalesce(predicate.cast("long"), F.lit(0).cast("long"))
 
 
-def zero_if_null(c: str | Column) -> Column:
-    return F.coalesce(col(c), F.lit(0))
-
-
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """num / den, NULL when den is 0 or NULL (never raises under ANSI)."""
     return F.when(col(den) > 0, col(num) / col(den))
@@ -71,7 +62,3 @@ def is_retake(prev: str = "num_of_prev_attempts") -> Column:
 def numeric(c: str | Column) -> Column:
     """pd.to_numeric(errors='coerce'): unparsable -> NULL, never raises."""
     return F.expr(f"try_cast({c} as double)") if isinstance(c, str) else c.try_cast("double")
-
-
-def round6(c: str | Column) -> Column:
-    return F.round(col(c), 6)

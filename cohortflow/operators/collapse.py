@@ -3,20 +3,16 @@
 Two policies exist and differ in their *input*, not only their function:
 the sum/max strategies drop exact duplicate rows first, the mean strategy
 averages the raw rows. For a log whose columns are exactly (event key,
-measure) the exact-dedup sum equals ``sum(DISTINCT measure)`` per key, so all
-three strategies come out of one aggregate with one shuffle on the event key
-and map-side partial aggregation (hot entities are combined before the
-shuffle, and the shuffle key includes item and day, so one busy entity is
-spread over many tasks).
+measure) the exact-dedup sum is the sum of the key's distinct measure values,
+so all three strategies come out of one pair of aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.columns import clean_name
-from cohortflow.operators.joins import bounded_broadcast
 from cohortflow.schemas import COURSE_LOG, EntitySpec
 
 UNKNOWN_ACTIVITY = "unknown_activity_type"
@@ -27,18 +23,9 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def first_per_key(df: DataFrame, key: str | list[str], order: list[str] | None = None) -> DataFrame:
-    """Keep one row per key under a total order (default: all columns),
-    the deterministic form of ``drop_duplicates(subset=key)``."""
-    keys = [key] if isinstance(key, str) else list(key)
-    order_cols = order or [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def site_dimension(vle: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
     """(item, category, category_clean), one row per item; a repeated item
-    keeps its smallest category (hash aggregate, no sort)."""
+    keeps its smallest category."""
     dim = vle.groupBy(spec.item).agg(F.min(spec.category).alias(spec.category))
     return dim.withColumn("activity_clean", clean_name(spec.category))
 
@@ -53,39 +40,36 @@ def collapse_events(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
     * ``raw_rows`` / ``dedup_rows`` - row counts under both policies (for a
       log of exactly (key, measure), rows left after exact dedup = distinct
       measure values, NULL counted once = ``distinct_values``)
-    """
-    m = F.col(spec.measure)
-    g = log.groupBy(*spec.event_key).agg(
-        # distinct measure values of one event key: bounded by that key's
-        # duplicate count (at most 8 in the published data), and combined
-        # map-side, so the whole collapse is a single shuffle on the key
-        F.collect_set(m).alias("_vals"),
-        F.max(m.isNull().cast("long")).alias("_has_null"),
+
+    Two hash aggregates of fixed-width columns: rows per (key, measure), then
+    per key. Both combine before their shuffle, so a key or an exact duplicate
+    that holds a third of the log is a few rows by then."""
+    m, n = F.col(spec.measure), F.col("_n")
+    values = log.groupBy(*spec.event_key, spec.measure).agg(F.count(F.lit(1)).alias("_n"))
+    g = values.groupBy(*spec.event_key).agg(
+        F.sum(m).alias("clicks_sum"),
         F.max(m).alias("clicks_max"),
-        F.avg(m).alias("clicks_mean"),
-        F.sum(m).alias("clicks_raw"),
-        F.count(F.lit(1)).alias("raw_rows"),
+        F.sum(m * n).alias("clicks_raw"),
+        F.sum(F.when(m.isNotNull(), n)).alias("_known"),
+        F.sum(n).alias("raw_rows"),
+        F.count(F.lit(1)).alias("distinct_values"),
     )
-    n_values = F.size("_vals").cast("long") + F.col("_has_null")
-    vals = F.col("_vals")
     return g.select(
         *spec.event_key,
-        F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0).cast(log.schema[spec.measure].dataType), lambda a, x: a + x)).alias(
-            "clicks_sum"
-        ),
+        "clicks_sum",
         "clicks_max",
-        "clicks_mean",
+        (F.col("clicks_raw") / F.col("_known")).alias("clicks_mean"),
         "clicks_raw",
         "raw_rows",
-        n_values.alias("dedup_rows"),
-        n_values.alias("distinct_values"),
+        F.col("distinct_values").alias("dedup_rows"),
+        "distinct_values",
     )
 
 
 def with_activity(collapsed: DataFrame, vle: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
-    """J2 + F13: attach the item's category (size-checked broadcast of the
-    dimension); unmatched items get ``unknown_activity_type``."""
-    dim = bounded_broadcast(site_dimension(vle, spec))
+    """J2 + F13: attach the item's category (the planner picks the join from the
+    dimension's size); unmatched items get ``unknown_activity_type``."""
+    dim = site_dimension(vle, spec)
     return (
         collapsed.join(dim, spec.item, "left")
         .withColumn("activity_matched", F.col(spec.category).isNotNull())

@@ -44,8 +44,3 @@ def expand_by_cutoff(
         t = F.col(time_col)
         arr = F.filter(arr, lambda c: c["cutoff_day"] >= t)
     return df.select("*", F.inline(arr))
-
-
-def cutoff_frame(spark, cutoffs: Mapping[str, int] = CUTOFFS) -> DataFrame:
-    """The cutoffs as a tiny DataFrame (cutoff, cutoff_day)."""
-    return spark.createDataFrame([(k, int(v)) for k, v in cutoffs.items()], "cutoff string, cutoff_day long")

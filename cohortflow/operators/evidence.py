@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators.collapse import collapse_events, with_activity
 from cohortflow.operators.cutoffs import at_or_before, expand_by_cutoff
+from cohortflow.operators.joins import unique_in_plan
 from cohortflow.schemas import COURSE_LOG, CUTOFFS, ENTITY_KEY, EntitySpec
 
 E = ENTITY_KEY
@@ -68,7 +69,7 @@ def unmatched_rows(
         "rows",
         F.coalesce("unmatched_rows", F.lit(0).cast("long")).alias("unmatched_rows"),
     )
-    meta = assessments.select("id_assessment", F.lit(True).alias("_m"))
+    meta = unique_in_plan(assessments.select("id_assessment"), ["id_assessment"], "assessments").withColumn("_m", F.lit(True))
     j = expand_by_cutoff(
         submissions.select("id_assessment", "date_submitted").join(meta, "id_assessment", "left"), "date_submitted", cutoffs
     )
@@ -116,7 +117,8 @@ def strategy_totals(cohort_clicks: DataFrame) -> DataFrame:
 
 def on_time_share(submissions: DataFrame, assessments: DataFrame, cutoffs: Mapping[str, int] = CUTOFFS) -> DataFrame:
     """Share of submissions with a known due date that were on time."""
-    meta = assessments.where(F.col("date").isNotNull()).select("id_assessment", F.col("date").alias("due"))
+    meta = unique_in_plan(assessments.select("id_assessment", F.col("date").alias("due")), ["id_assessment"], "assessments")
+    meta = meta.where(F.col("due").isNotNull())
     j = submissions.select("id_assessment", "date_submitted").join(meta, "id_assessment")
     x = expand_by_cutoff(j, "date_submitted", cutoffs)
     on_time = (F.col("date_submitted") <= F.col("due")).cast("long")

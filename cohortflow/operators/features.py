@@ -1,13 +1,8 @@
 """Leakage-safe entity features as of several cutoff days, in one pass.
 
 Click block: the event log is read once (``date <= max cutoff`` pushed to the
-scan), collapsed to the event key (one shuffle, see ``collapse``), expanded to
-the cutoffs each event is visible at, and rolled up per (cutoff, entity). The
-activity pivot is folded into that same aggregate as conditional sums, so no
-second job and no join back are needed. Distinct day/site counts use
-``size(collect_set)`` - both sets are bounded (days by the cutoff range, sites
-by the dimension) - which avoids the row-multiplying Expand of two
-``countDistinct``.
+scan), collapsed to the event key (see ``collapse``), reduced to narrow rows per
+(entity, band), and only those are expanded to the cutoffs and pivoted.
 
 Assessment block: submissions are joined to the assessment dimension once;
 the "all rows" (Stage 3) and "known due date only" (baseline) rollups are
@@ -21,8 +16,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.functions.columns import clean_name, clean_name_py, false_if_null, safe_ratio
+from cohortflow.functions.columns import clean_name, false_if_null, safe_ratio
 from cohortflow.operators.collapse import UNKNOWN_ACTIVITY, collapse_events, with_activity
+from cohortflow.operators.joins import unique_in_plan
 from cohortflow.operators.cutoffs import at_or_before, expand_by_cutoff
 from cohortflow.schemas import COURSE_LOG, CUTOFFS, ENTITY_KEY, EntitySpec
 
@@ -38,22 +34,10 @@ def activity_type_names(vle: DataFrame, category: str = "activity_type") -> Data
     return vle.where(F.col(category).isNotNull()).select(clean_name(category).alias("activity_type")).distinct()
 
 
-_TYPES: dict[tuple, object] = {}
-
-
-def _memo(key: tuple, compute):
-    """Schema-shaping lists are data-dependent; remember them per plan."""
-    if key not in _TYPES:
-        _TYPES[key] = compute()
-    return _TYPES[key]
-
-
 def dimension_activity_types(vle: DataFrame, category: str = "activity_type") -> list[str]:
-    """Sorted A24 names on the driver: a schema-shaping list, bounded by the
-    dimension size."""
-    names = activity_type_names(vle, category)
-    key = ("dim", id(vle.sparkSession._jsparkSession), names.semanticHash())
-    return list(_memo(key, lambda: sorted(r.activity_type for r in names.collect())))
+    """Sorted A24 names on the driver: a schema-shaping list, one name per
+    category of the dimension. Read anew on every call."""
+    return sorted(r.activity_type for r in activity_type_names(vle, category).collect())
 
 
 def observed_activity_types(
@@ -61,19 +45,18 @@ def observed_activity_types(
 ) -> dict[str, list[str]]:
     """Clean activity names seen in the log by each cutoff (R1 schema).
 
-    Reads two columns of the log and keeps the first day per item (partial
-    aggregation, output bounded by the number of items)."""
+    A second, two-column scan of the log that keeps the first day per item
+    (partial aggregation, output bounded by the number of items)."""
     first_day = at_or_before(log, spec.time, cutoffs).groupBy(spec.item).agg(F.min(spec.time).alias("d"))
-    typed = with_activity(first_day, vle, spec).groupBy("activity_clean").agg(F.min("d").alias("d"))
-    key = ("observed", id(log.sparkSession._jsparkSession), typed.semanticHash())
-    rows = _memo(key, typed.collect)
+    rows = with_activity(first_day, vle, spec).groupBy("activity_clean").agg(F.min("d").alias("d")).collect()
     return {
         name: sorted(r.activity_clean for r in rows if r.d <= day) for name, day in cutoffs.items()
     }
 
 
 def activity_column(t: str, suffix: str) -> str:
-    return f"clicks_activity_{clean_name_py(t)}_{suffix}"
+    """Pivot column of an (already clean) activity name."""
+    return f"clicks_activity_{t}_{suffix}"
 
 
 # --------------------------------------------------------------------------
@@ -92,30 +75,54 @@ def click_rollup(
 
     Columns: cutoff, cutoff_day, entity key, the Stage 3 block (sum/max
     strategies, with pivot columns for ``stage3_types``) and the baseline
-    block (mean strategy, pivot columns for ``baseline_types``)."""
+    block (mean strategy, pivot columns for ``baseline_types``).
+
+    A row's band is the first cutoff that sees it. Three narrow aggregates
+    leave the collapsed log: sums per (entity, band, activity), active days
+    and first day per item counted by band. Only these few rows per entity
+    are expanded to the cutoffs and pivoted."""
     events = at_or_before(log.select(*spec.event_key, spec.measure), spec.time, cutoffs)
     k = with_activity(collapse_events(events, spec), vle, spec)
-    x = expand_by_cutoff(k, spec.time, cutoffs)
-    t = F.col("activity_clean")
+    t, day = F.col("activity_clean"), F.col(spec.time)
+    band = F.least(*[F.when(day <= d, F.lit(d)) for d in cutoffs.values()], F.lit(None)).cast("long").alias("_band")
+    none = F.lit(None)
+    sums = k.groupBy(*spec.key, band, "activity_clean").agg(
+        F.sum("clicks_sum").alias("_s"),
+        F.sum("clicks_max").alias("_x"),
+        F.sum("clicks_mean").alias("_m"),
+        F.min(spec.time).alias("_first"),
+        F.max(spec.time).alias("_last"),
+        F.lit(0).cast("long").alias("_days"),
+        F.lit(0).cast("long").alias("_items"),
+    )
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        n = rows.groupBy(*spec.key, band).agg(F.count(F.lit(1)).alias("_n"))
+        blank = [none.cast(f.dataType).alias(f.name) for f in sums.schema if f.name in ("activity_clean", "_s", "_x", "_m", "_first", "_last")]
+        both = [(F.col("_n") if c == name else F.lit(0)).cast("long").alias(c) for c in ("_days", "_items")]
+        return n.select(*spec.key, "_band", *blank, *both)
+
+    days = counted(k.select(*spec.key, spec.time).distinct(), "_days")
+    items = counted(k.where(F.col(spec.item).isNotNull()).groupBy(*spec.key, spec.item).agg(F.min(spec.time).alias(spec.time)), "_items")
+    x = expand_by_cutoff(sums.unionByName(days).unionByName(items), "_band", cutoffs)
 
     def pivot(types: Sequence[str], measure: str, suffix: str) -> list[Column]:
         return [
-            F.coalesce(F.sum(F.when(t == clean_name_py(a), F.col(measure))), F.lit(0))
-            .alias(activity_column(a, suffix))
+            F.coalesce(F.sum(F.when(t == a, F.col(measure))), F.lit(0)).alias(activity_column(a, suffix))
             for a in types
         ]
 
     aggs = [
-        F.sum("clicks_sum").alias("total_click_until_cutoff_sum_strategy"),
-        F.sum("clicks_max").alias("total_click_until_cutoff_max_strategy"),
-        F.sum("clicks_mean").alias("total_click_until_cutoff_mean_strategy"),
-        F.size(F.collect_set(spec.time)).cast("long").alias("active_days_until_cutoff"),
-        F.size(F.collect_set(spec.item)).cast("long").alias("used_site_count_until_cutoff"),
-        F.min(spec.time).alias("first_activity_date_until_cutoff"),
-        F.max(spec.time).alias("last_activity_date_until_cutoff"),
-        *pivot(stage3_types, "clicks_sum", "sum_strategy"),
-        *pivot(stage3_types, "clicks_max", "max_strategy"),
-        *pivot(baseline_types, "clicks_mean", "until_cutoff_mean_strategy"),
+        F.sum("_s").alias("total_click_until_cutoff_sum_strategy"),
+        F.sum("_x").alias("total_click_until_cutoff_max_strategy"),
+        F.sum("_m").alias("total_click_until_cutoff_mean_strategy"),
+        F.sum("_days").alias("active_days_until_cutoff"),
+        F.sum("_items").alias("used_site_count_until_cutoff"),
+        F.min("_first").alias("first_activity_date_until_cutoff"),
+        F.max("_last").alias("last_activity_date_until_cutoff"),
+        *pivot(stage3_types, "_s", "sum_strategy"),
+        *pivot(stage3_types, "_x", "max_strategy"),
+        *pivot(baseline_types, "_m", "until_cutoff_mean_strategy"),
     ]
     # cutoff_day is a function of cutoff: carry it as an aggregate so the
     # output is partitioned on (cutoff, entity), the key of every later join
@@ -185,7 +192,7 @@ def assessment_rollup(
     from the submission; unmatched submissions form a NULL-course group that
     never joins back. ``clean_*`` columns are the baseline variant: rows of
     assessments without a due date are removed before everything."""
-    meta = assessments.select(
+    meta = unique_in_plan(assessments, ["id_assessment"], "assessments").select(
         "id_assessment",
         "code_module",
         "code_presentation",

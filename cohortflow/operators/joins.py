@@ -1,30 +1,12 @@
-"""Join helpers: size-checked broadcast and cardinality guards."""
+"""Join helpers: cardinality guards."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows; larger
-# ones are left to the planner (sort-merge join, AQE may still convert).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-_SMALL: dict[tuple[int, int, int], bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count (reads at most
-    ``max_rows + 1`` rows); otherwise return ``df`` unhinted. The verdict is
-    remembered per plan (semantic hash) within the session."""
-    key = (id(df.sparkSession._jsparkSession), df.semanticHash(), max_rows)
-    if key not in _SMALL:
-        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _SMALL[key] else df
-
-
 class JoinCardinalityError(ValueError):
     pass
 
@@ -46,11 +28,14 @@ def assert_unique(df: DataFrame, key: Sequence[str], what: str = "table") -> Dat
 
 def unique_in_plan(df: DataFrame, key: Sequence[str], what: str = "table") -> DataFrame:
     """Lazy uniqueness guard: the query fails at run time if ``key`` repeats.
-    The per-key count is a window partitioned by the key, so a following
-    join on the same key reuses its shuffle instead of adding a job."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
+
+    One aggregate on the key, combined before its shuffle, so a key that
+    repeats millions of times is one row by then; a following join on the same
+    key reuses the shuffle."""
+    rest = [c for c in df.columns if c not in key]
+    one = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_key_n"), *[F.any_value(c).alias(c) for c in rest])
     msg = f"{what}: key {list(key)} is not unique"
-    return df.withColumn("_key_n", n).where(F.assert_true(F.col("_key_n") == 1, msg).isNull()).drop("_key_n")
+    return one.where(F.assert_true(F.col("_key_n") == 1, msg).isNull()).select(*df.columns)
 
 
 def join_validated(

@@ -4,12 +4,12 @@
   label) without a global window. Rows are ordered by a seeded arithmetic
   hash, split into hash buckets, ranked locally inside each bucket, and the
   small per-bucket count table (groups x buckets rows) supplies the offsets.
-* Gaussian naive Bayes is a handful of aggregates (prior, mean, variance per
+* Gaussian naive Bayes is one conditional aggregate (prior, mean, variance per
   class and held-out fold), so predictions are plain column arithmetic and an
   SQL oracle can check them.
 * ROC AUC is the Mann-Whitney statistic with ties counted half, computed from
-  a score histogram; cumulative negatives come from per-bucket totals, so no
-  task ever holds a whole fold.
+  a range-partitioned score histogram; cumulative negatives come from
+  per-partition totals, so no task ever holds a whole fold.
 * Tree, forest and RBF-approximating SVC fits use Spark ML on the
   materialised matrix; they are compared by metrics, not predictions.
 """
@@ -17,18 +17,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.schemas import ENTITY_KEY
+from cohortflow.session import materialize
 
 E = ENTITY_KEY
 SEED = 42
 N_FOLDS = 5
-FOLD_BUCKETS = 64
-AUC_BUCKETS = 1024
+FOLD_BUCKETS = 4096
 HASH_PRIME = 1000003
 NB_VAR_SMOOTHING = 1e-9
 
@@ -49,10 +50,12 @@ def assign_folds(
 ) -> DataFrame:
     """M1: ``fold`` column, stratified by ``label`` within ``group``.
 
-    Global order = (bucket, hash, key); rank = bucket offset + local rank;
-    fold = rank mod n_folds."""
+    Global order = (hash, key); buckets are ranges of the hash, so rank =
+    bucket offset + local rank whatever ``buckets`` is: it only sets how many
+    pieces a (group, label) is ranked in, i.e. the parallelism and the rows of
+    a window task. fold = rank mod n_folds."""
     g = [*group, label]
-    x = df.withColumn("_h", seeded_hash(seed=seed)).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
+    x = df.withColumn("_h", seeded_hash(seed=seed)).withColumn("_b", F.floor(F.col("_h") * buckets / HASH_PRIME))
     local = Window.partitionBy(*g, "_b").orderBy("_h", *E)
     x = x.withColumn("_r", F.row_number().over(local))
     sizes = x.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -78,54 +81,34 @@ def gaussian_nb_predictions(
     """M3: out-of-fold Gaussian NB (population variances plus the usual
     smoothing of 1e-9 x the largest feature variance of the training set).
 
-    Training statistics for held-out fold k are (all folds) - (fold k), from
-    per-(group, label, fold) sums: a table of groups x 2 x n_folds rows."""
-    g = list(group)
-    sums = folded.groupBy(*g, label, "fold").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(f).cast("double")).alias(f"s_{i}") for i, f in enumerate(features)],
-        *[F.sum(F.col(f).cast("double") ** 2).alias(f"q_{i}") for i, f in enumerate(features)],
-    )
-    folds = sums.select(*g).distinct().select(*g, F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("held_out"))
-    train = (
-        folds.join(sums, g)
-        .where(F.col("fold") != F.col("held_out"))
-        .groupBy(*g, "held_out", label)
-        .agg(
-            F.sum("n").alias("n"),
-            *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(len(features))],
-            *[F.sum(f"q_{i}").alias(f"q_{i}") for i in range(len(features))],
-        )
-    )
-    stats = train.select(
-        *g,
-        "held_out",
-        label,
-        "n",
-        *[(F.col(f"s_{i}") / F.col("n")).alias(f"m_{i}") for i in range(len(features))],
-        *[
-            (F.col(f"q_{i}") / F.col("n") - (F.col(f"s_{i}") / F.col("n")) ** 2).alias(f"v_{i}")
-            for i in range(len(features))
-        ],
-        *[F.col(f"s_{i}") for i in range(len(features))],
-        *[F.col(f"q_{i}") for i in range(len(features))],
-    )
-    w = Window.partitionBy(*g, "held_out")
-    tot_n = F.sum("n").over(w)
-    all_var = [
-        F.sum(f"q_{i}").over(w) / tot_n - (F.sum(f"s_{i}").over(w) / tot_n) ** 2 for i in range(len(features))
-    ]
-    eps = F.greatest(*all_var) * NB_VAR_SMOOTHING if len(all_var) > 1 else all_var[0] * NB_VAR_SMOOTHING
-    stats = stats.withColumn("prior", F.col("n") / tot_n).withColumn("_eps", eps)
-    stats = stats.withColumns({f"v_{i}": F.col(f"v_{i}") + F.col("_eps") for i in range(len(features))})
-    c0 = stats.where(F.col(label) == 0).select(
-        *g, "held_out", *[F.col(c).alias(f"{c}_0") for c in ["prior", *[f"m_{i}" for i in range(len(features))], *[f"v_{i}" for i in range(len(features))]]]
-    )
-    c1 = stats.where(F.col(label) == 1).select(
-        *g, "held_out", *[F.col(c).alias(f"{c}_1") for c in ["prior", *[f"m_{i}" for i in range(len(features))], *[f"v_{i}" for i in range(len(features))]]]
-    )
+    All training statistics come from one conditional aggregate: per held-out
+    fold and class the count, means and (two-pass-free, numerically stable)
+    ``var_pop`` of the other folds; one row per group leaves the shuffle."""
+    g, xs = list(group), [F.col(f).cast("double") for f in features]
+    aggs = []
+    for k in range(n_folds):
+        other = F.col("fold") != k
+        for c in (0, 1):
+            mine = other & (F.col(label) == c)
+            aggs.append(F.count_if(mine).alias(f"n_{k}_{c}"))
+            for i, x in enumerate(xs):
+                aggs += [F.avg(F.when(mine, x)).alias(f"m_{k}_{c}_{i}"), F.var_pop(F.when(mine, x)).alias(f"v_{k}_{c}_{i}")]
+        aggs += [F.var_pop(F.when(other, x)).alias(f"all_{k}_{i}") for i, x in enumerate(xs)]
+    stats = folded.groupBy(*g).agg(*aggs)
+
+    def fold_params(k: int) -> Column:
+        spread = [F.col(f"all_{k}_{i}") for i in range(len(xs))]
+        eps = (F.greatest(*spread) if len(spread) > 1 else spread[0]) * NB_VAR_SMOOTHING
+        rows = F.col(f"n_{k}_0") + F.col(f"n_{k}_1")
+        cols = [F.lit(k).cast("long").alias("fold")]
+        for c in (0, 1):
+            cols.append((F.col(f"n_{k}_{c}") / rows).alias(f"prior_{c}"))
+            for i in range(len(xs)):
+                cols += [F.col(f"m_{k}_{c}_{i}").alias(f"m_{i}_{c}"), (F.col(f"v_{k}_{c}_{i}") + eps).alias(f"v_{i}_{c}")]
+        return F.struct(*cols)
+
     # per-model parameter table: groups x folds rows (bounded)
-    params = c0.join(c1, [*g, "held_out"]).withColumnRenamed("held_out", "fold")
+    params = stats.select(*g, F.inline(F.array(*[fold_params(k) for k in range(n_folds)])))
     x = folded.join(F.broadcast(params), [*g, "fold"])
 
     def loglik(k: int) -> Column:
@@ -151,35 +134,25 @@ def gaussian_nb_predictions(
 # ---------------------------------------------------------------- metrics
 
 
-def classification_metrics(
-    preds: DataFrame, group: Sequence[str] = ("cutoff", "model", "fold"), buckets: int = AUC_BUCKETS
-) -> DataFrame:
+def classification_metrics(preds: DataFrame, group: Sequence[str] = ("cutoff", "model", "fold")) -> DataFrame:
     """M7 + W4: precision, recall, F1 (positive class), accuracy and ROC AUC
     per group. ``preds`` has label (0/1), prediction (0/1), score.
 
-    AUC = sum over distinct scores of pos x (negatives below + half the
-    negatives tied), / (P x N). Scores are bucketed to find "negatives below"
-    without one task per group."""
+    One histogram per (group, score) feeds both the confusion counts and AUC =
+    sum over distinct scores of pos x (negatives below + half the negatives
+    tied) / (P x N). It is range-partitioned by score and written; a partition
+    is a bucket, so crowded scores make no large bucket, and "negatives below"
+    is the bucket's offset plus a running sum inside the bucket."""
     g = list(group)
-    y, p = F.col("label"), F.col("prediction")
-    counts = preds.groupBy(*g).agg(
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-    )
+    y, p = F.col("label") == 1, F.col("prediction") == 1
     hist = preds.groupBy(*g, "score").agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
-    )
-    # score range per group: one row per group (bounded), broadcast
-    span = hist.groupBy(*g).agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
-    hist = hist.join(F.broadcast(span), g).withColumn(
-        "_b",
-        F.least(
-            F.floor((F.col("score") - F.col("_lo")) / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300)) * buckets),
-            F.lit(buckets - 1),
-        ),
+        F.count_if(y).alias("pos"),
+        F.count_if(~y).alias("neg"),
+        F.count_if(y & p).alias("_tp"),
+        F.count_if(~y & p).alias("_fp"),
     )
+    hist = materialize(hist.repartitionByRange(*g, "score").withColumn("_b", F.spark_partition_id()), "score-histogram")
+    # one row per group and partition: bounded by groups x shuffle partitions
     btot = hist.groupBy(*g, "_b").agg(F.sum("neg").alias("_bneg"))
     prior = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     boff = btot.withColumn("_boff", F.coalesce(F.sum("_bneg").over(prior), F.lit(0))).drop("_bneg")
@@ -187,12 +160,13 @@ def classification_metrics(
     h = hist.join(F.broadcast(boff), [*g, "_b"]).withColumn(
         "_below", F.col("_boff") + F.coalesce(F.sum("neg").over(inner), F.lit(0))
     )
-    auc = h.groupBy(*g).agg(
+    m = h.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("_below") + 0.5 * F.col("neg"))).alias("_u"),
         F.sum("pos").alias("_p"),
         F.sum("neg").alias("_n"),
-    )
-    m = counts.join(auc, g)
+        F.sum("_tp").alias("tp"),
+        F.sum("_fp").alias("fp"),
+    ).withColumns({"fn": F.col("_p") - F.col("tp"), "tn": F.col("_n") - F.col("fp")})
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     precision = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     recall = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
@@ -232,6 +206,24 @@ def metric_summary(metrics: DataFrame, n_rows: DataFrame | None = None, features
 # ---------------------------------------------------------------- Spark ML fits
 
 
+@dataclass(frozen=True)
+class ModelParams:
+    """Settings of the Spark ML fits.
+
+    The reference's trees have no depth limit; 30 is Spark's ceiling. The RBF
+    SVC is approximated by ``rff_components`` random Fourier features (gamma 0.5
+    is "scale" on two standardised features) and a linear SVM."""
+
+    max_depth: int = 30
+    max_bins: int = 256
+    trees: int = 200
+    rff_components: int = 100
+    rff_gamma: float = 0.5
+    svc_iterations: int = 25
+    svc_penalty: float = 0.01
+    tree_memory_mb: int = 1024
+
+
 def _scaled(train: DataFrame, test: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
     """M9: standard scaling with population std from the training rows only
     (sklearn semantics; Spark's StandardScaler uses the sample std)."""
@@ -283,11 +275,10 @@ def _rff(df: DataFrame, cols: Sequence[str], n_components: int, gamma: float, se
 
 
 def _fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequence[str], label: str, k: int,
-                 cutoff: str, seed: int) -> DataFrame:
+                 cutoff: str, seed: int, params: ModelParams) -> DataFrame:
     from pyspark.ml.classification import (
         DecisionTreeClassifier,
         LinearSVC,
-        NaiveBayes,
         RandomForestClassifier,
     )
     from pyspark.ml.feature import VectorAssembler
@@ -297,20 +288,21 @@ def _fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequenc
     te = test.withColumn("label", F.col(label).cast("double"))
     if name == "SVC":
         tr, te, zc = _scaled(tr, te, list(features))
-        tr_v, te_v = _rff(tr, zc, RFF_COMPONENTS, RFF_GAMMA, seed), _rff(te, zc, RFF_COMPONENTS, RFF_GAMMA, seed)
+        tr_v, te_v = _rff(tr, zc, params.rff_components, params.rff_gamma, seed), _rff(te, zc, params.rff_components, params.rff_gamma, seed)
     else:
         asm = VectorAssembler(inputCols=list(features), outputCol="features")
         tr_v, te_v = asm.transform(tr), asm.transform(te)
     if name == "DecisionTreeClassifier":
-        est = DecisionTreeClassifier(seed=seed, maxDepth=TREE_MAX_DEPTH, maxBins=256, maxMemoryInMB=1024)
+        est = DecisionTreeClassifier(
+            seed=seed, maxDepth=params.max_depth, maxBins=params.max_bins, maxMemoryInMB=params.tree_memory_mb
+        )
     elif name == "RandomForestClassifier":
         est = RandomForestClassifier(
-            numTrees=200, seed=seed, maxDepth=FOREST_MAX_DEPTH, maxBins=256, maxMemoryInMB=1024
+            numTrees=params.trees, seed=seed, maxDepth=params.max_depth, maxBins=params.max_bins,
+            maxMemoryInMB=params.tree_memory_mb,
         )
-    elif name == "SVC":
-        est = LinearSVC(maxIter=SVC_MAX_ITER, regParam=0.01)
     else:
-        est = NaiveBayes(modelType="gaussian")
+        est = LinearSVC(maxIter=params.svc_iterations, regParam=params.svc_penalty)
     if name == "SVC":
         # iterative optimiser: keep the expanded training vectors in memory
         # for the duration of the fit (recomputable from the parquet input)
@@ -331,25 +323,15 @@ def _fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequenc
     )
 
 
-# Spark trees need a depth limit (max 30); 16 levels already exceed the
-# number of rows per fold in the test data. RBF SVC is approximated by
-# random Fourier features + a linear SVM (gamma 0.5 = sklearn "scale" on two
-# standardised features).
-TREE_MAX_DEPTH = 30
-FOREST_MAX_DEPTH = 16
-RFF_COMPONENTS = 100
-RFF_GAMMA = 0.5
-SVC_MAX_ITER = 25
-
-
 def spark_ml_predictions(
     folded: DataFrame,
     features: Sequence[str],
-    models: Sequence[str] = ("DecisionTreeClassifier", "RandomForestClassifier", "SVC", "GaussianNB"),
+    models: Sequence[str] = ("DecisionTreeClassifier", "RandomForestClassifier", "SVC"),
     label: str = "target_at_risk",
     n_folds: int = N_FOLDS,
     seed: int = SEED,
     parallelism: int = 8,
+    params: ModelParams = ModelParams(),
 ) -> DataFrame:
     """Per cutoff and held-out fold, fit on the other
     folds and predict the held-out rows. Returns (cutoff, model, fold, key,
@@ -368,7 +350,7 @@ def spark_ml_predictions(
                 tasks.append((name, train, test, k, cutoff))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         outs = list(
-            pool.map(lambda t: _fit_predict(t[0], t[1], t[2], features, label, t[3], t[4], seed), tasks)
+            pool.map(lambda t: _fit_predict(t[0], t[1], t[2], features, label, t[3], t[4], seed, params), tasks)
         )
     out = outs[0]
     for o in outs[1:]:

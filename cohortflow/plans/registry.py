@@ -196,6 +196,11 @@ def features_stage3(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(stages.stage3_features(course_tables(spark, sf)))
 
 
+@query
+def stage3_without_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return _r6(stages.stage3_without_blocks(course_tables(spark, sf)))
+
+
 @query
 def cohort_stage4(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(stages.cohort_stage4(course_tables(spark, sf)))
@@ -378,6 +383,7 @@ def _folded(spark: SparkSession, sf: str) -> DataFrame:
     guards.forbid_columns(b)
     inp = b.select("cutoff", "cutoff_day", *_E, *BASELINE_MODEL_FEATURES, "target_at_risk", "final_result")
     folded = materialize(ml.assign_folds(inp), "model-input")
+    guards.guard_no_duplicate_keys(folded, ["cutoff", *_E])
     guards.guard_labels(folded)
     guards.guard_finite(folded, BASELINE_MODEL_FEATURES)
     return folded.drop("final_result")
@@ -414,7 +420,7 @@ def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
 def model_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """M2/M4/M5/M9/M10 (rows-only check): Spark ML fits per cutoff and fold
     on the materialised two-feature matrix, summarised like the reference."""
-    folded = _folded(spark, sf).cache()
+    folded = _folded(spark, sf)  # written: every fit reads the copy
     preds = ml.spark_ml_predictions(folded, BASELINE_MODEL_FEATURES)
     preds = preds.unionByName(ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES))
     rows = folded.groupBy("cutoff").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -10,7 +10,7 @@ transforms; a caller that wants a hard boundary writes the result
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,14 +23,15 @@ from cohortflow.functions.columns import (
 )
 from cohortflow.operators.baseline import (
     add_missing_flags_and_fill,
-    drop_stage3_columns,
     fill_baseline_counts,
     fill_stage3_counts,
+    without_blocks,
 )
 from cohortflow.operators.cohort import active_cohort, already_withdrawn
 from cohortflow.operators.cutoffs import expand_by_cutoff
 from cohortflow.operators.features import (
     BASELINE_CLICK_COLUMNS,
+    STAGE3_ASSESSMENT_COLUMNS,
     STAGE3_CLICK_COLUMNS,
     assessment_rollup,
     baseline_assessment_block,
@@ -69,24 +70,41 @@ def build_base(info: DataFrame, registration: DataFrame, validate: bool = True)
     return base.join(reg, E, "left").select(*BASE_COLUMNS)
 
 
-@dataclass
 class FeatureBlocks:
-    """Lazily built click and assessment rollups shared by all stages."""
+    """Click and assessment rollups of one set of tables, built when a stage
+    asks for them. The types observed in the log cost a scan of their own, so
+    only the Stage 3 block reads them."""
 
-    clicks: DataFrame
-    assessments: DataFrame
-    stage3_types: dict[str, list[str]]
-    baseline_types: list[str]
+    def __init__(self, tables: Mapping[str, DataFrame], cutoffs: Mapping[str, int] = CUTOFFS) -> None:
+        self.tables, self.cutoffs = tables, cutoffs
+
+    @cached_property
+    def stage3_types(self) -> dict[str, list[str]]:
+        return observed_activity_types(self.tables["student_vle"], self.tables["vle"], self.cutoffs)
+
+    @cached_property
+    def union_types(self) -> list[str]:
+        return sorted({t for ts in self.stage3_types.values() for t in ts})
+
+    @cached_property
+    def baseline_types(self) -> list[str]:
+        return dimension_activity_types(self.tables["vle"])
+
+    def clicks(self, stage3: bool = False, baseline: bool = False) -> DataFrame:
+        return click_rollup(
+            self.tables["student_vle"],
+            self.tables["vle"],
+            self.cutoffs,
+            stage3_types=self.union_types if stage3 else (),
+            baseline_types=self.baseline_types if baseline else (),
+        )
+
+    def assessments(self) -> DataFrame:
+        return assessment_rollup(self.tables["student_assessment"], self.tables["assessments"], self.cutoffs)
 
 
 def feature_blocks(tables: Mapping[str, DataFrame], cutoffs: Mapping[str, int] = CUTOFFS) -> FeatureBlocks:
-    log, vle = tables["student_vle"], tables["vle"]
-    observed = observed_activity_types(log, vle, cutoffs)
-    union_types = sorted({t for ts in observed.values() for t in ts})
-    baseline_types = dimension_activity_types(vle)
-    clicks = click_rollup(log, vle, cutoffs, stage3_types=union_types, baseline_types=baseline_types)
-    assessments = assessment_rollup(tables["student_assessment"], tables["assessments"], cutoffs)
-    return FeatureBlocks(clicks, assessments, observed, baseline_types)
+    return FeatureBlocks(tables, cutoffs)
 
 
 def _base_by_cutoff(tables: Mapping[str, DataFrame], cutoffs: Mapping[str, int], validate: bool) -> DataFrame:
@@ -105,10 +123,9 @@ def stage3_features(
     observed by any cutoff (0 at a cutoff that has not seen the type);
     :func:`stage3_for_cutoff` gives the per-cutoff column set."""
     blocks = blocks or feature_blocks(tables, cutoffs)
-    union_types = sorted({t for ts in blocks.stage3_types.values() for t in ts})
-    click_cols = STAGE3_CLICK_COLUMNS + stage3_pivot_columns(union_types)
-    clicks = blocks.clicks.select("cutoff", *E, *click_cols)
-    assess = stage3_assessment_block(blocks.assessments)
+    click_cols = STAGE3_CLICK_COLUMNS + stage3_pivot_columns(blocks.union_types)
+    clicks = blocks.clicks(stage3=True).select("cutoff", *E, *click_cols)
+    assess = stage3_assessment_block(blocks.assessments())
     df = (
         _base_by_cutoff(tables, cutoffs, validate)
         .join(clicks, ["cutoff", *E], "left")
@@ -124,6 +141,18 @@ def stage3_for_cutoff(stage3: DataFrame, blocks: FeatureBlocks, cutoff: str) ->
     return stage3.where(F.col("cutoff") == cutoff).select(*cols)
 
 
+def stage3_without_blocks(tables: Mapping[str, DataFrame], cutoffs: Mapping[str, int] = CUTOFFS) -> DataFrame:
+    """The Stage 3 matrix with its click, pivot and assessment blocks
+    removed (what a Stage 5 build on top of a written Stage 3 starts from)."""
+    blocks = FeatureBlocks(tables, cutoffs)
+    return without_blocks(
+        stage3_features(tables, cutoffs, blocks),
+        STAGE3_CLICK_COLUMNS,
+        stage3_pivot_columns(blocks.union_types),
+        STAGE3_ASSESSMENT_COLUMNS,
+    )
+
+
 def cohort_stage4(
     tables: Mapping[str, DataFrame],
     cutoffs: Mapping[str, int] = CUTOFFS,
@@ -150,21 +179,20 @@ def baseline_stage5(
     blocks: FeatureBlocks | None = None,
     validate: bool = True,
 ) -> DataFrame:
-    """C4: cohort -> drop Stage 3 blocks -> mean-strategy clicks with the
+    """C4: cohort -> mean-strategy clicks with the
     dimension's activity types -> known-due-date assessments -> targets ->
     missing flags, then fills. 66 columns plus ``cutoff``/``cutoff_day``.
 
-    Built straight from the base (the dropped Stage 3 columns are never
-    computed; Catalyst prunes them from the shared aggregates)."""
+    Built straight from the base: Stage 3 columns are never computed, so there
+    is nothing to drop."""
     blocks = blocks or feature_blocks(tables, cutoffs)
-    clicks = blocks.clicks.select(
+    clicks = blocks.clicks(baseline=True).select(
         "cutoff", *E, *BASELINE_CLICK_COLUMNS, *baseline_pivot_columns(blocks.baseline_types)
     )
-    assess = baseline_assessment_block(blocks.assessments)
+    assess = baseline_assessment_block(blocks.assessments())
     cohort = active_cohort(_base_by_cutoff(tables, cutoffs, validate), tables["student_registration"], cutoffs)
     df = (
-        drop_stage3_columns(cohort)
-        .join(clicks, ["cutoff", *E], "left")
+        cohort.join(clicks, ["cutoff", *E], "left")
         .join(assess, ["cutoff", *E], "left")
         .withColumns({"target_at_risk": target_at_risk(), "is_retake": is_retake()})
     )

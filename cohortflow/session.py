@@ -3,6 +3,8 @@ lineage cuts that respect the cluster's shared checkpoint folder."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -38,14 +40,22 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; only when the session has none (local
-    tests) point it at a fresh scratch folder."""
+    """``spark.checkpoint.dir`` of the session. Unset, a local master gets a
+    scratch folder; any other master raises, because executors would write to
+    disks that nobody else can read."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="cohortflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    return current.rstrip("/")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -53,6 +63,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     folder and reading it back. Survives executor loss, unlike caching."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_forget, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Remove a written copy when the program ends (its session may be gone)."""
+    with contextlib.suppress(Exception):
+        remove_path(spark, path)

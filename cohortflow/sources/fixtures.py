@@ -48,11 +48,13 @@ select p_partkey as id_site,
        case when p_partkey = 11 then ' Repeat Activity/New-Type' else p_type end as activity_type,
        case when p_partkey % 5 = 0 then p_size else null end as week_from,
        case when p_partkey % 5 = 0 then p_size + 1 else null end as week_to
-from {part} where p_partkey < 12 and p_partkey <> 9""",
+from {part}""",
     "student_vle": """
 select code_module, code_presentation, id_student,
-       case when id_site = 7 and date > 49 then 11 else id_site end as id_site, date, sum_click
-from (select s.code_module, s.code_presentation, s.id_student, e.event_id % 10 as id_site,
+       case when slot = 7 and date > 49 then 11 when id_site = 11 then 12 else id_site end as id_site, date, sum_click
+from (select s.code_module, s.code_presentation, s.id_student, e.event_id % 10 as slot,
+             case when e.event_id % 50 = 9 then (select max(p_partkey) from {part}) + 1
+                  else (s.id_student * 13 + e.event_id % 10) % ((select max(p_partkey) from {part}) + 1) end as id_site,
              4 * cast(DAYS(e.ts, date '2024-01-08') as bigint) as date,
              1 + cast(floor(e.value / 25) as bigint) as sum_click
       from {events} e join {student_info} s on e.user_id = s.id_student) x""",
@@ -111,19 +113,10 @@ def read_base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
 
 
-_CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
-
-
 def course_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven course tables as lazy DataFrames over ``sf_dir``.
-
-    The analysed plans (not data) are reused per session and folder, so
-    repeated queries skip re-parsing the view SQL."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _CACHE:
-        frames: dict[str, DataFrame] = dict(read_base_tables(spark, sf_dir))
-        for view in VIEW_ORDER:
-            args = {ref: frames[ref] for ref in _refs(view)}
-            frames[view] = spark.sql(render_spark(view), **args)
-        _CACHE[key] = {v: frames[v] for v in VIEW_ORDER}
-    return dict(_CACHE[key])
+    """The seven course tables as lazy DataFrames over ``sf_dir``."""
+    frames: dict[str, DataFrame] = dict(read_base_tables(spark, sf_dir))
+    for view in VIEW_ORDER:
+        args = {ref: frames[ref] for ref in _refs(view)}
+        frames[view] = spark.sql(render_spark(view), **args)
+    return {v: frames[v] for v in VIEW_ORDER}

@@ -321,20 +321,23 @@ cr as (select cutoff, cutoff_day, {E}, sum(s) as ts, sum(mx) as tm, sum(m) as tm
        from ck group by cutoff, cutoff_day, {E})"""
 
 
-def _pivot_source(select: str) -> str:
-    """Self-contained subquery for a dynamic PIVOT (its value scan cannot
-    see outer CTEs)."""
-    return "(" + _with("student_info", "student_vle", "vle", extra=_CK_CTES) + select + ")"
+# The clean activity types of the test dimension, and the one an
+# event without a known item gets. A static list keeps the SQL usable as a view.
+_DIM_TYPES = ["economy", "large", "medium", "promo", "small", "standard", "repeat_activity_new_type"]
+_SEEN_TYPES = [*_DIM_TYPES, "unknown_activity_type"]
+_WEEK5_TYPES = [t for t in _SEEN_TYPES if t != "repeat_activity_new_type"]
 
 
-_P3_SRC = _pivot_source(f"""select cutoff, {E}, 'clicks_activity_' || t || '_sum_strategy' as name, s as v from ck
-              union all select cutoff, {E}, 'clicks_activity_' || t || '_max_strategy', mx from ck""")
-_P5_SRC = _pivot_source(f"""select cutoff, {E}, 'clicks_activity_' || t || '_until_cutoff_mean_strategy' as name, m as v
-              from ck where t in (select t from vt where t is not null)
-              union all
-              select cr.cutoff, cr.code_module, cr.code_presentation, cr.id_student,
-                     'clicks_activity_' || d.t || '_until_cutoff_mean_strategy', 0.0
-              from cr, (select distinct t from vt where t is not null) d""")
+def _pivot(types: list[str], measures: dict[str, str], source: str = "ck") -> str:
+    """Filtered sums per (cutoff, entity): one column per type and measure."""
+    cols = ",\n       ".join(
+        f"sum({v}) filter (where t = '{t}') as clicks_activity_{t}_{suffix}" for v, suffix in measures.items() for t in types
+    )
+    return f"(select cutoff, {E}, {cols}\n from {source} group by cutoff, {E})"
+
+
+_P3 = _pivot(_SEEN_TYPES, {"s": "sum_strategy", "mx": "max_strategy"})
+_P5 = _pivot(_DIM_TYPES, {"m": "until_cutoff_mean_strategy"})
 
 _BASE_CTE = """base as (select i.code_module, i.code_presentation, i.id_student, gender, region, highest_education, imd_band,
                 age_band, num_of_prev_attempts, studied_credits, disability, final_result,
@@ -346,8 +349,8 @@ _BASE_CTE = """base as (select i.code_module, i.code_presentation, i.id_student,
 
 _FEAT_CTES = _CK_CTES + f""",
 {_BASE_CTE},
-p3 as (pivot {_P3_SRC} on name using sum(v) group by cutoff, {E}),
-p5 as (pivot {_P5_SRC} on name using sum(v) group by cutoff, {E}),
+p3 as {_P3},
+p5 as {_P5},
 sj as (select s.id_assessment, s.id_student, s.date_submitted, s.score, a.code_module, a.code_presentation,
               a.date as due, a.weight, a.id_assessment is not null as matched
        from student_assessment s left join assessments a on s.id_assessment = a.id_assessment),
@@ -434,6 +437,10 @@ from ac
 
 ORACLE["features_stage3"] = _FEAT_HEAD + "select * from s3"
 
+ORACLE["stage3_without_blocks"] = _with("student_info", "student_registration", extra=CUT + ",\n" + _BASE_CTE) + """
+select c.cutoff, c.cutoff_day, b.* from base b cross join cut c
+"""
+
 ORACLE["cohort_stage4"] = _FEAT_HEAD + f"""
 select * from s3 x where not exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E})
 """
@@ -672,7 +679,7 @@ dk as (select cutoff, coalesce(sum(n) filter (where n > 1), 0) as d
        from (select cutoff, {E}, count(*) as n from b group by cutoff, {E}) group by cutoff),
 nt as (select count(distinct translate(lower(trim(p_type_or_name)), ' -/', '___')) as k
        from (select case when p_partkey = 11 then ' Repeat Activity/New-Type' else p_type end as p_type_or_name
-             from part where p_partkey < 12 and p_partkey <> 9))
+             from part))
 select b.cutoff, b.cutoff_day, count(*)::bigint as rows, (46 + any_value(nt.k))::bigint as columns,
        false as date_unregistration_present, any_value(dk.d)::bigint as duplicated_base_key_rows,
        round(avg(target_at_risk), 6) as target_at_risk_positive_rate, 12::bigint as missing_flag_columns,
@@ -744,7 +751,7 @@ from b
 _FOLDS = f"""mi as (select cutoff, cutoff_day, {E}, total_click_until_cutoff_mean_strategy as x0,
                   active_days_until_cutoff as x1, target_at_risk as y,
                   (((id_student % 1000003) * 7919 + 42 * 104729) % 1000003) as h from {_B5}),
-fo as (select *, (row_number() over (partition by cutoff, y order by h % 64, h, {E}) - 1) % 5 as fold from mi)"""
+fo as (select *, (row_number() over (partition by cutoff, y order by h, {E}) - 1) % 5 as fold from mi)"""
 
 ORACLE["fold_assignment"] = f"with {_FOLDS}\nselect cutoff, {E}, y as target_at_risk, fold::bigint as fold from fo"
 
@@ -835,12 +842,8 @@ select 'features_vs_cohort' as dataset, 'cutoff, code_module, code_presentation,
        (select count(*) from s3) - (select count(*) from c4) as left_only, 0::bigint as right_only
 """
 
-_P35_SRC = _pivot_source(f"""select cutoff, {E}, 'clicks_activity_' || t || '_sum_strategy' as name, s as v
-              from ck where cutoff = 'week5'
-              union all select cutoff, {E}, 'clicks_activity_' || t || '_max_strategy', mx from ck where cutoff = 'week5'""")
-
 ORACLE["features_stage3_week5"] = _FEAT_HEAD + f""",
-p35 as (pivot {_P35_SRC} on name using sum(v) group by cutoff, {E}),
+p35 as {_pivot(_WEEK5_TYPES, {"s": "sum_strategy", "mx": "max_strategy"}, "(from ck where cutoff = 'week5')")},
 a as (select columns(lambda c: c not like 'clicks_activity_%') from s3 where cutoff = 'week5')
 select a.*, coalesce(columns(lambda n: n like 'clicks_activity_%'), 0)::bigint
 from a left join p35 on p35.cutoff = a.cutoff and p35.code_module = a.code_module

@@ -10,10 +10,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from cohortflow.plans.registry import QUERIES  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 CHECKED = sorted(ORACLE)
 
 
@@ -23,7 +24,7 @@ def con():
 
 
 def test_every_query_but_iterative_fits_has_an_oracle():
-    missing = set(entry.queries()) - set(ORACLE)
+    missing = set(QUERIES) - set(ORACLE)
     assert missing <= {"model_sweep"}, missing
 
 
@@ -31,7 +32,8 @@ def test_every_query_but_iterative_fits_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(ORACLE[name])
+    con.execute(f"create or replace view oracle_query as {ORACLE[name]}")  # as the driver does
+    cur = con.execute("select * from oracle_query")
     drows = [tuple(r) for r in cur.fetchall()]
     dcols = [d[0] for d in cur.description]
     assert compare(rows, df.columns, drows, dcols) == []
