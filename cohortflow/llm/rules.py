@@ -166,7 +166,7 @@ def learn(rows: DataFrame, max_rules: int = MAX_RULES, max_conditions: int = MAX
     rows = materialize(rows)
     cuts, rules = _thresholds(rows), []
     left = rows
-    while len(rules) < max_rules:
+    while len(rules) < max_rules and any(cuts.values()):
         grow, rule = left.where("not prune"), ()
         while len(rule) < max_conditions:
             _, c, p, n = _best(grow, cuts)
