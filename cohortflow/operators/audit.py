@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.columns import numeric
 from cohortflow.operators.collapse import collapse_events
 from cohortflow.schemas import COURSE_LOG, ENTITY_KEY, RANGE_COLUMNS, TABLE_KEYS, EntitySpec
+from cohortflow.session import materialize
 
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 PROFILE_STATS = ["count", "mean", "std", "min", "p1", "p5", "p25", "p50", "p75", "p95", "p99", "max"]
@@ -279,35 +280,71 @@ def table_equality(name: str, a: DataFrame, b: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- A19 / A20
 
 
-def _profile(name: str, df: DataFrame, column: str) -> DataFrame:
-    x = numeric(column)
-    stats = df.select(x.alias("x")).agg(
-        F.count("x").cast("double").alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
+def _value_histogram(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(table, column, x, n): one scan per table; every column of a table is
+    counted by value with map-side combining."""
+    parts = []
+    for t, cols in columns.items():
+        cell = F.inline(F.array(*[F.struct(_lit_str(c).alias("column"), numeric(c).alias("x")) for c in cols]))
+        parts.append(tables[t].select(_lit_str(t).alias("table"), cell).where("x is not null"))
+    return union_all(parts).groupBy("table", "column", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def column_profile(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] = RANGE_COLUMNS) -> DataFrame:
+    """A19 + F16: describe() of each configured column after numeric
+    coercion: count, mean, std (ddof=1), min, exact linear-interpolated
+    1/5/25/50/75/95/99 %, max.
+
+    The value histogram is range-partitioned by (table, column, value) and
+    written; a partition is a piece of the sorted values, so ranks are the
+    piece's offset plus a running count inside the piece and no task holds all
+    values of a column, however many distinct ones there are."""
+    g = ["table", "column"]
+    hist = _value_histogram(tables, columns).repartitionByRange(*g, "x")
+    hist = materialize(hist.withColumn("_b", F.spark_partition_id()), "value-histogram")
+    totals = hist.groupBy(*g).agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("x").alias("min"),
-        F.percentile("x", F.array(*[F.lit(p) for p in PERCENTILES])).alias("_p"),
         F.max("x").alias("max"),
     )
-    return stats.select(
-        _lit_str(name).alias("table"),
-        _lit_str(column).alias("column"),
-        "count",
+    # at most (columns x partitions) and (columns) rows: bounded broadcasts
+    pieces = hist.groupBy(*g, "_b").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(*g, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*g, "_b").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (
+        hist.join(F.broadcast(offsets), [*g, "_b"])
+        .join(F.broadcast(totals), g)
+        .withColumn("_first", F.col("_off") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    )
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_first") + F.col("n")), F.col("x")))
+
+    low = [F.floor(F.lit(p) * (F.col("count") - 1)) for p in PERCENTILES]
+    high = [F.ceil(F.lit(p) * (F.col("count") - 1)) for p in PERCENTILES]
+    got = ranked.groupBy(*g, "count", "mean", "min", "max").agg(
+        F.sum(F.col("n") * (F.col("x") - F.col("mean")) ** 2).alias("_ss"),
+        *[at(k).alias(f"_l{i}") for i, k in enumerate(low)],
+        *[at(k).alias(f"_h{i}") for i, k in enumerate(high)],
+    )
+    share = [F.lit(p) * (F.col("count") - 1) - k for p, k in zip(PERCENTILES, low, strict=True)]
+    names = tables[next(iter(columns))].sparkSession.createDataFrame([(t, c) for t, cs in columns.items() for c in cs], "table string, column string")
+    return names.join(F.broadcast(got), g, "left").select(
+        *g,
+        F.coalesce("count", F.lit(0)).cast("double").alias("count"),
         "mean",
-        "std",
+        F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))).alias("std"),
         "min",
-        *[F.col("_p")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(PERCENTILES)],
+        *[
+            (F.col(f"_l{i}") + share[i] * (F.col(f"_h{i}") - F.col(f"_l{i}"))).alias(f"p{int(p * 100)}")
+            for i, p in enumerate(PERCENTILES)
+        ],
         "max",
     )
 
 
-def column_profile(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] = RANGE_COLUMNS) -> DataFrame:
-    """A19 + F16: describe() of each configured column after numeric
-    coercion: count, mean, std (ddof=1), min, exact linear-interpolated
-    1/5/25/50/75/95/99 %, max."""
-    return union_all([_profile(t, tables[t], c) for t, cols in columns.items() for c in cols])
-
-
 RANGE_RULES = [
     # (columns, issue, predicate on the numeric value)
     ({"score", "weight"}, "outside expected 0-100 range", lambda x: (x < 0) | (x > 100)),
@@ -350,7 +387,6 @@ def audit_risks(
     key_stats: DataFrame, dup_metrics: DataFrame, referential: DataFrame, flags: DataFrame
 ) -> DataFrame:
     """The five risk rules over the audit tables as (rule, triggered)."""
-    spark = key_stats.sparkSession
     m = dup_metrics.groupBy().pivot("metric", DUP_METRICS).agg(F.first("value"))
     parts = [
         key_stats.agg(F.max(F.col("duplicated_rows_by_key") > 0).alias("t")).select(
@@ -371,7 +407,6 @@ def audit_risks(
             _lit_str("range_rule_violations").alias("rule"), (F.col("n") > 0).alias("triggered")
         ),
     ]
-    del spark
     return union_all(parts)
 
 
@@ -439,10 +474,16 @@ def integrity_audit(tables: Mapping[str, DataFrame], log_name: str = "student_vl
         )
         return df.select(_lit_str(section).alias("section"), item.cast("string").alias("item"), F.inline(arr))
 
-    keys = key_uniqueness(tables)
-    dups = dup_summary(tables[log_name])
-    refs = referential_integrity(tables)
-    flags = range_flags(tables)
+    # small results that both the sections and the risk rules read: each is
+    # computed once and written
+    keys = materialize(key_uniqueness(tables), "audit-keys")
+    dups = materialize(dup_summary(tables[log_name]), "audit-duplicates")
+    refs = materialize(referential_integrity(tables), "audit-references")
+    flags = materialize(range_flags(tables), "audit-flags")
+    outcomes = target_grouping_sets(tables["student_info"]).withColumn(
+        "group", F.concat_ws(".", "grouping", "code_module", "code_presentation", "final_result")
+    )
+    profile = column_profile(tables)
     parts = [
         long(table_shapes(tables), "table_shapes", F.col("table"), ["rows", "columns"]),
         long(missing_profile(tables), "missing_values", F.concat_ws(".", "table", "column"), ["missing_count"]),
@@ -453,8 +494,16 @@ def integrity_audit(tables: Mapping[str, DataFrame], log_name: str = "student_vl
             "metric",
             F.col("value").cast("double").alias("value"),
         ),
+        long(dup_group_sizes(tables[log_name]), "duplicate_group_sizes", F.col("group_size"), ["group_count"]),  # A9
         long(refs, "referential_integrity", F.col("check"), ["both", "left_only", "right_only"]),
+        long(
+            profile,
+            "column_profile",  # A19
+            F.concat_ws(".", "table", "column"),
+            ["count", "mean", "std", "min", *[f"p{int(p * 100)}" for p in PERCENTILES], "max"],
+        ),
         long(flags, "range_flags", F.concat_ws(".", "table", "column"), ["count"]),
+        long(outcomes, "outcomes", F.col("group"), ["count", "ratio_within_group"]),  # A21, A22
         audit_risks(keys, dups, refs, flags).select(
             _lit_str("risks").alias("section"),
             F.col("rule").alias("item"),

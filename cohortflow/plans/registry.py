@@ -428,24 +428,88 @@ def model_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources
-import os as _os  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
+from cohortflow.schemas import TABLE_FILES as _FILES  # noqa: E402
 from cohortflow.session import ensure_checkpoint_dir  # noqa: E402
 from cohortflow.sources import tables as _src  # noqa: E402
 
 
+def _folder(spark: SparkSession, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{what}-{_uuid.uuid4().hex}"
+
+
 @query
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """S1-S3 + D1: write the seven tables as CSV with '?' for NULL under the
     shared checkpoint folder, read them back with fixed schemas, and compare
     each with its source as a bag of rows."""
     t = course_tables(spark, sf)
-    target = _os.path.join(ensure_checkpoint_dir(spark), f"csv-{_uuid.uuid4().hex}")
-    back = _src.csv_roundtrip(t, target)
+    back = _src.csv_roundtrip(t, _folder(spark, "csv"))
     return audit.union_all([audit.table_equality(n, t[n], back[n]) for n in t])
 
 
+def _na_file(spark: SparkSession, sf: str) -> str:
+    """student_registration as a CSV whose columns stand in another order and
+    whose missing days are written with every NA token in turn."""
+    t = course_tables(spark, sf)["student_registration"]
+    tokens = F.array(*map(F.lit, ["?", *_src.NA_TOKENS]))
+    token = F.get(tokens, F.pmod("id_student", F.lit(len(_src.NA_TOKENS) + 1)).cast("int"))
+    day = lambda c: F.coalesce(F.col(c).cast("string"), token).alias(c)
+    folder = _folder(spark, "na")
+    t.select(day("date_unregistration"), "id_student", "code_presentation", day("date_registration"), "code_module").write.option(
+        "header", True
+    ).option("emptyValue", "").csv(f"{folder}/{_FILES['student_registration']}")
+    return folder
+
+
+@query
+def csv_na(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + S2: header order and NA tokens in numeric columns."""
+    path = f"{_na_file(spark, sf)}/{_FILES['student_registration']}"
+    return _src.read_csv_table(spark, path, "student_registration")
+
+
+@query
+def csv_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing and mistyped cells per column of that file."""
+    path = f"{_na_file(spark, sf)}/{_FILES['student_registration']}"
+    return _src.bad_cells(spark, path, "student_registration")
+
+
+@query
+def derived_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 + S5: the flagship matrix written partitioned by cutoff and read back
+    cutoff by cutoff, compared with its source as a bag of rows."""
+    made = materialize(stages.click_features_mean(course_tables(spark, sf)), "click-features")
+    path = _folder(spark, "by-cutoff")
+    _src.write_by_cutoff(made, path)
+    return audit.union_all(
+        [
+            audit.table_equality(c, made.where(F.col("cutoff") == c), _src.read_cutoff(spark, path, c).select(made.columns))
+            for c in stages.CUTOFFS
+        ]
+    )
+
+
+@query
+def evidence_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence tables as CSV folders; the row counts by cutoff read back."""
+    t = course_tables(spark, sf)
+    made = {"cutoff_rows": ev.cutoff_row_evidence(t["student_vle"], t["student_assessment"], t["assessments"])}
+    path = _folder(spark, "evidence")
+    _src.write_evidence(made, path)
+    return spark.read.schema(made["cutoff_rows"].schema).option("header", True).csv(f"{path}/cutoff_rows.csv")
+
+
+@query
+def model_results_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The model summary written as sorted CSV and read back."""
+    made = metric_summary(spark, sf)
+    path = _folder(spark, "model-results")
+    _src.write_model_results(made, path)
+    return spark.read.schema(made.schema).option("header", True).csv(path)
+
 
 @query
 def integrity_audit(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,15 +8,19 @@ by ``cutoff`` so a reader of one cutoff prunes the others.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow.schemas import RAW_SCHEMAS, TABLE_FILES
 
-# Extra NA tokens that pandas treats as missing by default.
-NA_TOKENS = ["", "NA", "N/A", "NULL", "NaN", "nan", "null", "n/a", "#N/A", "<NA>", "None", "-NaN", "-nan"]
+# Cells that pandas reads as missing by default.
+NA_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 class MissingTableError(FileNotFoundError):
@@ -29,35 +33,59 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def normalise_na(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
-    """String cells equal to an NA token become NULL (post-scan, one
-    projection)."""
-    toks = list(tokens)
-    return df.select(
-        *[
-            F.when(F.col(f.name).isin(toks), F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
-            if f.dataType.typeName() == "string"
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+class MissingColumnError(ValueError):
+    pass
 
 
-def read_csv_table(
-    spark: SparkSession, path: str, name: str, null_token: str = "?", schema=None
-) -> DataFrame:
-    """S1 + S2 for one table: header CSV with the fixed schema; ``null_token``
-    (and empty fields) read as NULL; other NA tokens normalised after."""
-    df = (
-        spark.read.schema(schema or RAW_SCHEMAS[name])
-        .option("header", True)
-        .option("nullValue", null_token)
+def _raw_cells(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The file's cells as strings, its columns bound by header name (files may
+    order them in any way or carry more)."""
+    raw = (
+        spark.read.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
         .csv(path)
     )
-    return normalise_na(df)
+    if absent := [f.name for f in schema if f.name not in raw.columns]:
+        raise MissingColumnError(f"{path} has no columns {absent}; its header is {raw.columns}")
+    return raw.select(*[F.col(f"`{f.name}`") for f in schema])
+
+
+def _known(name: str, null_token: str) -> Column:
+    """The cell, or NULL where it is ``null_token`` or an NA token."""
+    c = F.col(f"`{name}`")
+    return F.when(~c.isin([null_token, *NA_TOKENS]), c)
+
+
+def read_csv_table(
+    spark: SparkSession, path: str, name: str, null_token: str = "?", schema: T.StructType | None = None
+) -> DataFrame:
+    """S1 + S2 for one table: header CSV bound by name, NA tokens of any column
+    (numeric ones too) as NULL, then the fixed schema's types. A cell that is
+    neither missing nor of its type fails the query with its column."""
+    schema = schema or RAW_SCHEMAS[name]
+    out = []
+    for f in schema:
+        known = _known(f.name, null_token)
+        typed = known.try_cast(f.dataType)
+        bad = known.isNotNull() & typed.isNull()
+        message = F.concat(F.lit(f"{name}.{f.name}: not a {f.dataType.simpleString()}: "), known)
+        out.append(F.when(bad, F.raise_error(message).cast(f.dataType)).otherwise(typed).alias(f.name))
+    return _raw_cells(spark, path, schema).select(*out)
+
+
+def bad_cells(spark: SparkSession, path: str, name: str, null_token: str = "?", schema: T.StructType | None = None) -> DataFrame:
+    """Per column of a CSV table: cells read as missing, and cells that are
+    neither missing nor of the column's type."""
+    schema = schema or RAW_SCHEMAS[name]
+    aggs = []
+    for f in schema:
+        known = _known(f.name, null_token)
+        missing = F.count_if(known.isNull()).alias("missing_cells")
+        bad = F.count_if(known.isNotNull() & known.try_cast(f.dataType).isNull()).alias("bad_cells")
+        aggs.append(F.struct(F.lit(f.name).alias("column"), missing, bad))
+    return _raw_cells(spark, path, schema).agg(F.array(*aggs).alias("c")).select(F.lit(name).alias("table"), F.inline("c"))
 
 
 def load_tables(
@@ -108,8 +136,9 @@ def read_cutoff(spark: SparkSession, path: str, cutoff: str) -> DataFrame:
 
 
 def write_model_results(summary: DataFrame, path: str) -> None:
-    """Model results sorted by cutoff day then model."""
-    summary.orderBy("cutoff_day", "model").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Model results in order of cutoff and model (range-sorted files; read
+    in file order they are sorted)."""
+    summary.orderBy("cutoff", "model").write.mode("overwrite").option("header", True).csv(path)
 
 
 def csv_roundtrip(tables: Mapping[str, DataFrame], directory: str, null_token: str = "?") -> dict[str, DataFrame]:

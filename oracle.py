@@ -833,7 +833,16 @@ union all select 'referential_integrity', "check", 'left_only', left_only::doubl
 union all select 'referential_integrity', "check", 'right_only', right_only::double from {_sub("referential_integrity")}
 union all select 'range_flags', "table" || '.' || "column", 'count', count::double from {_sub("range_flags")}
 union all select 'risks', rule, 'triggered', triggered::double from {_sub("audit_risks")}
-"""
+union all select 'duplicate_group_sizes', group_size::varchar, 'group_count', group_count::double from {_sub("dup_group_sizes")}
+union all select 'outcomes', concat_ws('.', "grouping", code_module, code_presentation, final_result), 'count', count::double
+  from {_sub("target_grouping_sets")}
+union all select 'outcomes', concat_ws('.', "grouping", code_module, code_presentation, final_result), 'ratio_within_group',
+  ratio_within_group from {_sub("target_grouping_sets")}
+""" + "".join(
+    f"""union all select 'column_profile', "table" || '.' || "column", '{m}', "{m}"::double from {_sub("column_profile")}
+"""
+    for m in ("count", "mean", "std", "min", "p1", "p5", "p25", "p50", "p75", "p95", "p99", "max")
+)
 
 ORACLE["keyset_diff"] = _FEAT_HEAD + f""",
 c4 as (select * from s3 x where not exists (select 1 from unreg y where y.cutoff = x.cutoff and {_ON_E}))
@@ -849,3 +858,23 @@ select a.*, coalesce(columns(lambda n: n like 'clicks_activity_%'), 0)::bigint
 from a left join p35 on p35.cutoff = a.cutoff and p35.code_module = a.code_module
   and p35.code_presentation = a.code_presentation and p35.id_student = a.id_student
 """
+
+# ---------------------------------------------------------------- sources
+ORACLE["csv_na"] = _with("student_info", "student_registration") + """
+select code_module, code_presentation, id_student, date_registration, date_unregistration from student_registration
+"""
+
+ORACLE["csv_cells"] = _with("student_info", "student_registration") + "\nunion all\n".join(
+    f"""select 'student_registration' as "table", '{c}' as "column",
+       (count(*) - count({c}))::bigint as missing_cells, 0::bigint as bad_cells from student_registration"""
+    for c in ("code_module", "code_presentation", "id_student", "date_registration", "date_unregistration")
+)
+
+ORACLE["derived_roundtrip"] = _with("student_info", extra=CUT) + """
+select c.cutoff as "table", true as same_schema, count(*)::bigint as rows_a, count(*)::bigint as rows_b,
+       0::bigint as only_in_a, 0::bigint as only_in_b, true as equal
+from student_info cross join cut c group by c.cutoff
+"""
+
+ORACLE["evidence_written"] = ORACLE["cutoff_row_evidence"]
+ORACLE["model_results_written"] = ORACLE["metric_summary"]
