@@ -10,6 +10,8 @@
 * ROC AUC is the Mann-Whitney statistic with ties counted half, computed from
   a range-partitioned score histogram; cumulative negatives come from
   per-partition totals, so no task ever holds a whole fold.
+* k-nearest neighbours is exact: each query is placed by rank on the sorted
+  points of every integer value of the second feature and meets 2k of them there.
 * Tree, forest and RBF-approximating SVC fits use Spark ML on the
   materialised matrix; they are compared by metrics, not predictions.
 """
@@ -131,6 +133,96 @@ def gaussian_nb_predictions(
     )
 
 
+# ---------------------------------------------------------------- nearest neighbours
+
+
+def knn_predictions(
+    folded: DataFrame,
+    value: str,
+    row: str,
+    label: str = "target_at_risk",
+    key: str = "id_student",
+    k: int = 5,
+    n_folds: int = N_FOLDS,
+) -> DataFrame:
+    """M6: exact out-of-fold k-nearest neighbours on two scaled features, one
+    of them (``row``, here active days) an integer with few values.
+
+    Training points of one integer value lie on a line, sorted by ``value``: the
+    k nearest of a query among them are within k places of where the query
+    would stand. So each distinct query is placed on every line of its (cutoff,
+    held-out fold) by rank, meets at most 2k points there (an equi-join on
+    ranks), and keeps its k best: no pair of rows is formed beyond that.
+    Neighbours are ordered by distance, then key; equal points keep their k
+    smallest keys (a limit that is applied before the shuffle), which can never
+    lose a neighbour. Ranks come from range partitions with offsets, so a line
+    with a third of all rows is spread over many tasks.
+
+    Score is the positive share of the k neighbours, prediction its majority."""
+    g = ["cutoff", "held_out"]
+    x = folded.select(
+        "cutoff", "fold", *E, F.round(F.col(value).cast("double"), 6).alias("v"), F.col(row).cast("long").alias("r"),
+        F.col(label).cast("long").alias("y"), F.col(key).alias("key"),
+    )
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_folds - 1).cast("long")), lambda h: h != F.col("fold"))
+    spread = x.select("cutoff", F.explode(others).alias("held_out"), "v", "r").groupBy(*g).agg(
+        F.stddev_pop("v").alias("sv"), F.stddev_pop("r").alias("sr")
+    )
+    # the k smallest keys of each point and fold, then of each point and held-out fold
+    point = Window.partitionBy("cutoff", "fold", "r", "v").orderBy("key", *E)
+    top = x.withColumn("i", F.row_number().over(point)).where(F.col("i") <= k)
+    top = top.select("cutoff", F.explode(others).alias("held_out"), "r", "v", "key", *E, "y")
+    point = Window.partitionBy(*g, "r", "v").orderBy("key", *E)
+    train = materialize(top.withColumn("i", F.row_number().over(point)).where(F.col("i") <= k), "knn-points").drop("i")
+    queries = x.select("cutoff", F.col("fold").alias("held_out"), F.col("r").alias("qr"), F.col("v").alias("qv")).distinct()
+    lines = train.select(*g, "r").distinct()  # one row per integer value of a fold
+    placed = queries.join(lines, g).select(*g, "r", F.col("qv").alias("v"), "qr")
+
+    # points before queries at equal values: a query's place is the points up to it
+    none = F.lit(None)
+    both = train.select(*g, "r", "v", F.lit(0).alias("kind"), "key", *E, "y", none.cast("long").alias("qr")).unionByName(
+        placed.select(*g, "r", "v", F.lit(1).alias("kind"), none.cast("long").alias("key"), *[none.cast(train.schema[c].dataType).alias(c) for c in E], none.cast("long").alias("y"), "qr")
+    )
+    sorted_ = materialize(both.repartitionByRange(*g, "r", "v", "kind", "key", *E).withColumn("_b", F.spark_partition_id()), "knn-lines")
+    is_point = F.when(F.col("kind") == 0, 1).otherwise(0)
+    before = Window.partitionBy(*g, "r").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per line and partition it touches
+    offsets = sorted_.groupBy(*g, "r", "_b").agg(F.sum(is_point).alias("_n"))
+    offsets = offsets.select(*g, "r", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*g, "r", "_b").orderBy("v", "kind", "key", *E).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sorted_.join(offsets, [*g, "r", "_b"]).withColumn("rank", F.col("_off") + F.sum(is_point).over(inside))
+    # within a point the ranks ascend by key; to its left they must descend
+    size = Window.partitionBy(*g, "r", "v")
+    points = ranked.where("kind = 0").select(*g, "r", "v", "key", *E, "y", "rank")
+    points = points.withColumn("mirror", F.min("rank").over(size) + F.max("rank").over(size) - F.col("rank"))
+    asked = ranked.where("kind = 1").select(*g, "r", F.col("v").alias("qv"), "qr", "rank")
+    left = asked.withColumn("want", F.explode(F.sequence(F.col("rank") - (k - 1), F.col("rank"))))
+    right = asked.withColumn("want", F.explode(F.sequence(F.col("rank") + 1, F.col("rank") + k)))
+    near = left.drop("rank").join(points.withColumn("want", F.col("mirror")), [*g, "r", "want"]).unionByName(
+        right.drop("rank").join(points.withColumn("want", F.col("rank")), [*g, "r", "want"])
+    )
+    scale = lambda c: F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(1.0))
+    # groups x folds rows (bounded)
+    near = near.join(F.broadcast(spread), g).withColumn(
+        "dist", ((F.col("v") - F.col("qv")) / scale("sv")) ** 2 + ((F.col("r") - F.col("qr")) / scale("sr")) ** 2
+    )
+    best = Window.partitionBy(*g, "qr", "qv").orderBy("dist", "key", *E)
+    voted = (
+        near.withColumn("i", F.row_number().over(best)).where(F.col("i") <= k)
+        .groupBy(*g, "qr", "qv").agg(F.avg("y").alias("score"))
+    )
+    rows = x.join(voted.withColumnsRenamed({"held_out": "fold", "qr": "r", "qv": "v"}), ["cutoff", "fold", "r", "v"])
+    return rows.select(
+        "cutoff",
+        F.lit("KNeighborsClassifier").alias("model"),
+        "fold",
+        *E,
+        F.col("y").alias("label"),
+        (F.col("score") > 0.5).cast("long").alias("prediction"),
+        "score",
+    )
+
+
 # ---------------------------------------------------------------- metrics
 
 

@@ -416,13 +416,25 @@ def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
     return ml.metric_summary(m, rows, BASELINE_MODEL_FEATURES)
 
 
+@query
+def knn_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """M6 (+ M9 scaling): exact 5-NN on clicks and active days."""
+    return _r6(ml.knn_predictions(_folded(spark, sf), *BASELINE_MODEL_FEATURES))
+
+
+@query
+def knn_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.classification_metrics(ml.knn_predictions(_folded(spark, sf), *BASELINE_MODEL_FEATURES))
+
+
 @query
 def model_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """M2/M4/M5/M9/M10 (rows-only check): Spark ML fits per cutoff and fold
+    """M2-M6/M9/M10 (rows-only check): all five models per cutoff and fold
     on the materialised two-feature matrix, summarised like the reference."""
     folded = _folded(spark, sf)  # written: every fit reads the copy
     preds = ml.spark_ml_predictions(folded, BASELINE_MODEL_FEATURES)
     preds = preds.unionByName(ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES))
+    preds = preds.unionByName(ml.knn_predictions(folded, *BASELINE_MODEL_FEATURES).select(preds.columns))
     rows = folded.groupBy("cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
     return ml.metric_summary(ml.classification_metrics(preds), rows, BASELINE_MODEL_FEATURES)
 

@@ -807,6 +807,23 @@ from mt m join (select cutoff, count(*) as n_rows from mi group by cutoff) n on
 group by m.cutoff, model
 """
 
+_KNN = _FOLDS + f""",
+qf as (select cutoff, {E}, fold, y, round(x0, 6) as v, x1 as r from fo),
+sp as (select q.cutoff, k.k as held_out, stddev_pop(v) as sv, stddev_pop(r) as sr
+       from qf q join range(5) k(k) on q.fold <> k.k group by q.cutoff, k.k),
+nn as (select q.cutoff, q.fold, {", ".join("q." + c for c in _EK)}, q.y, t.y as ty,
+              row_number() over (partition by q.cutoff, {", ".join("q." + c for c in _EK)}
+                order by ((t.v - q.v) / case when sv > 0 then sv else 1 end) ^ 2 + ((t.r - q.r) / case when sr > 0 then sr else 1 end) ^ 2,
+                         t.id_student, t.code_module, t.code_presentation) as i
+       from qf q join sp on sp.cutoff = q.cutoff and sp.held_out = q.fold
+       join qf t on t.cutoff = q.cutoff and t.fold <> q.fold),
+kp as (select cutoff, 'KNeighborsClassifier' as model, fold::bigint as fold, {E}, y::bigint as label,
+              (avg(ty) > 0.5)::bigint as prediction, avg(ty) as score
+       from nn where i <= 5 group by cutoff, fold, {E}, y)"""
+ORACLE["knn_predictions"] = f"with {_KNN}\nselect cutoff, model, fold, {E}, label, prediction, round(score, 6) as score from kp"
+_METRICS = _NB[_NB.index("rk as ("):]
+ORACLE["knn_metrics"] = f"with {_KNN},\npr as (select * from kp),\n{_METRICS}\nselect * from mt"
+
 ORACLE["csv_roundtrip"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
     f"""select '{t}' as "table", true as same_schema, count(*)::bigint as rows_a, count(*)::bigint as rows_b,
        0::bigint as only_in_a, 0::bigint as only_in_b, true as equal from {t}"""
