@@ -77,34 +77,46 @@ def click_rollup(
     strategies, with pivot columns for ``stage3_types``) and the baseline
     block (mean strategy, pivot columns for ``baseline_types``).
 
-    A row's band is the first cutoff that sees it. Three narrow aggregates
-    leave the collapsed log: sums per (entity, band, activity), active days
-    and first day per item counted by band. Only these few rows per entity
-    are expanded to the cutoffs and pivoted."""
+    One scan of the log. A collapsed event stands for three narrow facts: its
+    clicks under (band, activity), its day, and its item with that day (a band
+    is the first cutoff that sees the event). Facts are reduced per entity in
+    one aggregate, so a day or an item of a busy entity is one row by then;
+    only the reduced facts are expanded to the cutoffs, counted and pivoted."""
     events = at_or_before(log.select(*spec.event_key, spec.measure), spec.time, cutoffs)
     k = with_activity(collapse_events(events, spec), vle, spec)
-    t, day = F.col("activity_clean"), F.col(spec.time)
-    band = F.least(*[F.when(day <= d, F.lit(d)) for d in cutoffs.values()], F.lit(None)).cast("long").alias("_band")
-    none = F.lit(None)
-    sums = k.groupBy(*spec.key, band, "activity_clean").agg(
-        F.sum("clicks_sum").alias("_s"),
-        F.sum("clicks_max").alias("_x"),
-        F.sum("clicks_mean").alias("_m"),
-        F.min(spec.time).alias("_first"),
-        F.max(spec.time).alias("_last"),
-        F.lit(0).cast("long").alias("_days"),
-        F.lit(0).cast("long").alias("_items"),
+    t, day, item = F.col("activity_clean"), F.col(spec.time), F.col(spec.item)
+    item_type, day_type = log.schema[spec.item].dataType, log.schema[spec.time].dataType
+
+    def band(d: Column) -> Column:
+        return F.least(*[F.when(d <= c, F.lit(c)) for c in cutoffs.values()], F.lit(None)).cast("long")
+
+    def fact(kind: str, activity: Column, seen: Column, of_day: Column, of_item: Column, clicks: bool) -> Column:
+        amounts = [(F.col(c) if clicks else F.lit(None).cast(k.schema[c].dataType)).alias(n) for c, n in (("clicks_sum", "_s"), ("clicks_max", "_x"), ("clicks_mean", "_m"))]
+        return F.struct(
+            F.lit(kind).alias("_kind"), activity.alias("activity_clean"), seen.alias("_band"),
+            of_day.alias("_day"), of_item.alias("_item"), day.alias("_at"), *amounts,
+        )
+
+    no_type, no_band = F.lit(None).cast("string"), F.lit(None).cast("long")
+    no_day, no_item = F.lit(None).cast(day_type), F.lit(None).cast(item_type)
+    facts = k.select(
+        *spec.key,
+        F.inline(
+            F.array(
+                fact("clicks", t, band(day), no_day, no_item, True),
+                fact("day", no_type, no_band, day, no_item, False),
+                fact("item", no_type, no_band, no_day, item, False),
+            )
+        ),
     )
-
-    def counted(rows: DataFrame, name: str) -> DataFrame:
-        n = rows.groupBy(*spec.key, band).agg(F.count(F.lit(1)).alias("_n"))
-        blank = [none.cast(f.dataType).alias(f.name) for f in sums.schema if f.name in ("activity_clean", "_s", "_x", "_m", "_first", "_last")]
-        both = [(F.col("_n") if c == name else F.lit(0)).cast("long").alias(c) for c in ("_days", "_items")]
-        return n.select(*spec.key, "_band", *blank, *both)
-
-    days = counted(k.select(*spec.key, spec.time).distinct(), "_days")
-    items = counted(k.where(F.col(spec.item).isNotNull()).groupBy(*spec.key, spec.item).agg(F.min(spec.time).alias(spec.time)), "_items")
-    x = expand_by_cutoff(sums.unionByName(days).unionByName(items), "_band", cutoffs)
+    reduced = facts.groupBy(*spec.key, "_kind", "activity_clean", "_band", "_day", "_item").agg(
+        F.sum("_s").alias("_s"),
+        F.sum("_x").alias("_x"),
+        F.sum("_m").alias("_m"),
+        F.min("_at").alias("_first"),
+    )
+    reduced = reduced.withColumn("_seen", F.coalesce("_band", band(F.col("_first"))))
+    x = expand_by_cutoff(reduced, "_seen", cutoffs)
 
     def pivot(types: Sequence[str], measure: str, suffix: str) -> list[Column]:
         return [
@@ -116,10 +128,10 @@ def click_rollup(
         F.sum("_s").alias("total_click_until_cutoff_sum_strategy"),
         F.sum("_x").alias("total_click_until_cutoff_max_strategy"),
         F.sum("_m").alias("total_click_until_cutoff_mean_strategy"),
-        F.sum("_days").alias("active_days_until_cutoff"),
-        F.sum("_items").alias("used_site_count_until_cutoff"),
-        F.min("_first").alias("first_activity_date_until_cutoff"),
-        F.max("_last").alias("last_activity_date_until_cutoff"),
+        F.count("_day").alias("active_days_until_cutoff"),
+        F.count("_item").alias("used_site_count_until_cutoff"),
+        F.min("_day").alias("first_activity_date_until_cutoff"),
+        F.max("_day").alias("last_activity_date_until_cutoff"),
         *pivot(stage3_types, "_s", "sum_strategy"),
         *pivot(stage3_types, "_x", "max_strategy"),
         *pivot(baseline_types, "_m", "until_cutoff_mean_strategy"),
