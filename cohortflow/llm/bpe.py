@@ -18,8 +18,8 @@ space (these tokenizers have no decoder).
 Text is treated as the tokenizer's file says: its special tokens are found
 first, then NFC, lower case per code point, white space dropped, words split by
 the file's pattern; a word's bytes become symbols, the last with the word-end
-mark.  Word results are kept in a table of at most ``KEPT_WORDS`` entries per
-task, which only saves time.
+mark.  Results of recent words are kept (``KEPT_WORDS`` entries, two
+generations), which only saves time.
 
 Nulls: null text is an empty text (no tokens, empty decoded text); ids are
 carried as they are; repeated rows each get their row.
@@ -33,6 +33,7 @@ import unicodedata
 from collections.abc import Iterable
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm.common import col, text_or_empty
 
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 FAR = 1 << 40
 
 
@@ -89,59 +90,63 @@ def compile_automaton(path: str) -> dict[str, Any]:
     shown = byte_symbols()
     inner = [vocab[c] for c in shown]
     last = [vocab[c + end] for c in shown]
-    # trie of arc labels over symbol ids: (node << 32 | symbol) -> node
-    trie, token_at, lengths = {}, [-1], [0] * size
+    # trie of arc labels: per node, symbol -> (node, token that ends there or -1)
+    trie: list[dict[int, tuple[int, int]]] = [{}]
+    lengths = [0] * size
     spelled: dict[int, tuple[int, ...]] = {i: (i,) for i in made if tables["rank"][i] < 0}
     for w in sorted(made, key=lambda i: tables["rank"][i]):
         if tables["rank"][w] >= 0:
             spelled[w] = spelled[tables["left"][w]] + spelled[tables["right"][w]]
-        node = 0
-        for s in spelled[w]:
-            nxt = trie.get((node << 32) | s)
-            if nxt is None:
-                nxt = trie[(node << 32) | s] = len(token_at)
-                token_at.append(-1)
-            node = nxt
-        token_at[node], lengths[w] = w, len(spelled[w])
+        lengths[w], node = len(spelled[w]), 0
+        for s in spelled[w][:-1]:
+            if s not in trie[node]:
+                trie[node][s] = (len(trie), -1)
+                trie.append({})
+            node = trie[node][s][0]
+        last_symbol = spelled[w][-1]
+        if last_symbol in trie[node]:
+            trie[node][last_symbol] = (trie[node][last_symbol][0], w)
+        else:
+            trie[node][last_symbol] = (len(trie), w)
+            trie.append({})
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     for label, i in special.items():
         tables["labels"] += [""] * (i + 1 - len(tables["labels"]))
         tables["labels"][i] = label
     pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-    return tables | {"inner": inner, "last": last, "trie": trie, "token_at": token_at, "lengths": lengths, "special": special, "pattern": pattern, "arcs": {}, "words": {}}
+    return tables | {"inner": inner, "last": last, "trie": trie, "lengths": lengths, "special": special, "pattern": pattern, "arcs": [{} for _ in range(size)], "packed": [i.to_bytes(4, "little") for i in range(size)], "words": {}, "older": {}}
 
 
 def encode_word(tables: dict, word: bytes) -> list[int]:
     """The token ids on the word's path."""
-    n, inner, trie, token_at, arcs = len(word), tables["inner"], tables["trie"], tables["token_at"], tables["arcs"]
+    n, inner, trie, arcs = len(word), tables["inner"], tables["trie"], tables["arcs"]
     if not n:
         return []
-    symbols = [inner[b] for b in word[:-1]] + [tables["last"][word[-1]]]
+    symbols = [inner[b] for b in word]
+    symbols[-1] = tables["last"][word[-1]]
     state: list[int] = [-1] * (n + 1)
     for i in range(n):
-        t, node = state[i], 0
+        node, known = trie[0], arcs[state[i]]
         for j in range(i, n):
-            node = trie.get((node << 32) | symbols[j], -1)
-            if node < 0:
+            step = node.get(symbols[j])
+            if step is None:
                 break
-            s = token_at[node]
+            node, s = trie[step[0]], step[1]
             if s < 0 or state[j + 1] >= 0:
                 continue
             if i:
-                key = (t << 32) | s
-                ok = arcs.get(key)
+                ok = known.get(s)
                 if ok is None:
-                    if len(arcs) > 2_000_000:
-                        arcs.clear()
-                    ok = arcs[key] = has_arc(tables, t, s)
+                    ok = known[s] = has_arc(tables, state[i], s)
                 if not ok:
                     continue
             state[j + 1] = s
-    out, i = [], n
+    out, i, lengths = [], n, tables["lengths"]
     while i:
         out.append(state[i])
-        i -= tables["lengths"][state[i]]
-    return out[::-1]
+        i -= lengths[state[i]]
+    out.reverse()
+    return out
 
 
 def decode(tables: dict, ids: Iterable[int]) -> str:
@@ -153,30 +158,36 @@ class Codec:
     """Encodes whole texts with the compiled tables."""
 
     def __init__(self, tables: dict) -> None:
-        self.tables, self.words = tables, tables["words"]
+        self.tables = tables
         self.split = regex.compile(tables["pattern"], regex.V0)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(tables["special"], key=len, reverse=True))) + ")")
 
-    def word(self, w: str) -> tuple[bytes, str]:
-        ids = encode_word(self.tables, w.encode())
-        if len(self.words) >= KEPT_WORDS:
-            self.words.clear()
-        got = self.words[w] = (b"".join([i.to_bytes(4, "little") for i in ids]), decode(self.tables, ids))
+    def word(self, w: str) -> bytes:
+        """A word's packed ids; words met again lately are kept in two
+        generations of at most ``KEPT_WORDS`` each."""
+        t = self.tables
+        got = t["older"].get(w)
+        if got is None:
+            got = b"".join([t["packed"][i] for i in encode_word(t, w.encode())])
+        if len(t["words"]) >= KEPT_WORDS:
+            t["older"], t["words"] = t["words"], {}
+        t["words"][w] = got
         return got
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text)."""
-        get, make, ids, said = self.words.get, self.word, [], []
+    def encode(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers."""
+        make, out = self.word, []
         for k, part in enumerate(self.special.split(text) if "<" in text else (text,)):
             if k % 2:
-                ids.append(self.tables["special"][part].to_bytes(4, "little"))
-                said.append(part)
+                out.append(self.tables["special"][part].to_bytes(4, "little"))
             elif part:
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for got in [get(w) or make(w) for w in self.split.findall(part)]:
-                    ids.append(got[0])
-                    said.append(got[1])
-        return b"".join(ids), " ".join(said)
+                get = self.tables["words"].get
+                out.append(b"".join([get(w) or make(w) for w in self.split.findall(part)]))
+        return b"".join(out)
+
+    def decode(self, ids: bytes) -> str:
+        return decode(self.tables, np.frombuffer(ids, "<u4").tolist())
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,7 +215,8 @@ def _over(docs: DataFrame, path: str, id_col: str, text_col: str, schema: str, f
         for b in batches:
             for s in range(0, b.num_rows, 256):  # bounds the batch that goes back
                 part = b.slice(s, 256)
-                got = [finish(*codec.encode(x.as_py())) for x in part.column(1)]
+                ids = [codec.encode(x.as_py()) for x in part.column(1)]
+                got = [finish(i, codec.decode(i)) for i in ids]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*got), types))], names=["doc_id", *names])
 
     rows = docs.select(col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
