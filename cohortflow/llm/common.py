@@ -183,6 +183,17 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def hash_sample(df: DataFrame, key: list[Column], most: int, seed: str) -> DataFrame:
+    """About 0.95 * ``most`` rows of ``df`` (all, if there are no more), chosen
+    by a hash of ``key``: the same rows in every run and partitioning, with no
+    sort. The number of rows kept is binomial, so ``most`` (from some hundreds
+    on) bounds it in practice; nothing is sent anywhere to choose them."""
+    n = df.count()
+    if n <= most:
+        return df
+    return df.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 40)) < int(0.95 * most / n * (1 << 40)))
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     h = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)

@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import col, materialize, release, text_or_empty
+from cohortflow.llm.common import col, hash_sample, materialize, release, text_or_empty
 
 MAX_LABELLED = 12_000
 MAX_UNLABELLED = 8_000
@@ -91,11 +91,12 @@ def _training_rows(rows: DataFrame, labels: DataFrame, label_id: str, quality_co
     """(content, meta, y, part): y null for unlabelled rows; part 0 trains, 1
     calibrates, 2 is the unlabelled pool."""
     known = labels.select(col(label_id).cast("long").alias("i"), col(quality_col).cast("int").alias("q")).where("i is not null and q in (0, 1)").groupBy("i").agg(F.min("q").cast("double").alias("y"))
-    picked = known.orderBy(F.xxhash64("i", F.lit("cotrain")), "i").limit(MAX_LABELLED)
+    known = materialize(known)
+    picked = hash_sample(known, [F.col("i")], MAX_LABELLED, "cotrain")
     ids = rows.select(F.col("doc_id").cast("long").alias("i")).where("i is not null").distinct()
-    pool = ids.join(known, "i", "left_anti").orderBy(F.xxhash64("i", F.lit("pool")), "i").limit(MAX_UNLABELLED)
+    pool = hash_sample(materialize(ids.join(known, "i", "left_anti")), [F.col("i")], MAX_UNLABELLED, "pool")
     part = F.when(F.pmod(F.xxhash64("i", F.lit("held out")), F.lit(3)) == 0, 1).otherwise(0)
-    # at most MAX_LABELLED + MAX_UNLABELLED rows of 20 bytes: a proven bound
+    # about MAX_LABELLED + MAX_UNLABELLED rows of 20 bytes at most: a proven bound
     chosen = materialize(picked.select("i", "y", part.alias("part")).unionByName(pool.select("i", F.lit(None).cast("double").alias("y"), F.lit(2).alias("part"))))
 
     def views(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import Forest, col, connected_components, materialize, release, runs, whole_runs
+from cohortflow.llm.common import Forest, col, connected_components, hash_sample, materialize, release, runs, whole_runs
 
 COSINE = 0.98
 LEAD = 6
@@ -49,7 +49,7 @@ def _cells(prefix: str = "c") -> list[str]:
 def principal_directions(distinct: DataFrame) -> np.ndarray:
     """``LEAD`` orthonormal rows fitted on a bounded sample of unit vectors, for
     the sample's most common length; other lengths use their first axes."""
-    rows = distinct.orderBy(F.xxhash64("h1", "h2"), "label").select("vector").limit(SAMPLE).collect()
+    rows = hash_sample(distinct, [F.col("h1"), F.col("h2")], SAMPLE, "directions").select("vector").collect()
     lengths = [len(r[0]) for r in rows]
     if not lengths:
         return np.zeros((0, 0))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import col
+from cohortflow.llm.common import col, hash_sample
 from cohortflow.llm.html_dom import Block, leaf_blocks
 
 LABELLED = 300
@@ -289,7 +289,9 @@ def labelled_by_markup(blocks: list[Block]) -> list[int] | None:
 def fit(pages: DataFrame, html_col: str = "html", labelled: int = LABELLED) -> tuple[np.ndarray, np.ndarray]:
     """Weights trained on at most ``labelled`` pages and as many composed ones."""
     some = pages.select(col(html_col).cast("string").alias("h")).where(f"h is not null and length(h) <= {LONGEST_TRAINING_PAGE}")
-    sample = [leaf_blocks(r[0]) for r in some.orderBy(F.xxhash64("h"), "h").limit(labelled).collect()]
+    # copies of a page share a hash: one of them is enough
+    once = hash_sample(some, [F.col("h")], labelled, "training").groupBy(F.xxhash64("h").alias("k")).agg(F.first("h").alias("h"))
+    sample = [leaf_blocks(r["h"]) for r in sorted(once.collect(), key=lambda r: r["k"])]
     own = [(b, y) for b in sample if (y := labelled_by_markup(b))]
     pool = [x.text for b in sample for x in b]
     return train(own + compose(pool, labelled))

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import SPACE, col, fresh, materialize, release, text_or_empty
+from cohortflow.llm.common import SPACE, col, fresh, hash_sample, materialize, release, text_or_empty
 
 MAX_LABELLED = 20_000
 MAX_RULES = 8
@@ -117,8 +117,9 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """Counts of the labelled documents learned from: (counts..., low, prune)."""
     known = labels.select(col(label_id).cast("long").alias("i"), col(quality_col).cast("int").alias("q")).where("i is not null and q in (0, 1)")
     known = known.groupBy("i").agg((F.min("q") == 0).alias("low"))
-    # at most max_labelled rows of 9 bytes: a proven bound for the broadcast
-    chosen = materialize(known.orderBy(F.xxhash64("i", F.lit("rules")), "i").limit(max_labelled))
+    known = materialize(known)
+    # about max_labelled rows of 9 bytes at most: a proven bound for the broadcast
+    chosen = hash_sample(known, [F.col("i")], max_labelled, "rules")
     text = docs.select(col(id_col).cast("long").alias("i"), col(text_col).alias("t")).join(F.broadcast(chosen), "i")
     out = with_counts(text, "t", {k: k for k in COUNTS})
     return out.select(*COUNTS, "low", (F.pmod(F.xxhash64("i", F.lit("prune")), F.lit(3)) == 0).alias("prune"))
