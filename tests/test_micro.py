@@ -185,3 +185,57 @@ def test_folds_are_stratified(spark):
     for y in (0, 1):
         sizes = [counts.get((y, k), 0) for k in range(5)]
         assert max(sizes) - min(sizes) <= 1
+
+
+def test_rewritten_dimension_is_read_anew(spark, tmp_path):
+    path = str(tmp_path / "vle")
+    site = lambda rows: spark.createDataFrame([(i, "AAA", "2013J", t, None, None) for i, t in rows], RAW_SCHEMAS["vle"])
+    site([(1, "forum")]).write.mode("overwrite").parquet(path)
+    assert feat.dimension_activity_types(spark.read.parquet(path)) == ["forum"]
+    site([(1, "forum"), (2, "quiz")]).write.mode("overwrite").parquet(path)
+    assert feat.dimension_activity_types(spark.read.parquet(path)) == ["forum", "quiz"]
+
+
+def test_repeated_assessment_id_is_an_error(spark):
+    t = make_tables(spark, subs=[(1, 1, 5, 50.0)], assess=[(1, 10, 10.0), (1, 12, 20.0)])
+    with pytest.raises(Exception, match="not unique"):
+        feat.assessment_rollup(t["student_assessment"], t["assessments"], C35).collect()
+
+
+def test_rollup_of_one_busy_entity(spark):
+    """One student with a third of the log, counted against plain sets."""
+    busy = [(1, d % 40, d % 36, 1 + d % 3) for d in range(600)]
+    rest = [(2 + i % 30, i % 7, i % 50, i % 5) for i in range(1200)]
+    t = make_tables(spark, vle_rows=busy + rest, info=[info_row(i) for i in range(1, 32)])
+    got = {r.id_student: r for r in feat.click_rollup(t["student_vle"], t["vle"], C35).collect()}
+    for sid in (1, 2, 9):
+        rows = {r for r in busy + rest if r[0] == sid and r[2] <= 35}
+        assert got[sid].active_days_until_cutoff == len({r[2] for r in rows})
+        assert got[sid].used_site_count_until_cutoff == len({r[1] for r in rows})
+        assert got[sid].total_click_until_cutoff_sum_strategy == sum(r[3] for r in rows)
+
+
+def test_knn_equals_all_pairs(spark):
+    rng = __import__("random").Random(3)
+    rows = []
+    for i in range(160):
+        v, r = (0.0, 0) if i % 3 == 0 else (round(rng.choice([1.0, 2.5, rng.uniform(0, 9)]), 3), rng.randrange(6))
+        rows.append(("week5", i % 5, "AAA", "2013J", i, v, r, rng.randrange(2)))
+    df = spark.createDataFrame(rows, "cutoff string, fold long, code_module string, code_presentation string, id_student long, v double, r long, target_at_risk long")
+    got = {x.id_student: x.score for x in ml.knn_predictions(df, "v", "r").collect()}
+    import statistics
+
+    for _, fold, _, _, i, v, r, _ in rows:
+        train = [x for x in rows if x[1] != fold]
+        sv, sr = (statistics.pstdev(float(x[k]) for x in train) for k in (5, 6))
+        best = sorted(train, key=lambda x: (((x[5] - v) / sv) ** 2 + ((x[6] - r) / sr) ** 2, x[4]))[:5]
+        assert got[i] == pytest.approx(sum(x[7] for x in best) / 5), i
+
+
+def test_dropping_a_block_names_absent_columns(spark):
+    from cohortflow.operators.baseline import without_blocks
+
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert without_blocks(df, ["b"], ["c"]).columns == ["a"]
+    with pytest.raises(ValueError, match="zz"):
+        without_blocks(df, ["zz"])

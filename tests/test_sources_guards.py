@@ -69,3 +69,52 @@ def test_label_guard(spark):
         guards.guard_labels(df)
     ok = df.where(F.col("final_result") == "Pass")
     guards.guard_labels(ok)
+
+
+def test_columns_are_bound_by_header_name(spark, tmp_path):
+    path = tmp_path / "studentRegistration.csv"
+    path.write_text(
+        "extra,date_unregistration,id_student,code_presentation,code_module,date_registration\n"
+        "x,NaN,7,2013J,AAA,-5\ny,12,8,2014B,BBB,#N/A N/A\n"
+    )
+    rows = sorted(map(tuple, src.read_csv_table(spark, str(path), "student_registration").collect()))
+    assert rows == [("AAA", "2013J", 7, -5, None), ("BBB", "2014B", 8, None, 12)]
+
+
+def test_mistyped_cells_fail_and_are_counted(spark, tmp_path):
+    path = tmp_path / "courses.csv"
+    path.write_text("code_module,code_presentation,module_presentation_length\nAAA,2014J,long\nBBB,2014J,1.#IND\n")
+    with pytest.raises(Exception, match="module_presentation_length"):
+        src.read_csv_table(spark, str(path), "courses").collect()
+    got = {r.column: (r.missing_cells, r.bad_cells) for r in src.bad_cells(spark, str(path), "courses").collect()}
+    assert got == {"code_module": (0, 0), "code_presentation": (0, 0), "module_presentation_length": (1, 1)}
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    path = tmp_path / "courses.csv"
+    path.write_text("code_module,code_presentation\nAAA,2014J\n")
+    with pytest.raises(src.MissingColumnError, match="module_presentation_length"):
+        src.read_csv_table(spark, str(path), "courses")
+
+
+def test_no_private_scratch_folder_off_a_local_master():
+    from cohortflow.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_duplicate_keys_stop_the_model_input(spark):
+    df = spark.createDataFrame([("c", "A", "P", 1), ("c", "A", "P", 1)], "cutoff string, code_module string, code_presentation string, id_student long")
+    with pytest.raises(guards.GuardError):
+        guards.guard_no_duplicate_keys(df)
