@@ -39,6 +39,8 @@ MAX_UNLABELLED = 8_000
 ROUNDS = 3
 SURE = 0.95
 TRIGRAMS = 1024
+#: Partitions of each part of the (bounded) training rows.
+FIT_PARTITIONS = 6
 SOURCES, LANGS = 64, 16
 
 
@@ -136,7 +138,8 @@ class View:
 
 def cotrain(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> tuple[View, View, float]:
     """Content view, metadata view, prior log-odds from ``_training_rows``."""
-    train, held, pool = (rows.where(f"part = {k}").drop("part").cache() for k in range(3))
+    # a bounded number of rows: few partitions, so that an iteration is a short job
+    train, held, pool = (rows.where(f"part = {k}").drop("part").coalesce(FIT_PARTITIONS).cache() for k in range(3))
     share = held.agg(F.avg("y")).first()[0]
     prior = math.log(share / (1 - share))
     edge = math.log(sure / (1 - sure))
