@@ -158,14 +158,14 @@ def cotrain(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> tuple[
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", n_chars_col: str = "n_chars", label_id: str = "doc_id", quality_col: str = "quality", rounds: int = ROUNDS) -> DataFrame:
-    """Per row: doc_id, p_content, p_metadata, score, keep (score >= 0.5)."""
+    """Per row: doc_id, p_content, p_metadata, score, kept (score >= 0.5)."""
     rows = _rows(docs, id_col, text_col, lang_col, source_col, n_chars_col)
     training = _training_rows(rows, labels, label_id, quality_col)
     classes = {(r["part"], r["y"]) for r in training.where("y is not null").select("part", "y").distinct().collect()}
     if not {(p, y) for p in (0, 1) for y in (0.0, 1.0)} <= classes:
         seen = {y for _, y in classes}
         only = F.lit(0.5 if len(seen) != 1 else seen.pop())
-        return rows.select("doc_id", only.alias("p_content"), only.alias("p_metadata"), only.alias("score"), (only >= 0.5).alias("keep"))
+        return rows.select("doc_id", only.alias("p_content"), only.alias("p_metadata"), only.alias("score"), (only >= 0.5).alias("kept"))
     content, meta, prior = cotrain(training, rounds)
     views = [v.calibrated() for v in (content, meta)]
 
@@ -174,7 +174,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             logits = np.array([[float(x @ w) + c for x, (w, c) in zip(pair, views)] for pair in _views(b)]).reshape(-1, 2)
             both = logits.sum(axis=1) - prior
             p = 1 / (1 + np.exp(-np.clip(np.column_stack([logits, both]), -500, 500)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(p[:, k]) for k in range(3)), pa.array(p[:, 2] >= 0.5)], names=["doc_id", "p_content", "p_metadata", "score", "keep"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(p[:, k]) for k in range(3)), pa.array(p[:, 2] >= 0.5)], names=["doc_id", "p_content", "p_metadata", "score", "kept"])
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(score, f"doc_id {kind}, p_content double, p_metadata double, score double, keep boolean")
+    return rows.mapInArrow(score, f"doc_id {kind}, p_content double, p_metadata double, score double, kept boolean")

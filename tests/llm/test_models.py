@@ -172,7 +172,7 @@ def test_cotraining_held_out_accuracy(spark):
             labels.append((i, int(not low)))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = cotrain.score_documents(df, spark.createDataFrame(labels, "doc_id long, quality int"), rounds=1).collect()
-    assert len(got) == 500 and sum(r.keep == (r.doc_id % 4 != 0) for r in got if r.doc_id >= 300) >= 198
+    assert len(got) == 500 and sum(r.kept == (r.doc_id % 4 != 0) for r in got if r.doc_id >= 300) >= 198
     assert all(0 <= r.score <= 1 for r in got)
 
 
