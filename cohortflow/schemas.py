@@ -64,7 +64,7 @@ FORBIDDEN_COLUMNS = ["date_unregistration"]
 
 BASELINE_MODEL_FEATURES = ["total_click_until_cutoff_mean_strategy", "active_days_until_cutoff"]
 
-# Stage 3 count-like fills: prefixes and names.
+# Stage 3 count-like columns that are filled with 0 (prefixes, names).
 STAGE3_FILL_PREFIXES = ("total_click_", "active_days_", "used_site_count_", "clicks_activity_")
 STAGE3_FILL_NAMES = (
     "assessment_count_until_cutoff",
@@ -73,7 +73,7 @@ STAGE3_FILL_NAMES = (
     "scored_assessment_count_until_cutoff",
 )
 
-# Stage 5 count-like fills.
+# Stage 5 count-like columns that are filled with 0.
 BASELINE_FILL_NAMES = (
     "active_days_until_cutoff",
     "used_site_count_until_cutoff",
@@ -89,6 +89,7 @@ BASELINE_FILL_PREFIXES = (
     "clicks_activity_",
 )
 
+# Columns that get a missing flag before they are filled.
 MISSING_FLAG_COLUMNS = [
     "imd_band",
     "date_registration",
@@ -104,6 +105,7 @@ MISSING_FLAG_COLUMNS = [
     "days_since_last_activity_at_cutoff",
 ]
 
+# Features that a Stage 5 matrix must have.
 REQUIRED_BASELINE_FEATURES = [
     "on_time_submission_count_until_cutoff",
     "avg_days_before_due_until_cutoff",
@@ -111,7 +113,7 @@ REQUIRED_BASELINE_FEATURES = [
     "is_retake",
 ]
 
-# Recommended first predictor set (documented preset, in its published order).
+# The documented first predictor set, in its published order.
 RECOMMENDED_PREDICTORS = [
     "code_module",
     "code_presentation",
@@ -171,7 +173,7 @@ def _s(*cols: tuple[str, T.DataType]) -> T.StructType:
 
 S, L, D, I = T.StringType(), T.LongType(), T.DoubleType(), T.IntegerType()
 
-# Fixed raw schemas (never inferred: codes like 2013J must stay strings).
+# Raw schemas (never inferred: codes like 2013J must stay strings).
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "courses": _s(("code_module", S), ("code_presentation", S), ("module_presentation_length", L)),
     "assessments": _s(
