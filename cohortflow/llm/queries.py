@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, packing, rules, simhash, suffix
@@ -30,7 +29,11 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    return bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path)
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

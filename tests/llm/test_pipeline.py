@@ -4,6 +4,9 @@ import collections
 
 import corpus_pipeline
 import pytest
+from cohortflow.llm import lines, packing, rules
+from cohortflow.llm.common import materialize
+from test_documents import LAST, WORD, components, plain_best_fit, plain_counts, plain_fingerprint, words_removed
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,6 +34,80 @@ def test_stages_keep_columns_and_whole_rows(spark, docs, labels, tmp_path):
     assert placed == given
 
 
+def plain_lines(docs):
+    """Line dedup in plain Python over (id, text, source)."""
+    trim = lambda x: x.strip(" \t\r\x0b\x0c")
+    pages = {(s, t) for _, t, s in docs if t is not None}
+    total = collections.Counter(s for s, _ in {(s, t) for _, t, s in docs})
+    seen = collections.Counter((s, x) for s, t in pages for x in {trim(y) for y in t.split("\n")} if x)
+    bad = {k for k, n in seen.items() if n >= lines.MIN_PAGES and n / total[k[0]] > lines.MAX_RATIO}
+    return [(i, None if t is None else "\n".join(x for x in t.split("\n") if (s, trim(x)) not in bad), s) for i, t, s in docs]
+
+
+def plain_simhash(docs):
+    """One row per near-duplicate group; a winner's id keeps distinct texts."""
+    fps = [plain_fingerprint(t) for _, t, _ in docs]
+    root = components(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3])
+    least = {}
+    for r, (i, _, _) in zip(root, docs):
+        least[r] = min(least.get(r, LAST), LAST if i is None else i)
+    winners = {least[r] for r in root}
+    return sorted({(LAST if i is None else i, t, s) for i, t, s in docs if (LAST if i is None else i) in winners}, key=str)
+
+
+def test_pipeline_equals_brute_force(spark, docs, labels, tmp_path):
+    """Every stage against plain Python over what its predecessor kept."""
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    learned = rules.learn_from(docs, labels)
+    rows = lambda df: [(r.doc_id, r.text, r.source) for r in df.collect()]
+    cur, plain = docs, rows(docs)
+
+    def rejects(text):
+        n_words, chars, symbols, dups, repeats = plain_counts(text)
+        if n_words < 50 or 100 * repeats > 50 * n_words:
+            return True
+        facts = {
+            "symbols_per_word": symbols / max(n_words, 1),
+            "repeated_share": repeats / max(n_words, 1),
+            "duplicate_lines": dups / max(1, sum(bool(WORD.search(x)) for x in text.split("\n"))),
+            "upper_share": sum("A" <= c <= "Z" for c in text) / max(chars, 1),
+        }
+        return any(all((facts[c.feature] > c.threshold) == c.above for c in rule) for rule in learned)
+
+    def without_spans(docs_):
+        out = []
+        for (i, t, s), (_, w, gone) in zip(docs_, words_removed(docs_, 50)):
+            out.append((i, b" ".join(x for x, g in zip(w, gone) if not g), s))
+        return out
+
+    steps = {
+        "quality rules": lambda d: [x for x in d if not rejects(x[1] or "")],
+        "line dedup": plain_lines,
+        "simhash near-dedup": plain_simhash,
+        "substring dedup": without_spans,
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        cur, plain = materialize(stage(spark, cur, str(tmp_path))), steps[name](plain)
+        got, want = rows(cur), plain
+        if name == "simhash near-dedup":
+            got = [(LAST if i is None else i, t, s) for i, t, s in got]
+        if name == "substring dedup":
+            got = [(i, b" ".join((t or "").encode().split()), s) for i, t, s in got]
+        assert sorted(got, key=str) == sorted(want, key=str), name
+        plain = rows(cur)
+    packed = corpus_pipeline.STAGES[-1][1](spark, cur, str(tmp_path)).collect()
+    items = []
+    for i, t, s in plain:
+        w = (t or "").lower().encode().split()
+        for k in range(max(1, -(-len(w) // packing.CAPACITY))):
+            items.append((-min(packing.CAPACITY, len(w) - k * packing.CAPACITY), i, k, s, tuple(w)))
+    items = sorted((x for x in items if x[0] < 0), key=lambda x: (x[0], LAST if x[1] is None else x[1], x[2]))
+    want = plain_best_fit([(-x[0], x[3], x[4]) for x in items], packing.CAPACITY)
+    got = {(r.doc_id, r.segment, r.n_tokens): (r.bin_id, r.place) for r in packed if r.n_tokens}
+    ties = collections.Counter((x[0], x[1], x[2]) for x in items)
+    assert all(got[x[1], x[2], -x[0]] == b for x, b in zip(items, want) if max(ties.values()) == 1 or ties[x[:3]] == 1)
+
+
 def test_stages_on_empty_documents(spark, no_docs, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     for _, stage in corpus_pipeline.STAGES:
