@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import Forest, col, connected_components, fresh, materialize, release, runs, whole_runs
+from cohortflow.llm.common import Forest, col, connected_components, fresh, materialize, release, runs, small_side, whole_runs
 
 SHINGLE = 3
 RADIUS = 3
@@ -164,8 +164,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     (key,) = fresh(docs, "component")
     found = materialize(near_duplicates(docs, id_col, text_col, **params))
     named = found.where("component_id is null or doc_id = component_id")
-    winners = materialize(named.groupBy("component_id").agg(F.count("*").alias("n")))
-    once = winners.where("n = 1").select(F.col("component_id").alias(key))
-    out = docs.join(once, col(id_col).cast("long").eqNullSafe(F.col(key)), "left_semi")
-    again = docs.join(winners.where("n > 1").select(F.col("component_id").alias(key)), col(id_col).cast("long").eqNullSafe(F.col(key)), "left_semi")
-    return out.unionByName(again.dropDuplicates([id_col, text_col]))
+    winners = named.groupBy("component_id").agg(F.count("*").alias("n"))
+    # ids only: the texts stay where they are while 16 bytes a winner are few
+    winners = materialize(winners.select(F.col("component_id").alias(key), "n"))
+    once, more = small_side(winners.where("n = 1").select(key), 16), winners.where("n > 1").select(key)
+    own = col(id_col).cast("long").eqNullSafe(F.col(key))
+    again = docs.join(small_side(more, 16), own, "left_semi").dropDuplicates([id_col, text_col])
+    return docs.join(once, own, "left_semi").unionByName(again)

@@ -60,7 +60,8 @@ def requested(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, ite
     keys = lists.select("id", "tag")
     if (few := small_side(keys, 16)) is not keys:
         rows = rows.join(few, ["id", "tag"], "left_semi")
-    return rows.join(lists, ["id", "tag"]).select("doc_id", "id", "tag", "text", "request")
+    # always a shuffle of the texts asked for, so that its cost follows the input
+    return rows.join(lists.hint("merge"), ["id", "tag"]).select("doc_id", "id", "tag", "text", "request")
 
 
 def covered(n: int, request: list[dict]) -> np.ndarray:
