@@ -7,8 +7,8 @@ place); a page's blocks are one chain with two labels, article and other.  The
 field is trained by gradient ascent on the regularised likelihood of labelled
 pages and decoded by Viterbi.
 
-Labelled pages: at most ``LABELLED`` pages of the table, chosen by the hash of
-their html, labelled by their own ``article``/``main`` markup, and as many pages
+Labelled pages: about ``LABELLED`` pages of the table, chosen by the hash of
+their html, labelled by their own ``article``/``main`` markup, and twice as many pages
 composed from those pages' blocks in varied layouts (``compose``), whose labels
 are known because the layout places every block.  All pages are extracted.
 
@@ -50,6 +50,8 @@ def _path_features(path: tuple[tuple[str, str], ...]) -> list[str]:
             words = {w.lower() for w in WORDS.findall(names)}
             out += [f"name:{w}" for w in words] + [f"stem:{w[:4]}" for w in words if len(w) > 4]
             out += [f"{tag}.{w}" for w in words]
+            if (tag, names) == path[-1]:
+                out += [f"own:{w}" for w in words]
     return sorted(set(out))
 
 
@@ -166,14 +168,15 @@ ARTICLE_NAMES = "content main post entry article story body text post-content en
 PARTS = {
     "menu": "nav menu navbar navigation main-menu top-menu breadcrumb breadcrumbs pagination pager tabs toc".split(),
     "header": "header masthead topbar site-header branding logo banner tagline page-header".split(),
-    "footer": "footer site-footer copyright colophon bottom legal credits page-footer".split(),
-    "sidebar": "sidebar side aside widget widget-area related recommended popular trending recent rail right-column left-column more-stories".split(),
+    "footer": "footer site-footer contentinfo copyright colophon bottom legal credits page-footer".split(),
+    "sidebar": "sidebar side aside complementary widget widget-area related recommended popular trending recent rail right-column left-column more-stories".split(),
     "notice": "notice alert cookie cookies cookie-banner cookie-notice consent gdpr warning message popup modal overlay newsletter subscribe signup paywall promo-bar announcement disclaimer".split(),
     "advert": "ad ads advert advertisement adsense ad-slot sponsored sponsor promo promotion banner-ad commercial dfp outbrain taboola".split(),
     "form": "form login search search-box contact-form register feedback signin".split(),
     "comments": "comments comment comment-list commentlist comment-body reply replies respond discussion disqus reactions user-comments reader-comments responses".split(),
     "share": "share sharing social social-links follow buttons toolbar meta byline-tools tags tag-list".split(),
 }
+BYLINE = "byline author date meta post-meta published timestamp dateline".split()
 SEMANTIC = {"menu": "nav", "header": "header", "footer": "footer", "sidebar": "aside", "form": "form"}
 
 
@@ -235,6 +238,9 @@ class _Layout:
             inner = f"&copy; {self.text(4)} &middot; {self.text(20)}" if r.random() < 0.6 else f"<p>{self.text()}</p>"
         else:
             inner = (f"<h3>{self.text(4)}</h3>" if r.random() < 0.4 else "") + (f"<p>{self.text()}</p>" if r.random() < 0.6 else self.text(r.choice([6, 40])))
+        if part in ("notice", "advert", "share") and r.random() < 0.3:  # the element itself is named
+            text = self.text(r.choice([8, 25]))
+            return self.wrap(f"{text}{r.choice(['', ' <a href=/x>more</a>'])}", r.choice(["p", "div", "span"]), PARTS[part])
         tag = SEMANTIC.get(part)
         if tag and r.random() < 0.6:
             return self.wrap(inner, tag, PARTS[part] if r.random() < 0.3 else None)
@@ -246,20 +252,25 @@ class _Layout:
         some = lambda parts, p: [(self.other(x), 0) for x in parts if r.random() < p]
         body += some(["notice"], 0.3) + some(["header"], 0.4) + some(["menu"], 0.7) + some(["advert", "share", "form"], 0.3)
         inside = [(self.article(), 1)]
-        if r.random() < 0.35:  # other parts within the article's element
-            inside = some(["share", "menu"], 0.3) + inside + some(["advert", "share", "form", "comments", "notice", "sidebar"], 0.3)
-            if r.random() < 0.5:
+        if r.random() < 0.15:  # a head with the title and who wrote it
+            inside = [("<header>", 0), (f"<h1>{self.text(12)}</h1>", 1), (self.wrap(self.text(5), r.choice(["p", "div", "span"]), BYLINE), 0), ("</header>", 0), *inside]
+        if r.random() < 0.5:  # other parts within the article's element
+            inside = some(["share", "menu", "notice", "advert"], 0.25) + inside + some(["advert", "share", "form", "comments", "notice", "sidebar"], 0.3)
+            while r.random() < 0.5:
                 inside += [("".join(f"<p>{self.text()}</p>" for _ in range(r.randint(1, 3))), 1)]
-        tag, names = r.choice([("article", None), ("article", ARTICLE_NAMES), ("main", None), ("main", ARTICLE_NAMES), ("div", ARTICLE_NAMES), ("div", ARTICLE_NAMES), ("section", ARTICLE_NAMES), ("div", None)])
+                inside += some(["advert", "notice", "form", "share"], 0.25)
+        tag, names = r.choice([("article", None), ("article", ARTICLE_NAMES), ("main", None), ("main", ARTICLE_NAMES), ("div", ARTICLE_NAMES), ("div", ARTICLE_NAMES), ("section", ARTICLE_NAMES), ("div", None), ("div", None)])
         opened = f'<{tag} class="{r.choice(names)}">' if names else f"<{tag}>"
         if r.random() < 0.2:
             opened, closed = f"<div id='{r.choice(['page', 'wrapper', 'container', 'main'])}'>{opened}", f"</{tag}></div>"
         else:
             closed = f"</{tag}>"
+        if r.random() < 0.08:  # no element of its own
+            opened = closed = ""
         body += [(opened, 0), *inside, (closed, 0)]
         body += some(["share", "advert", "sidebar"], 0.35) + some(["comments"], 0.4) + some(["form", "notice", "sidebar", "menu"], 0.2) + some(["footer"], 0.8)
         # a private mark at the edges of every labelled part tells its blocks apart
-        whole = "<html><body>" + "".join(f"<mark-{y}>{x}</mark-{y}>" if not x.startswith(opened) and x != closed else x for x, y in body) + "</body></html>"
+        whole = "<html><body>" + "".join(f"<mark-{y}>{x}</mark-{y}>" if x not in (opened, closed, "<header>", "</header>") else x for x, y in body) + "</body></html>"
         blocks, labels = [], []
         for b in leaf_blocks(whole):
             marks = [t for t, _ in b.path if t.startswith("mark-")]
@@ -287,14 +298,14 @@ def labelled_by_markup(blocks: list[Block]) -> list[int] | None:
 
 
 def fit(pages: DataFrame, html_col: str = "html", labelled: int = LABELLED) -> tuple[np.ndarray, np.ndarray]:
-    """Weights trained on at most ``labelled`` pages and as many composed ones."""
+    """Weights trained on about ``labelled`` pages and twice as many composed ones."""
     some = pages.select(col(html_col).cast("string").alias("h")).where(f"h is not null and length(h) <= {LONGEST_TRAINING_PAGE}")
     # copies of a page share a hash: one of them is enough
     once = hash_sample(some, [F.col("h")], labelled, "training").groupBy(F.xxhash64("h").alias("k")).agg(F.first("h").alias("h"))
     sample = [leaf_blocks(r["h"]) for r in sorted(once.collect(), key=lambda r: r["k"])]
     own = [(b, y) for b in sample if (y := labelled_by_markup(b))]
     pool = [x.text for b in sample for x in b]
-    return train(own + compose(pool, labelled))
+    return train(own + compose(pool, 2 * labelled))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
