@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -29,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = tempfile.mkdtemp(prefix="llm-shared-")
     spark.conf.set("spark.checkpoint.dir", folder)
