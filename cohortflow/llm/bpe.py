@@ -37,7 +37,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortflow.llm.common import col, text_or_empty
 

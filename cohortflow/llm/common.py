@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import gc
 import re
 import tempfile
@@ -39,21 +41,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage and
-    survives lost executors)."""
+    survives lost executors). The copy goes with ``release``, or at exit."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    atexit.register(_forget, df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._llm_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """At exit: the session may be gone already."""
+    with contextlib.suppress(Exception):
+        _delete(spark, path)
+
+
 def release(*frames: DataFrame | None) -> None:
     """Delete what ``materialize`` wrote for frames that are no longer read."""
     for df in frames:
         if df is not None and (path := getattr(df, "_llm_path", None)):
-            jvm = df.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(df.sparkSession, path)
 
 
 def free_shuffles(df: DataFrame) -> None:
