@@ -30,8 +30,10 @@ long are never touched.  Empty table: no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -170,9 +172,9 @@ def drop_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_key, tag_key = key_columns(id_col, text_or_empty(text_col))
     out = docs.join(side, (id_key == F.col(key_id)) & (tag_key == F.col(key_tag)), "left")
 
-    @F.pandas_udf("string")
-    def without(text, request):
-        return text.combine(request, _cut_text)
+    @F.arrow_udf("string")
+    def without(text: pa.Array, request: pa.Array) -> pa.Array:
+        return pa.array([_cut_text(t.as_py(), r.as_py()) for t, r in zip(text, request)], pa.string())
 
     new = F.when(F.col(request).isNull(), col(text_col)).otherwise(without(F.when(F.col(request).isNotNull(), col(text_col)), F.col(request)))
     out = out.withColumn(text_col, new)
@@ -181,12 +183,10 @@ def drop_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select(*map(col, docs.columns))
 
 
-def _cut_text(text: str | None, request) -> str | None:
-    import re
-
+def _cut_text(text: str | None, request: list[dict] | None) -> str | None:
     if text is None or request is None:
         return text
     ends = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text)]
-    gone = covered(len(ends), list(request))
+    gone = covered(len(ends), request)
     lead = text[: ends[0][0]] if ends else text
     return lead + "".join(text[a:b] for (a, b), g in zip(ends, gone.tolist()) if not g)

@@ -24,12 +24,13 @@ Repeated rows are copies of one cluster and land in different bins.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import SPACE, col, materialize, partitions_for, text_or_empty
+from cohortflow.llm.common import SPACE, col, materialize, partitions_for, runs, text_or_empty, whole_runs
 
 CAPACITY = 2048
 SHARD = 4096
@@ -80,15 +81,20 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     full = rows.where("n_tokens > 0")
     shards = partitions_for(full.count(), shard)
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "segment", "cluster"], ascending=[False, True, True, True], na_position="last", kind="stable")
-        got = best_fit(pdf.n_tokens.tolist(), pdf.source.where(pdf.source.notna(), None).tolist(), pdf.cluster.tolist(), capacity)
-        pdf["bin_id"] = [(key[0] << 24) + b for b, _ in got]
-        pdf["place"] = [p for _, p in got]
-        return pdf[["doc_id", "segment", "start", "n_tokens", "source", "bin_id", "place"]]
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for table in whole_runs(batches, ["shard"]):
+            bounds = runs(table.column("shard").to_numpy())
+            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                part = table.slice(s, e - s).combine_chunks()
+                got = best_fit(*(part.column(c).to_pylist() for c in ("n_tokens", "source", "cluster")), capacity)
+                first = part.column("shard")[0].as_py() << 24
+                cols = [part.column(c).combine_chunks() for c in ("doc_id", "segment", "start", "n_tokens", "source")]
+                cols += [pa.array([first + b for b, _ in got], pa.int64()), pa.array([p for _, p in got], pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "segment", "start", "n_tokens", "source", "bin_id", "place"])
 
     schema = "doc_id long, segment int, start long, n_tokens long, source string, bin_id long, place int"
     dealt = full.withColumn("shard", F.pmod(F.xxhash64("doc_id", "segment", "cluster"), F.lit(shards)))
-    packed = dealt.groupBy("shard").applyInPandas(run, schema)
+    order = ["shard", F.desc("n_tokens"), F.asc_nulls_last("doc_id"), "segment", "cluster"]
+    packed = dealt.repartition("shard").sortWithinPartitions(*order).mapInArrow(run, schema)
     empty = rows.where("n_tokens = 0").select("doc_id", "segment", "start", "n_tokens", "source", F.lit(None).cast("long").alias("bin_id"), F.lit(None).cast("int").alias("place"))
     return packed.unionByName(empty)
