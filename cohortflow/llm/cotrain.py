@@ -3,8 +3,8 @@
 The content view sees a text's hashed byte trigrams and character statistics;
 the metadata view sees language, source, length and the layout of lines.  Both
 start from the labelled documents.  In each round each view labels the
-unlabelled documents it is sure of (calibrated probability beyond ``SURE``), and
-the other view trains on the labels plus these pseudo-labels.  Each view is
+unlabelled documents it is sure of (calibrated probability beyond ``SURE``) and
+the other isn't sure of the opposite, and the other view trains on the labels plus these pseudo-labels.  Each view is
 calibrated by Platt scaling on labelled documents held out of all training; the
 calibrated log-odds, less the prior counted twice, add up to the score.
 
@@ -144,13 +144,15 @@ def cotrain(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> tuple[
     prior = math.log(share / (1 - share))
     edge = math.log(sure / (1 - sure))
 
-    def pseudo(view: View) -> DataFrame:
-        scored = pool.withColumn("l", view.logit())
-        return scored.where(F.abs("l") >= edge).select("content", "meta", F.when(F.col("l") > 0, 1.0).otherwise(0.0).alias("y"))
+    def pseudo(view: View, other: View) -> DataFrame:
+        """Labels the view is sure of, but for those the other is sure are wrong."""
+        scored = pool.withColumns({"l": view.logit(), "o": other.logit()})
+        agreed = F.when(F.col("l") > 0, F.col("o") > -edge).otherwise(F.col("o") < edge)
+        return scored.where((F.abs("l") >= edge) & agreed).select("content", "meta", F.when(F.col("l") > 0, 1.0).otherwise(0.0).alias("y"))
 
     content, meta = View(train, held, "content"), View(train, held, "meta")
     for _ in range(rounds):
-        from_content, from_meta = pseudo(content), pseudo(meta)
+        from_content, from_meta = pseudo(content, meta), pseudo(meta, content)
         content, meta = View(train.unionByName(from_meta), held, "content"), View(train.unionByName(from_content), held, "meta")
     for x in (train, held, pool):
         x.unpersist()
