@@ -184,3 +184,56 @@ def test_classifier_edges(spark, docs, no_docs):
     assert {r.score for r in got} == {1.0} and len(got) == docs.count()
     assert cotrain.score_documents(no_docs, one).collect() == []
     assert len(cotrain.content_view(b"")) == len(cotrain.content_view("é".encode() * 2_000_000))
+
+
+def labelled_table(spark, n=400, labelled=240):
+    """Documents of which every fourth is junk, labels of the first ones, two
+    null ids; junk of source 'rare' is never labelled."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(n):
+        low = i % 4 == 0
+        words = ["".join(rng.choice("abcdeinorst") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(30, 90))]
+        text = " ".join(w.upper() + "!!" for w in words) if low else " ".join(words) + "."
+        rows.append((i if i < n - 2 else None, text, "en", "rare" if low and i >= labelled else f"s{i % 7}", len(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df, spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(labelled)], "doc_id long, quality int")
+
+
+def test_every_unlabelled_document_is_in_the_pool(spark, monkeypatch):
+    monkeypatch.setattr(cotrain, "MAX_UNLABELLED", 50, raising=False)
+    df, labels = labelled_table(spark)
+    rows = cotrain._training_rows(cotrain._rows(df, "doc_id", "text", "lang", "source", "n_chars"), labels, "doc_id", "quality")
+    got = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}
+    assert got[2] == 160 and got[0] + got[1] == 240
+
+
+def test_cotraining_fits_the_union_of_labels_and_sure_rows(spark):
+    """A round's weights are those of Spark ML on the same rows."""
+    from pyspark.ml.classification import LogisticRegression
+
+    df, labels = labelled_table(spark)
+    rows = cotrain._training_rows(cotrain._rows(df, "doc_id", "text", "lang", "source", "n_chars"), labels, "doc_id", "quality")
+    start, done = cotrain.cotrain(rows, rounds=0)[:2], cotrain.cotrain(rows, rounds=1)[:2]
+    edge = np.log(cotrain.SURE / (1 - cotrain.SURE))
+    train, pool = (cotrain._vectors(rows.where(f"part = {k}")).collect() for k in (0, 2))
+    logit = [[float(np.dot(r[k], v.calibrated()[0]) + v.calibrated()[1]) for r in pool] for k, v in enumerate(start)]
+    for k, view in enumerate(done):
+        sure = [(r, float(t > 0)) for r, o, t in zip(pool, logit[k], logit[1 - k]) if abs(t) >= edge and (o > -edge if t > 0 else o < edge)]
+        assert sure
+        both = spark.createDataFrame([(r[k], r["y"]) for r in train] + [(r[k], y) for r, y in sure], ["x", "label"])
+        want = LogisticRegression(featuresCol="x", maxIter=500, tol=1e-12, regParam=cotrain.PENALTY).fit(both)
+        x = np.array([r[k].toArray() for r in pool])
+        assert np.allclose(x @ view.weights + view.bias, x @ want.coefficients.toArray() + want.intercept, atol=0.1)
+
+
+def test_matrices_hold_both_views():
+    import pyarrow as pa
+
+    texts = [b"", b"ab", "Ärger 12!\n\nx, y".encode(), b"aaaa" * 400]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts), pa.array(["en", None, "de", "en"]), pa.array(["s", "s", None, "t"]), pa.array([0, None, 16, 1600])], names=["doc_id", "text", "lang", "source", "n_chars"])
+    (got,) = cotrain._features([batch])
+    content, meta = cotrain._matrices(got)
+    assert np.allclose(content[:, :-1], [cotrain.content_view(t) for t in texts]) and (content[:, -1] == 1).all()
+    assert meta.shape == (4, cotrain.LANGS + cotrain.SOURCES + 7) and (meta[:, : cotrain.LANGS + cotrain.SOURCES].sum(axis=1) == 2).all()
+    assert meta[1, cotrain.LANGS + cotrain.SOURCES + 1] == 1 and np.allclose(meta[2, -7:-1], [*cotrain.layout(texts[2], 16)])
