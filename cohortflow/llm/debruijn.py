@@ -166,7 +166,7 @@ def drop_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = materialize(spans.groupBy("id", "tag").agg(F.collect_list(F.struct("lo", "len")).alias("request")))
     release(scanned)
     total = lists.agg(F.sum(F.size("request"))).first()[0] or 0
-    side = small_side(lists, 48 + 40 * total // max(1, lists.count()))
+    side = small_side(lists, 52 + 40 * total // max(1, lists.count()))
     key_id, key_tag, request = fresh(docs, "id", "tag", "request")
     side = side.select(F.col("id").alias(key_id), F.col("tag").alias(key_tag), F.col("request").alias(request))
     id_key, tag_key = key_columns(id_col, text_or_empty(text_col))

@@ -50,7 +50,7 @@ LENGTH = 100
 GRAM = 24  # three eight-byte characters
 BUCKET = 400_000
 SPLITTER_SAMPLE = 1_000_000
-BLOB = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("tag", "<i4"), ("at", "<i4")])
+BLOB = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("tag", "<i8"), ("at", "<i4")])
 
 
 def pieces_of(text: bytes) -> tuple[np.ndarray, ...]:
@@ -125,7 +125,7 @@ def _spans(ids: np.ndarray, tags: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
     s = bounds[:-1]
     n = len(s)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[s].astype(np.int64)), pa.array(tags[s].astype(np.int32)), pa.array(at[s].astype(np.int32)), pa.array(np.diff(bounds).astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+        [pa.array(ids[s].astype(np.int64)), pa.array(tags[s].astype(np.int64)), pa.array(at[s].astype(np.int32)), pa.array(np.diff(bounds).astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
         names=["id", "tag", "lo", "len", "m", "part", "blob"],
     )
 
@@ -161,7 +161,7 @@ def _bucket_sort(splitters: list[tuple], table: pa.Table) -> Iterable[pa.RecordB
         part = (off[piece[own]] - step[own]) * by_offset // LENGTH * by_hash + (blob["b"] % by_hash).astype(np.int64)
         for k in np.unique(part).tolist():
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.array([token], pa.int64()), pa.array([k], pa.int32()), pa.array([blob[part == k].tobytes()], pa.binary())],
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.array([token], pa.int64()), pa.array([k], pa.int32()), pa.array([blob[part == k].tobytes()], pa.binary())],
                 names=["id", "tag", "lo", "len", "m", "part", "blob"],
             )
 
@@ -207,7 +207,7 @@ def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text
             keys = zip(b.column("m").to_pylist(), b.column("id").to_pylist(), b.column("start").to_pylist())
             yield b.append_column("bucket", pa.array([bisect_right(at, k) for k in keys], pa.int32()))
 
-    head = "id long, tag int, m long, start int, n int, off int, text binary"
+    head = "id long, tag long, m long, start int, n int, off int, text binary"
     dealt = rows.mapInArrow(deal, f"{head}, bucket int").repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -216,7 +216,7 @@ def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text
             for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 yield from _bucket_sort(shared.value, table.slice(s, e - s))
 
-    out = materialize(dealt.mapInArrow(sort, "id long, tag int, lo int, len int, m long, part int, blob binary"))
+    out = materialize(dealt.mapInArrow(sort, "id long, tag long, lo int, len int, m long, part int, blob binary"))
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for table in whole_runs(batches, ["m", "part"]):
@@ -225,7 +225,7 @@ def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text
                 yield from _across([x.as_py() for x in table.column("blob").slice(s, e - s)])
 
     blocks = out.where("blob is not null").select("m", "part", "blob").repartition("m", "part").sortWithinPartitions("m", "part")
-    more = blocks.mapInArrow(across, "id long, tag int, lo int, len int, m long, part int, blob binary")
+    more = blocks.mapInArrow(across, "id long, tag long, lo int, len int, m long, part int, blob binary")
     return out.where("blob is null").unionByName(more).select("id", "tag", "lo", F.col("len"))
 
 
@@ -234,7 +234,7 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: s
     heads = scanned.select("id", "tag", "n_bytes", "k1", "k2").distinct()
     first = heads.groupBy("k1", "k2").agg(F.min(F.struct("id", "tag")).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c")
     copies = materialize(heads.join(first, ["k1", "k2"]).where("id <> f.id or tag <> f.tag").select("id", "tag", "n_bytes"))
-    rest = scanned.join(small_side(copies.select("id", "tag"), 12), ["id", "tag"], "left_anti")
+    rest = scanned.join(small_side(copies.select("id", "tag"), 16), ["id", "tag"], "left_anti")
     every = rest.select("id", "tag", F.explode("pieces").alias("x")).select("id", "tag", "x.*")
     tokens = materialize(every.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"))
     free_shuffles(docs)
@@ -281,5 +281,5 @@ def span_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cut_rows = over_texts(rows, cut, "n_bytes long, n_removed long, n_spans long, kept_sha256 string").drop("id", "tag")
     touched = materialize(spans.select("id", "tag").distinct())
     zero = F.lit(0).cast("long")
-    rest = heads.join(small_side(touched, 12), ["id", "tag"], "left_anti").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256"))
+    rest = heads.join(small_side(touched, 16), ["id", "tag"], "left_anti").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256"))
     return rest.unionByName(cut_rows)

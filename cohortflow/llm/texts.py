@@ -14,10 +14,12 @@ from cohortflow.llm.common import col, materialize, small_side, text_or_empty
 
 
 def key_columns(id_col: str, text: Column) -> list[Column]:
-    """id (nulls last) and a tag that tells apart texts under one id."""
+    """id (nulls last) and a tag that tells apart texts under one id: 63 bits of
+    a hash, its low 31 first."""
+    h = F.xxhash64(text)
     return [
         F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("tag"),
+        F.shiftleft(h.bitwiseAND(F.lit(0x7FFFFFFF)), 32).bitwiseOR(F.shiftrightunsigned(h, 31).bitwiseAND(F.lit(0xFFFFFFFF))).alias("tag"),
     ]
 
 

@@ -259,3 +259,17 @@ def test_empty_tables(no_docs, labels):
     assert lines.line_report(no_docs).collect() == []
     assert rules.learn_from(no_docs, labels) == []
     assert rules.keep_good(no_docs, []).collect() == []
+
+
+def test_texts_under_one_id_have_tags_of_their_own(spark):
+    """Two texts whose hashes agree in 31 bits are two texts."""
+    from cohortflow.llm.texts import base_rows
+
+    seen, pair, n = {}, None, 0
+    while pair is None:
+        text, n = f"text {n}", n + 1
+        other = seen.setdefault(tag(text), text)
+        pair = (other, text) if other != text else None
+    df = spark.createDataFrame([(None, t) for t in pair], "doc_id long, text string")
+    tags = [r["tag"] for r in base_rows(df, "doc_id", "text").collect()]
+    assert len(set(tags)) == 2 and {t >> 32 for t in tags} == {tag(pair[0])}
