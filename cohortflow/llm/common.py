@@ -207,6 +207,36 @@ def hash_sample(df: DataFrame, key: list[Column], most: int, seed: str) -> DataF
     return df.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 40)) < int(0.95 * most / n * (1 << 40)))
 
 
+def present_labels(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``known`` (i, one label column; unique i), written, whose i is
+    among ``ids`` (one column i, any repeats and nulls)."""
+    known = materialize(known)
+    label = known.columns[1]
+    found = ids.where("i is not null").join(small_side(known, 24), "i")
+    return materialize(found.groupBy("i").agg(F.max(label).alias(label)))
+
+
+def class_sample(known: DataFrame, label: str, key: list[Column], most: int, seed: str) -> DataFrame:
+    """About ``most`` rows of ``known`` (all, if there are no more), by hash, with
+    a ``weight``.  One rate for both classes, but for a class that would have
+    under a quarter of ``most`` rows: it keeps up to that many.  weight is the
+    class's share of ``known`` over its share of the sample."""
+    counts = {r[label]: r["n"] for r in known.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    total, rare = sum(counts.values()), most // 4
+    if total <= most:
+        return known.withColumn("weight", F.lit(1.0))
+    want = {c: min(n, max(rare, int(0.95 * most * n / total))) for c, n in counts.items()}
+    over = sum(want.values()) - int(0.95 * most)
+    if over > 0:  # the larger class makes room
+        big = max(want, key=want.get)
+        want[big] -= over
+    below = [F.lit(1 << 40) if want[c] == n else F.lit(int(want[c] / n * (1 << 40))) for c, n in counts.items()]
+    weight = [F.lit((n / total) / (want[c] / sum(want.values()))) for c, n in counts.items()]
+    pick = lambda values: F.coalesce(*(F.when(F.col(label) == F.lit(c), v) for c, v in zip(counts, values)))
+    rows = known.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 40)) < pick(below))
+    return rows.withColumn("weight", pick(weight))
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     h = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)

@@ -4,12 +4,14 @@ The content view sees a text's hashed byte trigrams and character statistics;
 the metadata view sees language, source, length and the layout of lines.  Both
 start from the labelled documents.  In each round each view labels the
 unlabelled documents it is sure of (calibrated probability beyond ``SURE``) and
-the other isn't sure of the opposite, and the other view trains on the labels plus these pseudo-labels.  Each view is
-calibrated by Platt scaling on labelled documents held out of all training; the
+the other isn't sure of the opposite, and the other view trains on the labels
+plus these pseudo-labels.  Each view is calibrated by Platt scaling on labelled documents held out of all training; the
 calibrated log-odds, less the prior counted twice, add up to the score.
 
-The labelled documents are at most about ``MAX_LABELLED`` (by the hash of their
-id; the documented bound).  The unlabelled pool is every document without a
+The labelled documents are at most about ``MAX_LABELLED`` of those in the table
+(by the hash of their id; the documented bound); a rare class keeps up to a
+quarter of them, and rows weigh as their class does among all labels.  Of each
+class about a third calibrates, one row at least; a class of one row does both.  The unlabelled pool is every document without a
 label: each round scores all of them and trains on all that are sure.  Whole
 texts are read once; their features are written as small counts.  A view starts
 as a Spark ML logistic regression on the labelled documents; a round goes on
@@ -36,7 +38,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import col, hash_sample, materialize, small_side, text_or_empty
+from cohortflow.llm.common import class_sample, col, materialize, present_labels, small_side, text_or_empty
 
 MAX_LABELLED = 12_000
 ROUNDS = 3
@@ -129,31 +131,38 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col
 
 def _training_rows(rows: DataFrame, labels: DataFrame, label_id: str, quality_col: str) -> DataFrame:
     """Features of every row, written, with y and part: 0 trains, 1 calibrates,
-    2 is the unlabelled pool (y null), 3 are labels beyond the bound."""
+    2 is the unlabelled pool (y null), 3 are labels beyond the bound, 4 does
+    what 0 and 1 do."""
     known = labels.select(col(label_id).cast("long").alias("i"), col(quality_col).cast("int").alias("q")).where("i is not null and q in (0, 1)").groupBy("i").agg(F.min("q").cast("double").alias("y"))
-    known = materialize(known)
-    picked = hash_sample(known, [F.col("i")], MAX_LABELLED, "cotrain").select("i")
-    part = F.when(F.pmod(F.xxhash64("i", F.lit("held out")), F.lit(3)) == 0, 1).otherwise(0)
+    known = present_labels(rows.select(F.col("doc_id").cast("long").alias("i")), known)
+    picked = class_sample(known, "y", [F.col("i")], MAX_LABELLED, "cotrain")
+    # the class's first row by hash calibrates, its last trains: both have both
+    h = F.xxhash64("i", F.lit("held out"))
+    part = F.when(F.pmod(h, F.lit(3)) == 0, 1).otherwise(0)
+    for r in picked.groupBy("y").agg(F.min(h).alias("first"), F.max(h).alias("last")).collect():
+        mine = F.when(h == r["first"], 4 if r["first"] == r["last"] else 1).when(h == r["last"], 0).otherwise(part)
+        part = F.when(F.col("y") == r["y"], mine).otherwise(part)
+    picked = materialize(picked.select("i", part.alias("part"), "weight"))
     # about MAX_LABELLED ids at most: a proven bound for the broadcast
-    known = materialize(known.join(F.broadcast(picked.withColumn("part", part)), "i", "left").withColumn("part", F.coalesce("part", F.lit(3))))
+    known = materialize(known.join(F.broadcast(picked), "i", "left").withColumn("part", F.coalesce("part", F.lit(3))))
     kind = rows.schema["doc_id"].dataType.simpleString()
     got = rows.mapInArrow(_features, f"doc_id {kind}, counts binary, stats array<double>, lang int, source int")
     got = got.join(small_side(known, 24), F.col("doc_id").cast("long") == F.col("i"), "left")
-    y = F.when(F.col("part") < 2, F.col("y"))
-    return materialize(got.select("doc_id", "counts", "stats", "lang", "source", y.alias("y"), F.coalesce("part", F.lit(2)).alias("part")))
+    y = F.when(F.col("part").isin(0, 1, 4), F.col("y"))
+    return materialize(got.select("doc_id", "counts", "stats", "lang", "source", y.alias("y"), F.coalesce("weight", F.lit(1.0)).alias("weight"), F.coalesce("part", F.lit(2)).alias("part")))
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
-    """(content, meta, y) of labelled rows, for Spark ML: a bounded number of
+    """(content, meta, y, weight) of labelled rows, for Spark ML: a bounded number of
     rows in few partitions, so that an iteration is a short job."""
 
     def views(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
             for s in range(0, b.num_rows, 512):
                 x = b.slice(s, 512)
-                yield pa.RecordBatch.from_arrays([*(pa.array(list(m[:, :-1])) for m in _matrices(x)), x.column("y")], names=["content", "meta", "y"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(list(m[:, :-1])) for m in _matrices(x)), x.column("y"), x.column("weight")], names=["content", "meta", "y", "weight"])
 
-    got = rows.coalesce(FIT_PARTITIONS).mapInArrow(views, "content array<double>, meta array<double>, y double")
+    got = rows.coalesce(FIT_PARTITIONS).mapInArrow(views, "content array<double>, meta array<double>, y double, weight double")
     return got.withColumns({"content": array_to_vector("content"), "meta": array_to_vector("meta")}).cache()
 
 
@@ -163,12 +172,12 @@ class View:
     def __init__(self, weights: np.ndarray, bias: float, held: DataFrame, feature: str) -> None:
         self.weights, self.bias, self.feature = weights, bias, feature
         # a 1-d fit on log-odds of rows that no training saw
-        platt = LogisticRegression(featuresCol="z", labelCol="y", maxIter=30, regParam=1e-4).fit(held.select(array_to_vector(F.array(self.raw())).alias("z"), "y"))
+        platt = LogisticRegression(featuresCol="z", labelCol="y", weightCol="weight", maxIter=30, regParam=1e-4).fit(held.select(array_to_vector(F.array(self.raw())).alias("z"), "y", "weight"))
         self.slope, self.shift = float(platt.coefficients[0]), float(platt.intercept)
 
     @classmethod
     def of_labels(cls, train: DataFrame, held: DataFrame, feature: str) -> View:
-        model = LogisticRegression(featuresCol=feature, labelCol="y", maxIter=40, regParam=PENALTY, standardization=True).fit(train)
+        model = LogisticRegression(featuresCol=feature, labelCol="y", weightCol="weight", maxIter=40, regParam=PENALTY, standardization=True).fit(train)
         return cls(model.coefficients.toArray(), float(model.intercept), held, feature)
 
     def raw(self) -> Column:
@@ -194,17 +203,18 @@ def _sums(rows: DataFrame, teachers: list[np.ndarray], edge: float, at: dict[int
                 part = b.slice(s, 512)
                 both = _matrices(part)
                 y = part.column("y").to_numpy(zero_copy_only=False).astype(float)  # null: nan
+                weight = part.column("weight").to_numpy()
                 logit = [x @ t for x, t in zip(both, teachers)]
                 for k, w in at.items():
                     own, other = logit[k], logit[1 - k]
                     sure = (np.abs(other) >= edge) & np.where(other > 0, own > -edge, own < edge)
                     use = sure | ~np.isnan(y)
-                    x, t = both[k][use], np.where(np.isnan(y), other > 0, y)[use]
+                    x, t, m = both[k][use], np.where(np.isnan(y), other > 0, y)[use], weight[use]
                     z = x @ w
                     p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-                    total[k] += np.concatenate([[(np.logaddexp(0, z) - t * z).sum(), len(t)], (p - t) @ x, x.sum(axis=0), np.einsum("ij,ij->j", x, x)])
+                    total[k] += np.concatenate([[m @ (np.logaddexp(0, z) - t * z), m.sum()], (m * (p - t)) @ x, m @ x, np.einsum("i,ij,ij->j", m, x, x)])
                     if hessian:
-                        half = (x * np.sqrt(p * (1 - p))[:, None]).astype(np.float32)
+                        half = (x * np.sqrt(m * p * (1 - p))[:, None]).astype(np.float32)
                         square[k] += half.T @ half
         for k in at:
             out = [(-1, total[k]), *((r, square[k][r, r:]) for r in range(len(at[k])) if hessian)]
@@ -288,12 +298,12 @@ def _descend(w: np.ndarray) -> Generator[np.ndarray, tuple[np.ndarray, np.ndarra
 
 def cotrain(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> tuple[View, View, float]:
     """Content view, metadata view, prior log-odds from ``_training_rows``."""
-    train, held = (_vectors(rows.where(f"part = {k}")) for k in range(2))
-    share = held.agg(F.avg("y")).first()[0]
+    train, held = (_vectors(rows.where(f"part in ({k}, 4)")) for k in range(2))
+    share = held.agg(F.sum(F.col("y") * F.col("weight")) / F.sum("weight")).first()[0]
     prior = math.log(share / (1 - share))
     edge = math.log(sure / (1 - sure))
     # a task a core: each returns one set of sums, however large the pool
-    all_rows = rows.where("part in (0, 2)").select("counts", "stats", "lang", "source", "y").coalesce(max(FIT_PARTITIONS, rows.sparkSession.sparkContext.defaultParallelism))
+    all_rows = rows.where("part in (0, 2, 4)").select("counts", "stats", "lang", "source", "y", "weight").coalesce(max(FIT_PARTITIONS, rows.sparkSession.sparkContext.defaultParallelism))
     views = [View.of_labels(train, held, "content"), View.of_labels(train, held, "meta")]
     for _ in range(rounds):
         teachers = [np.append(*v.calibrated()) for v in views]
@@ -317,9 +327,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """Per row: doc_id, p_content, p_metadata, score, kept (score >= 0.5)."""
     rows = _rows(docs, id_col, text_col, lang_col, source_col, n_chars_col)
     training = _training_rows(rows, labels, label_id, quality_col)
-    classes = {(r["part"], r["y"]) for r in training.where("y is not null").select("part", "y").distinct().collect()}
-    if not {(p, y) for p in (0, 1) for y in (0.0, 1.0)} <= classes:
-        seen = {y for _, y in classes}
+    seen = {r["y"] for r in training.where("y is not null").select("y").distinct().collect()}
+    if len(seen) < 2:
         only = F.lit(0.5 if len(seen) != 1 else seen.pop())
         return rows.select("doc_id", only.alias("p_content"), only.alias("p_metadata"), only.alias("score"), (only >= 0.5).alias("kept"))
     content, meta, prior = cotrain(training, rounds)

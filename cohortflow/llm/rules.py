@@ -9,8 +9,10 @@ covered rows leave, the next round starts.  All counts come from one histogram
 (statistic, threshold bin) per step, so the driver sees at most
 ``len(FEATURES) * (BINS + 2)`` rows, however many are labelled.
 
-Learning reads at most ``max_labelled`` labelled documents, chosen by the hash
-of their id (the documented bound); the list is applied to all documents.
+Learning reads at most about ``max_labelled`` labelled documents that are in the
+table, chosen by the hash of their id (the documented bound); a rare class keeps
+up to half of the bound, and rows count by the inverse of their class's share, so
+precision is that of all labelled documents.  The list is applied to all.
 
 Nulls: null text counts as an empty text, a null id is kept and matches no
 label, null labels are left out.  Empty text has zero words and fails the base
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import SPACE, col, fresh, hash_sample, materialize, release, text_or_empty
+from cohortflow.llm.common import SPACE, class_sample, col, fresh, materialize, present_labels, release, text_or_empty
 
 MAX_LABELLED = 20_000
 MAX_RULES = 8
@@ -70,7 +72,11 @@ def _repeat_words(words: Column) -> Column:
 
 
 def with_counts(df: DataFrame, text_col: str, names: dict[str, str]) -> DataFrame:
-    """``df`` plus the count columns, named by ``names`` (count -> column)."""
+    """``df`` plus the count columns, named by ``names`` (count -> column).
+
+    The counts leave a generator as one struct: no filter or projection above is
+    pushed below it, where each of its references would count (and split the
+    text) again, inside the per-word functions too."""
     text, words, lines = fresh([*df.columns, *names.values()], "text", "words", "lines")
     out = df.withColumn(text, text_or_empty(text_col))
     out = out.withColumns({
@@ -86,7 +92,8 @@ def with_counts(df: DataFrame, text_col: str, names: dict[str, str]) -> DataFram
         "n_lines": F.size(lines),
         "n_upper": F.regexp_count(F.col(text), F.lit("[A-Z]")),
     }
-    return out.withColumns({names[k]: c[k].cast("long") for k in COUNTS}).drop(text, words, lines)
+    counts = F.struct(*(c[k].cast("long").alias(names[k]) for k in COUNTS))
+    return out.select(*map(col, df.columns), F.inline(F.array(counts)))
 
 
 @dataclass(frozen=True)
@@ -117,12 +124,12 @@ def labelled_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """Counts of the labelled documents learned from: (counts..., low, prune)."""
     known = labels.select(col(label_id).cast("long").alias("i"), col(quality_col).cast("int").alias("q")).where("i is not null and q in (0, 1)")
     known = known.groupBy("i").agg((F.min("q") == 0).alias("low"))
-    known = materialize(known)
-    # about max_labelled rows of 9 bytes at most: a proven bound for the broadcast
-    chosen = hash_sample(known, [F.col("i")], max_labelled, "rules")
+    known = present_labels(docs.select(col(id_col).cast("long").alias("i")), known)
+    # about max_labelled rows of 17 bytes at most: a proven bound for the broadcast
+    chosen = class_sample(known, "low", [F.col("i")], max_labelled, "rules")
     text = docs.select(col(id_col).cast("long").alias("i"), col(text_col).alias("t")).join(F.broadcast(chosen), "i")
     out = with_counts(text, "t", {k: k for k in COUNTS})
-    return out.select(*COUNTS, "low", (F.pmod(F.xxhash64("i", F.lit("prune")), F.lit(3)) == 0).alias("prune"))
+    return out.select(*COUNTS, "low", (F.pmod(F.xxhash64("i", F.lit("prune")), F.lit(3)) == 0).alias("prune"), "weight")
 
 
 def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
@@ -133,20 +140,20 @@ def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
     return {n: [(a + b) / 2 for a, b in zip(v, v[1:])] for n, v in seen.items()}
 
 
-def _histogram(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, list[list[int]]]:
-    """Per feature, [low, good] counts of rows by the number of cuts below."""
+def _histogram(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, list[list[float]]]:
+    """Per feature, [low, good] weights of rows by the number of cuts below."""
     def below(n: str) -> Column:
         return F.size(F.filter(F.array(*map(F.lit, cuts[n])), lambda t: t < F.expr(FEATURES[n])))
 
     bins = F.explode(F.array(*(F.struct(F.lit(n).alias("f"), below(n).alias("b")) for n in FEATURES if cuts[n]))).alias("x")
-    got = rows.select(bins, "low").groupBy("x.f", "x.b", "low").count().collect()
-    out = {n: [[0, 0] for _ in range(len(cuts[n]) + 1)] for n in FEATURES}
+    got = rows.select(bins, "low", "weight").groupBy("x.f", "x.b", "low").agg(F.sum("weight").alias("n")).collect()
+    out = {n: [[0.0, 0.0] for _ in range(len(cuts[n]) + 1)] for n in FEATURES}
     for r in got:
-        out[r["f"]][r["b"]][0 if r["low"] else 1] += r["count"]
+        out[r["f"]][r["b"]][0 if r["low"] else 1] += r["n"]
     return out
 
 
-def _best(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[float, Condition | None, int, int]:
+def _best(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[float, Condition | None, float, float]:
     """The condition of highest FOIL gain, ties by statistic and threshold."""
     best, hist = (0.0, None, 0, 0), _histogram(rows, cuts)
     for n, h in hist.items():
@@ -157,14 +164,14 @@ def _best(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[float, Conditi
         for k, t in enumerate(cuts[n]):  # bins 0..k have x <= t
             p, m = p + h[k][0], m + h[k][1]
             for above, (a, b) in ((False, (p, m)), (True, (p0 - p, n0 - m))):
-                if a and (gain := a * (math.log2(a / (a + b)) - base)) > best[0] + 1e-9:
+                if a > 1e-9 and (gain := a * (math.log2(a / (a + b)) - base)) > best[0] + 1e-9:
                     best = (gain, Condition(n, above, t), a, b)
     return best
 
 
 def learn(rows: DataFrame, max_rules: int = MAX_RULES, max_conditions: int = MAX_CONDITIONS, min_precision: float = MIN_PRECISION, min_cover: int = MIN_COVER) -> list[Rule]:
     """Sequential covering over ``labelled_counts`` rows; rules reject."""
-    rows = materialize(rows)
+    rows = materialize(rows if "weight" in rows.columns else rows.withColumn("weight", F.lit(1.0)))
     cuts, rules = _thresholds(rows), []
     left = rows
     while len(rules) < max_rules and any(cuts.values()):
@@ -174,14 +181,22 @@ def learn(rows: DataFrame, max_rules: int = MAX_RULES, max_conditions: int = MAX
             if c is None:
                 break
             rule, grow = (*rule, c), grow.where(c.expr())
-            if not n:
+            if n <= 1e-9:
                 break
         if not rule:
             break
         prefixes = [rule[:k] for k in range(1, len(rule) + 1)]
-        got = left.where("prune").agg(*(F.count_if(_holds(x) & (F.col("low") if low else ~F.col("low"))).alias(f"c{i}{low:d}") for i, x in enumerate(prefixes) for low in (True, False))).first()
-        held = [(p, n) for i in range(len(prefixes)) for p, n in [(got[f"c{i}1"], got[f"c{i}0"])]]
-        fit = [((p - n) / (p + n), -i) for i, (p, n) in enumerate(held) if p >= min_cover and p >= min_precision * (p + n)]
+        got = left.where("prune").agg(*(
+            f.alias(f"{name}{i}")
+            for i, x in enumerate(prefixes)
+            for name, f in (
+                ("p", F.sum(F.when(_holds(x) & F.col("low"), F.col("weight")))),
+                ("n", F.sum(F.when(_holds(x) & ~F.col("low"), F.col("weight")))),
+                ("rows", F.count_if(_holds(x) & F.col("low"))),
+            )
+        )).first()
+        held = [(got[f"p{i}"] or 0.0, got[f"n{i}"] or 0.0, got[f"rows{i}"]) for i in range(len(prefixes))]
+        fit = [((p - n) / (p + n), -i) for i, (p, n, r) in enumerate(held) if r >= min_cover and p >= min_precision * (p + n)]
         if not fit:
             break
         i = -max(fit)[1]

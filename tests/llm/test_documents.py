@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -170,6 +171,33 @@ def test_quality_counts_and_rules(docs, corpus, labels):
     assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(r.doc_id for r in verdict.where("kept").collect())
 
 
+def test_a_filter_on_kept_does_not_count_again(docs):
+    """The optimizer must not push the verdict, and the splitting of the text
+    with it, into the per-word functions of the counts."""
+    rule = (rules.Condition("symbols_per_word", True, 0.3), rules.Condition("repeated_share", True, 0.2))
+    plain = rules.score_documents(docs, [rule])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(plain).count("split(") == plan(plain.where("kept")).count("split(") == 2
+    assert plan(rules.keep_good(docs, [rule])).count("split(") == 2
+
+
+def test_learned_rules_are_the_verdict(spark):
+    """Rules learned from labels (with labels of absent documents and a class
+    that is rare) reject exactly what they say, over the counts of each text."""
+    rng = random.Random(9)
+    prose = lambda: [f"w{rng.randrange(400)}x{rng.randrange(9)}" for _ in range(80)]
+    texts = [" ".join(prose()) if i % 4 else " #$ ".join(prose()) for i in range(240)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([*((i, int(i % 4 > 0)) for i in range(240)), *((9_000 + i, i % 2) for i in range(400))], "doc_id long, quality int")
+    learned = rules.learn(rules.labelled_counts(docs, labels, max_labelled=200))
+    assert learned
+    env = lambda c: dict(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), c), n_lines=1, n_upper=0, greatest=max)
+    holds = lambda r, c: all((eval(rules.FEATURES[x.feature], {}, env(c)) > x.threshold) == x.above for x in r)
+    want = {i: not (c[0] < 50 or 100 * c[4] > 50 * c[0] or any(holds(r, c) for r in learned)) for i, c in enumerate(map(plain_counts, texts))}
+    assert {r.doc_id: r.kept for r in rules.score_documents(docs, learned).collect()} == want
+    assert sum(want.values()) == 180 and {r.doc_id for r in rules.score_documents(docs, learned).where("kept").collect()} == {i for i, k in want.items() if k}
+
+
 def test_rules_learn_what_separates(spark):
     """Held-out accuracy of a list learned from separable statistics."""
     rng = np.random.default_rng(0)

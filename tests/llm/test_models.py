@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from cohortflow.llm import bpe, cotrain, embed, html_crf
 from cohortflow.llm.html_dom import leaf_blocks
 
@@ -186,6 +187,31 @@ def test_classifier_edges(spark, docs, no_docs):
     assert len(cotrain.content_view(b"")) == len(cotrain.content_view("é".encode() * 2_000_000))
 
 
+@pytest.mark.parametrize("low", [1, 2])
+def test_a_rare_class_is_learned_from(spark, low):
+    """One or two low labels among many good ones, and labels of absent
+    documents: the scores still tell the classes apart."""
+    df, _ = labelled_table(spark)
+    known = [(4 * k, 0) for k in range(low)] + [(i, 1) for i in range(200) if i % 4] + [(10_000 + i, i % 2) for i in range(300)]
+    got = cotrain.score_documents(df, spark.createDataFrame(known, "doc_id long, quality int"), rounds=0).where("doc_id is not null").collect()
+    assert len({r.score for r in got}) > 10
+    junk, good = ([r.score for r in got if (r.doc_id % 4 == 0) is low] for low in (True, False))
+    assert sum(a < b for a in junk for b in good) > 0.95 * len(junk) * len(good)
+
+
+def test_class_sample_keeps_the_rare_class_and_weighs_it(spark):
+    from cohortflow.llm.common import class_sample, present_labels
+
+    known = spark.range(4000).selectExpr("id i", "id % 200 = 0 low")
+    got = class_sample(known, "low", [F.col("i")], 400, "t").groupBy("low").agg(F.count("*"), F.sum("weight")).collect()
+    n, weight = {r[0]: r[1] for r in got}, {r[0]: r[2] for r in got}
+    assert n[True] == 20 and 300 < n[False] < 420 and abs(weight[True] / weight[False] - 20 / 3980) < 0.001
+    few = class_sample(known.where("i % 100 = 0"), "low", [F.col("i")], 400, "t")
+    assert few.count() == 40 and few.where("weight <> 1").count() == 0
+    ids = spark.createDataFrame([(200,), (200,), (201,), (None,), (-1,)], "i long")
+    assert sorted(map(tuple, present_labels(ids, known).collect())) == [(200, True), (201, False)]
+
+
 def labelled_table(spark, n=400, labelled=240):
     """Documents of which every fourth is junk, labels of the first ones, two
     null ids; junk of source 'rare' is never labelled."""
