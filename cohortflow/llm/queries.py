@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, packing, rules, simhash, suffix
+from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, lm, packing, rules, simhash, suffix
 from cohortflow.llm.common import read_table
 
 
@@ -53,6 +53,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score_documents(docs, rules.learn_from(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_held_out(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +70,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_line_dedup,
         op10_quality_rules,
+        op11_lm_scoring,
     )
 }
 
