@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, lm, packing, rules, simhash, suffix
+from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, lm, packing, rules, simhash, suffix, whiten
 from cohortflow.llm.common import read_table
 
 
@@ -57,6 +57,10 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_held_out(read_table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,6 +75,7 @@ QUERIES = {
         op9_line_dedup,
         op10_quality_rules,
         op11_lm_scoring,
+        op12_embedding_whitening,
     )
 }
 
