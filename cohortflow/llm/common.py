@@ -39,11 +39,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (cuts lineage and
-    survives lost executors). The copy goes with ``release``, or at exit."""
+def materialize(df: DataFrame, *folders: str) -> DataFrame:
+    """Write ``df`` to the shared folder, in folders by these columns, and read
+    it back (cuts lineage and survives lost executors). The copy goes with
+    ``release``, or at exit."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     atexit.register(_forget, df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._llm_path = path

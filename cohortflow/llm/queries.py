@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import bpe, cotrain, debruijn, embed, html_crf, lines, lm, packing, rules, simhash, suffix, whiten
+from cohortflow.llm import bpe, cotrain, debruijn, divergence, embed, html_crf, lines, lm, packing, rules, simhash, suffix, whiten
 from cohortflow.llm.common import read_table
 
 
@@ -61,6 +61,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +80,7 @@ QUERIES = {
         op10_quality_rules,
         op11_lm_scoring,
         op12_embedding_whitening,
+        op13_source_divergence,
     )
 }
 
