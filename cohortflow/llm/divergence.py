@@ -33,12 +33,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import materialize, release, runs, text_or_empty, whole_runs
+from cohortflow.llm.common import free_shuffles, materialize, release, runs, text_or_empty, whole_runs
 
 MIN_DF = 3
 TOP = 200
@@ -55,33 +54,35 @@ NUL = b"\0"  # parts a term from its language; no term holds it
 
 
 def _cut(units: dict[str, int], rest: int, parts: dict[int, int]):
-    """(unit, part, lang, source, terms) rows of (lang, source, text)."""
+    """(unit, part, lang, source, terms, kinds) rows of (lang, source, text):
+    terms, and the different ones among them, joined by blanks."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 512):
                 b = batch.slice(s, 512)
-                unit, part, joined, at = [], [], [], []
+                unit, part, at, terms, kinds = [], [], [], [], []
                 for k, (lang, text) in enumerate(zip(b.column("lang").to_pylist(), b.column("text").to_pylist())):
                     u = units.get(lang, rest)
                     words = text.lower().translate(TERM_BYTES).split()
-                    mark = lang.encode().hex().encode() + NUL if u == rest else b""
-                    if parts[u] == 1:
+                    if (n := parts.get(u, 1)) == 1:
                         lists = [words]
                     else:
-                        lists = [[] for _ in range(parts[u])]
+                        lists = [[] for _ in range(n)]
                         for w in words:
-                            lists[zlib.crc32(w) % parts[u]].append(w)
+                            lists[zlib.crc32(w) % n].append(w)
+                    mark = lang.encode().hex().encode() + NUL if u == rest else b""
                     for p, x in enumerate(lists):
-                        unit.append(u)
-                        part.append(p)
-                        at.append(k)
-                        joined.append(mark + (b" " + mark).join(x) if x else b"")
+                        if x:
+                            unit.append(u)
+                            part.append(p)
+                            at.append(k)
+                            terms.append(mark + (b" " + mark).join(x))
+                            kinds.append(mark + (b" " + mark).join(set(x)))
                 at = pa.array(at, pa.int64())
-                terms = pc.split_pattern(pa.array(joined, pa.binary()).cast(pa.string()), " ")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unit, pa.int32()), pa.array(part, pa.int32()), b.column("lang").take(at), b.column("source").take(at), terms],
-                    names=["unit", "part", "lang", "source", "terms"],
+                    [pa.array(unit, pa.int32()), pa.array(part, pa.int32()), b.column("lang").take(at), b.column("source").take(at), *(pa.array(x, pa.binary()).cast(pa.string()) for x in (terms, kinds))],
+                    names=["unit", "part", "lang", "source", "terms", "kinds"],
                 )
 
     return task
@@ -251,18 +252,21 @@ def _top_terms(size: int, top: int):
     return task
 
 
-def _units(rows: DataFrame) -> tuple[dict[str, int], int, dict[int, int]]:
+def _units(groups: DataFrame) -> tuple[dict[str, int], int, dict[int, int]]:
     """Units of the large languages, that of the rest, parts of each unit."""
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"))
+    sizes = groups.groupBy("lang").agg(F.sum("bytes").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     large = sizes.where(F.col("n") * UNITS >= total).orderBy("lang").collect() if total else []  # at most UNITS rows
     units = {r["lang"]: k for k, r in enumerate(large)}
     rest = total - sum(r["n"] for r in large)
-    return units, len(units), {**{k: 1 + r["n"] // UNIT_BYTES for k, r in enumerate(large)}, len(units): 1 + rest // UNIT_BYTES}
+    parts = {k: 1 + r["n"] // UNIT_BYTES for k, r in enumerate(large)}
+    return units, len(units), parts | ({len(units): 1 + rest // UNIT_BYTES} if rest else {})
 
 
 def _fit(terms: DataFrame, min_df: int) -> tuple[CountVectorizerModel, list[str], np.ndarray]:
-    """The unit's model, its words in UTF-8 order, and each one's place there."""
+    """The unit's model, its words in UTF-8 order, and each one's place there.
+    Document frequencies come from the different terms of each document."""
+    terms = terms.select(F.split("kinds", " ").alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=VOCABULARY).fit(terms)
     words = model.vocabulary
     order = sorted(range(len(words)), key=words.__getitem__)  # code points sort as UTF-8 does
@@ -275,12 +279,12 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     """(lang, source, part, item, value, rank) rows of parts 'pair' and 'term'."""
     spark = docs.sparkSession
     rows = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"), text_or_empty(text_col).alias("text"))
-    groups = materialize(rows.select("lang", "source").distinct())
+    groups = materialize(rows.groupBy("lang", "source").agg(F.sum(F.octet_length("text")).alias("bytes")))
     size = max(16, BLOCK_CELLS // (groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 1))
-    units, rest, parts = _units(rows)
+    units, rest, parts = _units(groups)
     cut = rows.select("lang", "source", F.col("text").cast("binary").alias("text"))
-    cut = cut.mapInArrow(_cut(units, rest, parts), "unit int, part int, lang string, source string, terms array<string>")
-    cut = materialize(cut.where(F.get("terms", F.lit(0)) != ""), "unit", "part")
+    cut = cut.mapInArrow(_cut(units, rest, parts), "unit int, part int, lang string, source string, terms string, kinds string")
+    cut = materialize(cut, "unit", "part")
     words, sums = [], []
     for unit, part in ((u, p) for u in sorted(parts) for p in range(parts[u])):
         mine = cut.where((F.col("unit") == unit) & (F.col("part") == part))
@@ -289,15 +293,17 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
             continue
         found = spark.createDataFrame(pa.table({"term": np.arange(len(vocabulary)), "word": vocabulary}))
         words.append(materialize(found.select(F.lit(unit).alias("unit"), F.lit(part).alias("part"), "term", *_language(unit, units))))
-        vectors = model.transform(mine).select("lang", "source", "vector")
+        vectors = model.transform(mine.select("lang", "source", F.split("terms", " ").alias("terms"))).select("lang", "source", "vector")
         sums.append(materialize(vectors.mapInArrow(_sums(unit, part, size, place), SUMS)))
+        del model, vocabulary, place, found, vectors
+        free_shuffles(cut)  # and the model's broadcast
     words = _union(words) if words else spark.createDataFrame([], "unit int, part int, term long, lang string, item string")
     sums = _union(sums) if sums else spark.createDataFrame([], SUMS)
 
     # N + V of each group and language
     kept = words.groupBy("lang").agg(F.count("*").alias("v"))
     total = sums.groupBy("lang", "source").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("m"))
-    groups = groups.join(total, ["lang", "source"], "left").join(kept, "lang", "left").fillna(0, ["m", "v"])
+    groups = groups.drop("bytes").join(total, ["lang", "source"], "left").join(kept, "lang", "left").fillna(0, ["m", "v"])
     of_lang = groups.groupBy("lang").agg((F.sum("m") + F.max("v")).alias("all_n"))
     groups = materialize(groups.join(of_lang, "lang").select("lang", "source", "v", (F.col("m") + F.col("v")).alias("n"), "all_n"))
     keys = ["lang", "unit", "part", "block"]
