@@ -42,7 +42,7 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -114,13 +114,13 @@ class Store:
         if fs.get_file_info(path).type != pyarrow.fs.FileType.File:
             return None
         if isinstance(fs, pyarrow.fs.LocalFileSystem):
-            raw = np.memmap(path, np.uint8, "r")
+            raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
         else:
             with tempfile.TemporaryFile() as copy, fs.open_input_stream(path) as f:
                 while piece := f.read(1 << 22):
                     copy.write(piece)
                 copy.flush()
-                raw = np.memmap(copy, np.uint8, "r")
+                raw = np.memmap(copy, np.uint8, "r").view(np.ndarray)
         n = 8 + int.from_bytes(raw[:8].tobytes(), "little")
         out = {}
         for k, (kind, shape, at) in json.loads(raw[8:n].tobytes()).items():
@@ -143,8 +143,10 @@ def _hash(*cols: np.ndarray) -> np.ndarray:
 
 
 def _pack(cols: list[np.ndarray], kind: type) -> bytes:
-    """Equal-length columns as byte planes, compressed."""
+    """Equal-length columns as byte planes, compressed; the first is sorted, and
+    packed as differences."""
     size = np.dtype(kind).itemsize
+    cols = [np.diff(cols[0], prepend=cols[0].dtype.type(0)), *cols[1:]]
     raw = b"".join(np.ascontiguousarray(c.astype(kind).view(np.uint8).reshape(-1, size).T).tobytes() for c in cols)
     return pa.compress(raw, "zstd", asbytes=True)
 
@@ -152,19 +154,26 @@ def _pack(cols: list[np.ndarray], kind: type) -> bytes:
 def _unpack(blob: bytes, n: int, k: int, kind: type) -> list[np.ndarray]:
     size = np.dtype(kind).itemsize
     planes = np.frombuffer(pa.decompress(blob, n * k * size, "zstd"), np.uint8).reshape(k, size, n)
-    return [np.ascontiguousarray(p.T).view(kind).ravel() for p in planes]
+    first, *rest = (np.ascontiguousarray(p.T).view(kind).ravel() for p in planes)
+    return [np.cumsum(first, dtype=kind), *rest]
 
 
 def _table(name: str, h: np.ndarray, values: np.ndarray) -> dict[str, np.ndarray]:
     """Sorted hash array: bucket starts, sorted 32-bit rests, codes, values."""
-    bits = max(1, (len(h) // 4).bit_length())
+    bits = max(1, (len(h) // 8).bit_length())
     bucket, rest = h >> np.uint64(64 - bits), h & np.uint64(0xFFFFFFFF)
     order = np.argsort((bucket << np.uint64(32)) | rest)
-    seen, code = np.unique(_hash(*values.T), return_index=True, return_inverse=True)[1:]
+    if values.shape[1] == 1 and len(values) and values.max() < 1 << 20:
+        kinds = np.flatnonzero(np.bincount(values[:, 0]))
+        code = np.searchsorted(kinds, values[:, 0])
+        kinds = kinds[:, None]
+    else:
+        seen, code = np.unique(_hash(*values.T), return_index=True, return_inverse=True)[1:]
+        kinds = values[seen]
     starts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1, dtype=np.uint64))
     return {
         f"{name}.starts": starts.astype(np.uint32), f"{name}.rest": rest[order].astype(np.uint32),
-        f"{name}.code": code[order].astype(np.min_scalar_type(max(0, len(seen) - 1))), f"{name}.values": values[seen],
+        f"{name}.code": code[order].astype(np.min_scalar_type(max(0, len(kinds) - 1))), f"{name}.values": kinds.astype(np.int64),
     }
 
 
@@ -176,15 +185,18 @@ def _find(file: dict[str, np.ndarray], name: str, h: np.ndarray) -> np.ndarray:
         return out
     bucket = (h >> np.uint64(64 - ((len(starts) - 1).bit_length() - 1))).astype(np.int64)
     want = h.astype(np.uint32)
-    lo, hi = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
-    stop = hi.copy()
-    while (lo < hi).any():  # the first rest that is not below
-        mid = (lo + hi) >> 1
-        below = (lo < hi) & (rest[np.minimum(mid, len(rest) - 1)] < want)
-        lo, hi = np.where(below, mid + 1, lo), np.where(below | (lo >= hi), hi, mid)
-    hit = lo < stop
-    hit[hit] = rest[lo[hit]] == want[hit]
-    out[hit] = values[code[lo[hit]]]
+    at, stop = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
+    middle = (at + stop) >> 1  # half of a bucket, then one place of each open bucket a round
+    at = np.where((middle < stop) & (rest[np.minimum(middle, len(rest) - 1)] <= want), middle, at)
+    left = np.flatnonzero(at < stop)
+    at, stop, want = at[left], stop[left], want[left]
+    while len(left):
+        got = rest[at]
+        hit = got == want
+        out[left[hit]] = values[code[at[hit]]]
+        at += 1
+        on = (got < want) & (at < stop)
+        left, at, stop, want = left[on], at[on], stop[on], want[on]
     return out
 
 
@@ -248,7 +260,7 @@ def blocks(texts: Iterable[bytes], sizes: Sizes) -> Iterator[Block]:
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
 
 
 # ---- the model ---------------------------------------------------------------
@@ -372,25 +384,35 @@ def _count_triples(model: Model):
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(_texts(batches), model.sizes):
             ids, stats = model.lookup(b.words, False)
-            wide = np.uint64(21)
-            packed = b.seq.astype(np.uint64)
-            packed = (packed[b.at - 1] << (wide + wide)) | (packed[b.at - 2] << wide) | packed[b.at]
-            triples, n = np.unique(packed, return_counts=True)
-            low = np.uint64((1 << 21) - 1)
-            lv, lu, lw = ((triples >> s) & low for s in (wide + wide, wide, np.uint64(0)))
-            u, v, w = ids[lu.astype(np.int64)], ids[lv.astype(np.int64)], ids[lw.astype(np.int64)]
-            shard = model.shard_of(u, v, w, model.pieces(stats[lv.astype(np.int64), 0]))
-            order = np.lexsort((u, v, shard))
-            u, v, w, n, shard = (x[order] for x in (u, v, w, n, shard))
+            (v, u, w), _, n = distinct_triples(b, ids)
+            shard = model.shard_of(ids[u], ids[v], ids[w], model.pieces(stats[v, 0]))
+            order = np.argsort(shard.astype(np.min_scalar_type(model.shards)), kind="stable")
+            shard = shard[order]
             bounds = runs(shard)
             yield _rows(
                 shard=shard[bounds[:-1]], n=np.diff(bounds),
-                blob=[_pack([x[a:z] for x in (v, u, w, n)], np.uint32) for a, z in zip(bounds[:-1], bounds[1:])],
+                blob=[_pack([*(ids[x[order[a:z]]] for x in (v, u, w)), n[order[a:z]]], np.uint32) for a, z in zip(bounds[:-1], bounds[1:])],
             )
 
     return task
 
 
+def distinct_triples(b: Block, ids: np.ndarray, where: bool = False) -> tuple[tuple[np.ndarray, ...], np.ndarray | None, np.ndarray]:
+    """A block's different (v, u, w), as local numbers sorted by their ids;
+    ``where``: of each token, the place of its triple; times each occurs."""
+    by_id = np.argsort(ids, kind="stable")
+    rank = np.empty(len(ids), np.uint64)
+    rank[by_id] = np.arange(len(ids), dtype=np.uint64)
+    seq, wide = rank[b.seq], np.uint64(21)
+    packed = (seq[b.at - 1] << (wide + wide)) | (seq[b.at - 2] << wide) | seq[b.at]
+    if where:
+        triples, place, n = np.unique(packed, return_inverse=True, return_counts=True)
+    else:
+        (triples, n), place = np.unique(packed, return_counts=True), None
+    low = np.uint64((1 << 21) - 1)
+    return tuple(by_id[((triples >> x) & low).astype(np.int64)] for x in (wide + wide, wide, np.uint64(0))), place, n
+
+
 def _of_counts(n: np.ndarray) -> list[int]:
     return [int((n == k).sum()) for k in (1, 2, 3, 4)]
 
@@ -431,28 +453,23 @@ def _merge_shard(model: Model):
             parts = [_unpack(b.as_py(), n.as_py(), 4, np.uint32) for b, n in zip(t.column("blob"), t.column("n"))]
             v, u, w, n = (np.concatenate(x).astype(np.int64) for x in zip(*parts))
             del parts
-            context, number = np.unique((v << 32) | u, return_inverse=True)
-            order = np.argsort((number << 32) | w)
-            number, w, n = number[order], w[order], n[order]
-            first = runs(number, w)
-            number, w, n = number[first[:-1]], w[first[:-1]], np.add.reduceat(n, first[:-1])
-            v, u = context[number] >> 32, context[number] & 0xFFFFFFFF
+            cut = runs(v)  # each part is sorted by v
+            vs, number = np.unique(v[cut[:-1]], return_inverse=True)
+            number, u, w, n = sum_triples(np.repeat(number, np.diff(cut)), u, w, n, (model.start + 1).bit_length())
+            v = vs[number]
 
             # triples and contexts; those before a text's first token are pairs
             real = v != model.start
-            bounds = runs(number[real])
+            bounds = runs(number[real], u[real])
             c = n[real]
             at = np.flatnonzero(real)[bounds[:-1]] if len(c) else np.empty(0, np.int64)
             out = _table("triple", _hash(u[real], v[real], w[real]), c[:, None])
             out |= _table("context", _hash(u[at], v[at]), _per_run(c, bounds))
 
-            # pairs: different left neighbours, or times at the start
-            left = np.where(real, 1, n)
-            order = np.argsort((np.searchsorted(vs := np.unique(v), v) << 32) | w, kind="stable")
-            v, w, left = v[order], w[order], left[order]
-            first = runs(v, w)
-            v, w, left = v[first[:-1]], w[first[:-1]], np.add.reduceat(left, first[:-1])
-            hot = np.isin(v, vs[_is_hot(model, vs)])
+            # pairs: different left neighbours, or times at the start (the last v)
+            pairs, left = np.unique((number[real] << 32) | w[real], return_counts=True)
+            number, w, left = (np.concatenate(x) for x in ((pairs >> 32, number[~real]), (pairs & 0xFFFFFFFF, w[~real]), (left, n[~real])))
+            v, hot = vs[number], _is_hot(model, vs)[number]
             cold = ~hot
             out |= _table("pair", _hash(v[cold], w[cold]), left[cold][:, None])
             model.store.write(f"shard-{k}", out)
@@ -472,6 +489,19 @@ def _merge_shard(model: Model):
     return task
 
 
+def sum_triples(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
+    """Sorted different (v, u, w) with their summed n; u and w have ``bits``
+    bits.  The n of a shard add up to about ``SHARD``, so rows can be repeated."""
+    if 2 * bits + int(v.max()).bit_length() <= 63:
+        keys, n = np.unique(np.repeat((v << 2 * bits) | (u << bits) | w, n), return_counts=True)
+        low = (1 << bits) - 1
+        return keys >> 2 * bits, (keys >> bits) & low, keys & low, n
+    order = np.lexsort((w, u, v))
+    v, u, w, n = v[order], u[order], w[order], n[order]
+    first = runs(v, u, w)
+    return v[first[:-1]], u[first[:-1]], w[first[:-1]], np.add.reduceat(n, first[:-1])
+
+
 def _is_hot(model: Model, ids: np.ndarray) -> np.ndarray:
     """Which ids are dealt over several shards, by their counts."""
     counts = np.zeros(len(ids), np.int64)
@@ -564,6 +594,7 @@ def train(texts: DataFrame, sizes: Sizes = Sizes()) -> Model | None:
     end = xxhash.xxh64_intdigest(END)
     n_docs = words.where(F.col("h") == F.lit(end - (1 << 64) if end >> 63 else end)).first()["n"]
     release(words)
+    free_shuffles(texts)
     shards = -(-n_tokens // sizes.shard)
     model = Model(store, sizes, np.concatenate([[0], np.cumsum(sized)]), bits, n_tokens, n_docs, shards, shards)
     triples = texts.select("text").mapInArrow(_count_triples(model), "shard long, n long, blob binary")
@@ -597,14 +628,14 @@ def _mix_in(n: np.ndarray, stats: np.ndarray, d: tuple[float, ...], lower: np.nd
 def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
     """Per token of a block: probability in its context; training count."""
     ids, stats = model.lookup(b.words, True)
-    lu, lv, lw = b.seq[b.at - 2], b.seq[b.at - 1], b.seq[b.at]
+    (lv, lu, lw), place, _ = distinct_triples(b, ids, where=True)
     u, v, w = ids[lu], ids[lv], ids[lw]
     n = len(w)
     pair, triple, context = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, 4), np.int64)
     pieces = model.pieces(stats[:, 0])[lv]
     seen = np.flatnonzero(v >= 0)
     shard = model.shard_of(u[seen], v[seen], w[seen], pieces[seen])
-    order = np.argsort(shard, kind="stable")
+    order = np.argsort(shard.astype(np.min_scalar_type(model.shards)), kind="stable")
     seen, shard = seen[order], shard[order]
     bounds = runs(shard)
     for a, z in zip(bounds[:-1], bounds[1:]):
@@ -614,7 +645,9 @@ def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
         look = mine[(w[mine] >= 0) & (pieces[mine] == 1)]
         pair[look] = _find(f, "pair", _hash(v[look], w[look]))[:, 0]
         look = mine[(u[mine] >= 0) & (v[mine] != model.start)]
-        context[look] = _find(f, "context", _hash(u[look], v[look]))
+        first = runs(v[look], u[look])  # neighbours share their context
+        found = _find(f, "context", _hash(u[look[first[:-1]]], v[look[first[:-1]]]))
+        context[look] = np.repeat(found, np.diff(first), axis=0)
         look = look[(w[look] >= 0) & (context[look, 0] > 0)]
         triple[look] = _find(f, "triple", _hash(u[look], v[look], w[look]))[:, 0]
     hot = np.flatnonzero((v >= 0) & (w >= 0) & (pieces > 1))
@@ -629,7 +662,7 @@ def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
     left = np.where(w >= 0, stats[lw, 1], 0)
     p = _less(left, one) / model.pairs + model.unseen / (model.start + 1)
     p = _mix_in(pair, np.where(v[:, None] >= 0, stats[lv, 2:], 0), two, p)
-    return _mix_in(triple, context, three, p), np.where(w >= 0, stats[lw, 0], 0)
+    return _mix_in(triple, context, three, p)[place], np.where(w >= 0, stats[lw, 0], 0)[place]
 
 
 def held_out(id_col: str) -> Column:
@@ -647,7 +680,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total = np.zeros((batch.num_rows, 4))  # tokens, known, base, score
-            for b in blocks(_texts([batch]), sizes):
+            for b in blocks(_texts([batch]), replace(sizes, block=sizes.block // 2)):
                 if model:
                     p, c = probabilities(model, b)
                 else:

@@ -138,6 +138,17 @@ def test_hash_tables_find_what_they_hold():
         assert not lm._find(table, "t", rng.integers(0, 2**64, 100, dtype=np.uint64)).any()
 
 
+def test_triples_are_summed_alike_for_any_width_of_ids():
+    rng = np.random.default_rng(2)
+    v, u, w, n = (rng.integers(0, k, 3000) for k in (4, 9, 40, 5))
+    want = collections.Counter()
+    for *key, x in zip(v.tolist(), u.tolist(), w.tolist(), (n + 1).tolist()):
+        want[tuple(key)] += x
+    for bits in (6, 32):
+        got = lm.sum_triples(v, u, w, n + 1, bits)
+        assert [(*k, x) for k, x in sorted(want.items())] == list(zip(*(x.tolist() for x in got)))
+
+
 def test_files_survive_a_second_writer(tmp_path):
     store = lm.Store(f"file://{tmp_path}")
     for _ in range(2):
