@@ -26,6 +26,12 @@ def _cutoff_array(cutoffs: Mapping[str, int]) -> Column:
     )
 
 
+def day_of(cutoffs: Mapping[str, int] = CUTOFFS) -> Column:
+    """The day of column ``cutoff``, to order results in time (by name,
+    week10 would come before week5)."""
+    return F.coalesce(*(F.when(F.col("cutoff") == name, F.lit(int(day))) for name, day in cutoffs.items()))
+
+
 def at_or_before(df: DataFrame, time_col: str, cutoffs: Mapping[str, int] = CUTOFFS) -> DataFrame:
     """Rows dated on or before the latest cutoff (pushed to the scan).
     A NULL time is never "on or before" (pandas: NaN <= d is False)."""

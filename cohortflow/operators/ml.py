@@ -12,19 +12,18 @@
   per-partition totals, so no task ever holds a whole fold.
 * k-nearest neighbours is exact: each query is placed by rank on the sorted
   points of every integer value of the second feature and meets 2k of them there.
-* Tree, forest and RBF-approximating SVC fits use Spark ML on the
-  materialised matrix; they are compared by metrics, not predictions.
+* Trees and forests are in ``trees``, the kernel classifier in ``svc``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators.cutoffs import day_of
 from cohortflow.schemas import ENTITY_KEY
 from cohortflow.session import materialize
 
@@ -284,7 +283,7 @@ def metric_summary(metrics: DataFrame, n_rows: DataFrame | None = None, features
     )
     if n_rows is not None:
         out = out.join(n_rows, "cutoff")
-    out = out.orderBy(*(["cutoff_day"] if "cutoff_day" in out.columns else ["cutoff"]), "model")  # O4
+    out = out.orderBy(day_of(), "cutoff", "model")
     return out.withColumns(
         {
             "strategy": F.lit("mean"),
@@ -293,158 +292,3 @@ def metric_summary(metrics: DataFrame, n_rows: DataFrame | None = None, features
             "features": F.lit(",".join(features)),
         }
     )
-
-
-# ---------------------------------------------------------------- Spark ML fits
-
-
-@dataclass(frozen=True)
-class ModelParams:
-    """Settings of the Spark ML fits.
-
-    The reference's trees have no depth limit; 30 is Spark's ceiling. The RBF
-    SVC is approximated by ``rff_components`` random Fourier features (gamma 0.5
-    is "scale" on two standardised features) and a linear SVM."""
-
-    max_depth: int = 30
-    max_bins: int = 256
-    trees: int = 200
-    rff_components: int = 100
-    rff_gamma: float = 0.5
-    svc_iterations: int = 25
-    svc_penalty: float = 0.01
-    tree_memory_mb: int = 1024
-
-
-def _scaled(train: DataFrame, test: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
-    """M9: standard scaling with population std from the training rows only
-    (sklearn semantics; Spark's StandardScaler uses the sample std)."""
-    stats = train.agg(
-        *[F.avg(f).alias(f"mu_{i}") for i, f in enumerate(features)],
-        *[F.stddev_pop(f).alias(f"sd_{i}") for i, f in enumerate(features)],
-    ).first()
-    cols = []
-    out = []
-    for df in (train, test):
-        exprs = {}
-        for i, f in enumerate(features):
-            sd = stats[f"sd_{i}"] or 1.0
-            exprs[f"z_{i}"] = (F.col(f) - F.lit(stats[f"mu_{i}"])) / F.lit(sd)
-        out.append(df.withColumns(exprs))
-    cols = [f"z_{i}" for i in range(len(features))]
-    return out[0], out[1], cols
-
-
-def _rff(df: DataFrame, cols: Sequence[str], n_components: int, gamma: float, seed: int) -> DataFrame:
-    """Random Fourier features approximating an RBF kernel exp(-gamma |x-y|^2):
-    z_j(x) = sqrt(2/D) cos(w_j . x + b_j), w ~ N(0, 2 gamma), b ~ U(0, 2 pi).
-    The fixed seeded projection is a literal; the expansion is one
-    higher-order array expression turned into an ML vector (JVM-side)."""
-    import numpy as np
-    from pyspark.ml.functions import array_to_vector
-
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, len(cols)))
-    b = rng.uniform(0.0, 2 * math.pi, size=n_components)
-    scale = math.sqrt(2.0 / n_components)
-    proj = F.array(
-        *[
-            F.struct(F.lit(float(b[j])).alias("b"), F.array(*[F.lit(float(v)) for v in w[j]]).alias("w"))
-            for j in range(n_components)
-        ]
-    )
-    x = F.array(*[F.col(c).cast("double") for c in cols])
-
-    def component(p: Column) -> Column:
-        dot = F.aggregate(
-            F.arrays_zip(p["w"].alias("w"), x.alias("x")),
-            p["b"],
-            lambda acc, e: acc + e["w"] * e["x"],
-        )
-        return F.lit(scale) * F.cos(dot)
-
-    return df.withColumn("features", array_to_vector(F.transform(proj, component)))
-
-
-def _fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequence[str], label: str, k: int,
-                 cutoff: str, seed: int, params: ModelParams) -> DataFrame:
-    from pyspark.ml.classification import (
-        DecisionTreeClassifier,
-        LinearSVC,
-        RandomForestClassifier,
-    )
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    tr = train.withColumn("label", F.col(label).cast("double"))
-    te = test.withColumn("label", F.col(label).cast("double"))
-    if name == "SVC":
-        tr, te, zc = _scaled(tr, te, list(features))
-        tr_v, te_v = _rff(tr, zc, params.rff_components, params.rff_gamma, seed), _rff(te, zc, params.rff_components, params.rff_gamma, seed)
-    else:
-        asm = VectorAssembler(inputCols=list(features), outputCol="features")
-        tr_v, te_v = asm.transform(tr), asm.transform(te)
-    if name == "DecisionTreeClassifier":
-        est = DecisionTreeClassifier(
-            seed=seed, maxDepth=params.max_depth, maxBins=params.max_bins, maxMemoryInMB=params.tree_memory_mb
-        )
-    elif name == "RandomForestClassifier":
-        est = RandomForestClassifier(
-            numTrees=params.trees, seed=seed, maxDepth=params.max_depth, maxBins=params.max_bins,
-            maxMemoryInMB=params.tree_memory_mb,
-        )
-    else:
-        est = LinearSVC(maxIter=params.svc_iterations, regParam=params.svc_penalty)
-    if name == "SVC":
-        # iterative optimiser: keep the expanded training vectors in memory
-        # for the duration of the fit (recomputable from the parquet input)
-        tr_v = tr_v.select("features", "label").cache()
-    model = est.fit(tr_v)
-    if name == "SVC":
-        tr_v.unpersist()
-    p = model.transform(te_v)
-    score = vector_to_array("rawPrediction" if name == "SVC" else "probability")[1]
-    return p.select(
-        F.lit(cutoff).alias("cutoff"),
-        F.lit(name).alias("model"),
-        F.lit(k).cast("long").alias("fold"),
-        *E,
-        F.col(label).cast("long").alias("label"),
-        F.col("prediction").cast("long").alias("prediction"),
-        score.alias("score"),
-    )
-
-
-def spark_ml_predictions(
-    folded: DataFrame,
-    features: Sequence[str],
-    models: Sequence[str] = ("DecisionTreeClassifier", "RandomForestClassifier", "SVC"),
-    label: str = "target_at_risk",
-    n_folds: int = N_FOLDS,
-    seed: int = SEED,
-    parallelism: int = 8,
-    params: ModelParams = ModelParams(),
-) -> DataFrame:
-    """Per cutoff and held-out fold, fit on the other
-    folds and predict the held-out rows. Returns (cutoff, model, fold, key,
-    label, prediction, score). ``folded`` should be materialised first (it is
-    read once per fit); independent fits run concurrently as separate Spark
-    jobs (``parallelism`` driver threads, like CrossValidator's)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    cutoffs = sorted(r.cutoff for r in folded.select("cutoff").distinct().collect())
-    tasks = []
-    for cutoff in cutoffs:
-        part = folded.where(F.col("cutoff") == cutoff)
-        for k in range(n_folds):
-            train, test = part.where(F.col("fold") != k), part.where(F.col("fold") == k)
-            for name in models:
-                tasks.append((name, train, test, k, cutoff))
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        outs = list(
-            pool.map(lambda t: _fit_predict(t[0], t[1], t[2], features, label, t[3], t[4], seed, params), tasks)
-        )
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out

@@ -7,6 +7,7 @@ Every query reads the course views built from the parquet tables under
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -361,7 +362,7 @@ def predictor_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- model evaluation
-from cohortflow.operators import ml  # noqa: E402
+from cohortflow.operators import ml, svc, trees  # noqa: E402
 from cohortflow.schemas import BASELINE_MODEL_FEATURES  # noqa: E402
 from cohortflow.session import materialize  # noqa: E402
 
@@ -427,14 +428,42 @@ def knn_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return ml.classification_metrics(ml.knn_predictions(_folded(spark, sf), *BASELINE_MODEL_FEATURES))
 
 
+@query
+def decision_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: exact fully grown trees, one per cutoff and held-out fold."""
+    return _r6(trees.decision_tree_predictions(_folded(spark, sf), BASELINE_MODEL_FEATURES))
+
+
+@query
+def decision_tree_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.classification_metrics(trees.decision_tree_predictions(_folded(spark, sf), BASELINE_MODEL_FEATURES))
+
+
+@query
+def random_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """M4: 200 trees per cutoff and held-out fold."""
+    return _r6(trees.random_forest_predictions(_folded(spark, sf), BASELINE_MODEL_FEATURES))
+
+
+@query
+def kernel_svc(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: the exact dual of the scaled RBF classifier."""
+    return _r6(svc.svc_predictions(_folded(spark, sf), BASELINE_MODEL_FEATURES))
+
+
 @query
 def model_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """M2-M6/M9/M10 (rows-only check): all five models per cutoff and fold
-    on the materialised two-feature matrix, summarised like the reference."""
+    """All five models of every cutoff and fold on the written
+    two-feature matrix, each model one keyed fit, summarised like the reference."""
     folded = _folded(spark, sf)  # written: every fit reads the copy
-    preds = ml.spark_ml_predictions(folded, BASELINE_MODEL_FEATURES)
-    preds = preds.unionByName(ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES))
-    preds = preds.unionByName(ml.knn_predictions(folded, *BASELINE_MODEL_FEATURES).select(preds.columns))
+    fits = [
+        trees.decision_tree_predictions(folded, BASELINE_MODEL_FEATURES),
+        trees.random_forest_predictions(folded, BASELINE_MODEL_FEATURES),
+        svc.svc_predictions(folded, BASELINE_MODEL_FEATURES),
+        ml.gaussian_nb_predictions(folded, BASELINE_MODEL_FEATURES),
+        ml.knn_predictions(folded, *BASELINE_MODEL_FEATURES),
+    ]
+    preds = reduce(DataFrame.unionByName, fits)
     rows = folded.groupBy("cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
     return ml.metric_summary(ml.classification_metrics(preds), rows, BASELINE_MODEL_FEATURES)
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortflow.operators.cutoffs import day_of
 from cohortflow.schemas import RAW_SCHEMAS, TABLE_FILES
 
 # Cells that pandas reads as missing by default.
@@ -136,9 +137,10 @@ def read_cutoff(spark: SparkSession, path: str, cutoff: str) -> DataFrame:
 
 
 def write_model_results(summary: DataFrame, path: str) -> None:
-    """Model results in order of cutoff and model (range-sorted files; read
-    in file order they are sorted)."""
-    summary.orderBy("cutoff", "model").write.mode("overwrite").option("header", True).csv(path)
+    """Model results in order of cutoff day and model. A row a cutoff and
+    model, so one file holds them all in order."""
+    ordered = summary.orderBy(day_of(), "cutoff", "model").coalesce(1)
+    ordered.write.mode("overwrite").option("header", True).csv(path)
 
 
 def csv_roundtrip(tables: Mapping[str, DataFrame], directory: str, null_token: str = "?") -> dict[str, DataFrame]:

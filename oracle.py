@@ -824,6 +824,48 @@ ORACLE["knn_predictions"] = f"with {_KNN}\nselect cutoff, model, fold, {E}, labe
 _METRICS = _NB[_NB.index("rk as ("):]
 ORACLE["knn_metrics"] = f"with {_KNN},\npr as (select * from kp),\n{_METRICS}\nselect * from mt"
 
+# one fully grown tree per cutoff and held-out fold, all nodes of a level per step;
+# held-out points have weight 0. Ties: first feature, smallest threshold.
+def _gini(w: str, p: str) -> str:
+    one = f"({p} * {p} + ({w} - {p}) * ({w} - {p})) / {w}"
+    two = f"((tp - {p}) * (tp - {p}) + ((tw - {w}) - (tp - {p})) * ((tw - {w}) - (tp - {p}))) / (tw - {w})"
+    return f"{one} + {two}"
+
+
+_NODE = "partition by cutoff, held_out, path"
+_TREE = _FOLDS + f""",
+pt as (select f.cutoff, k.k as held_out, round(x0, 6)::double as a, x1::double as b,
+              sum(case when f.fold <> k.k then 1 else 0 end)::double as w,
+              sum(case when f.fold <> k.k then y else 0 end)::double as p
+       from fo f cross join range(5) k(k) group by 1, 2, 3, 4),
+grown as (
+  select cutoff, held_out, a, b, w, p, '' as path, false as done, 0::double as share from pt
+  union all
+  select cutoff, held_out, a, b, w, p,
+         case when leaf then path else path || case when (case when f = 0 then a else b end) > cut then '1' else '0' end end as path,
+         leaf as done, tp / greatest(tw, 1) as share
+  from (select *, tp = 0 or tp = tw or (sa is null and sb is null) as leaf,
+               case when sb is null or sa >= sb then 0 else 1 end as f,
+               case when sb is null or sa >= sb then ca else cb end as cut
+        from (select *, min(case when ga = sa then (a + na) / 2 end) over ({_NODE}) as ca,
+                     min(case when gb = sb then (b + nb) / 2 end) over ({_NODE}) as cb
+              from (select *, max(ga) over ({_NODE}) as sa, max(gb) over ({_NODE}) as sb
+                    from (select *, case when w > 0 and na is not null then {_gini("wa", "pa")} end as ga,
+                                 case when w > 0 and nb is not null then {_gini("wb", "pb")} end as gb
+                          from (select cutoff, held_out, a, b, w, p, path,
+                                       sum(w) over ({_NODE}) as tw, sum(p) over ({_NODE}) as tp,
+                                       sum(w) over ({_NODE} order by a) as wa, sum(p) over ({_NODE} order by a) as pa,
+                                       sum(w) over ({_NODE} order by b) as wb, sum(p) over ({_NODE} order by b) as pb,
+                                       min(case when w > 0 then a end) over ({_NODE} order by a groups between 1 following and unbounded following) as na,
+                                       min(case when w > 0 then b end) over ({_NODE} order by b groups between 1 following and unbounded following) as nb
+                                from grown where not done)))))
+),
+tr as (select f.cutoff, 'DecisionTreeClassifier' as model, f.fold::bigint as fold, {", ".join("f." + c for c in _EK)}, f.y::bigint as label,
+              (g.share > 0.5)::bigint as prediction, g.share as score
+       from fo f join grown g on g.done and g.cutoff = f.cutoff and g.held_out = f.fold and g.a = round(f.x0, 6) and g.b = f.x1)"""
+ORACLE["decision_tree"] = f"with recursive {_TREE}\nselect cutoff, model, fold, {E}, label, prediction, round(score, 6) as score from tr"
+ORACLE["decision_tree_metrics"] = f"with recursive {_TREE},\npr as (select * from tr),\n{_METRICS}\nselect * from mt"
+
 ORACLE["csv_roundtrip"] = _with(*ALL_VIEWS) + "\nunion all\n".join(
     f"""select '{t}' as "table", true as same_schema, count(*)::bigint as rows_a, count(*)::bigint as rows_b,
        0::bigint as only_in_a, 0::bigint as only_in_b, true as equal from {t}"""
