@@ -42,7 +42,7 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +129,20 @@ class Store:
         return out
 
 
+    def mapped(self, name: str) -> dict[str, np.ndarray] | None:
+        """``open``, kept mapped by the worker for its next block."""
+        if len(_MAPPED) >= MAPPED:
+            _MAPPED.clear()
+        if (self.root, name) not in _MAPPED:
+            _MAPPED[self.root, name] = self.open(name)
+        return _MAPPED[self.root, name]
+
+
+#: Files that a worker keeps mapped.
+MAPPED = 512
+_MAPPED: dict[tuple[str, str], dict[str, np.ndarray] | None] = {}
+
+
 # ---- arrays ------------------------------------------------------------------
 
 
@@ -298,7 +312,7 @@ class Model:
         bounds = runs(file[order])
         for a, b in zip(bounds[:-1], bounds[1:]):
             k, mine = file[order[a]], order[a:b]
-            if (f := self.store.open(f"hash-{k}")) is None or not len(f["hash"]):
+            if (f := self.store.mapped(f"hash-{k}")) is None or not len(f["hash"]):
                 continue
             at = np.minimum(np.searchsorted(f["hash"], h[mine]), len(f["hash"]) - 1)
             hit = (f["hash"][at] == h[mine]) & (mine != NONE_) & (mine != START_)
@@ -312,7 +326,7 @@ class Model:
             bounds = runs(file[order])
             for a, b in zip(bounds[:-1], bounds[1:]):
                 k, mine = file[order[a]], known[order[a:b]]
-                got[mine, 1:] = self.store.open(f"words-{k}")["stats"][ids[mine] - self.offsets[k]]
+                got[mine, 1:] = self.store.mapped(f"words-{k}")["stats"][ids[mine] - self.offsets[k]]
         return ids, got
 
     def file_of(self, ids: np.ndarray) -> np.ndarray:
@@ -619,10 +633,10 @@ def _less(n: np.ndarray, d: tuple[float, ...]) -> np.ndarray:
     return n - np.array(d)[np.minimum(n, 3)]
 
 
-def _mix_in(n: np.ndarray, stats: np.ndarray, d: tuple[float, ...], lower: np.ndarray) -> np.ndarray:
-    """(n - discount) / total + back-off mass * lower; lower if the total is 0."""
-    total = np.maximum(stats[:, 0], 1)
-    return np.where(stats[:, 0] > 0, _less(n, d) / total + (stats[:, 1:] @ np.array(d[1:])) / total * lower, lower)
+def _back_off(stats: np.ndarray, d: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(1 / total, back-off mass) of (total, ones, twos, more); (0, 1) if unseen."""
+    seen, total = stats[:, 0] > 0, np.maximum(stats[:, 0], 1)
+    return np.where(seen, 1 / total, 0.0), np.where(seen, stats[:, 1:] @ np.array(d[1:]) / total, 1.0)
 
 
 def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -631,7 +645,8 @@ def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
     (lv, lu, lw), place, _ = distinct_triples(b, ids, where=True)
     u, v, w = ids[lu], ids[lv], ids[lw]
     n = len(w)
-    pair, triple, context = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, 4), np.int64)
+    one, two, three = model.discounts
+    pair, triple, share, mass = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.ones(n)
     pieces = model.pieces(stats[:, 0])[lv]
     seen = np.flatnonzero(v >= 0)
     shard = model.shard_of(u[seen], v[seen], w[seen], pieces[seen])
@@ -639,7 +654,7 @@ def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
     seen, shard = seen[order], shard[order]
     bounds = runs(shard)
     for a, z in zip(bounds[:-1], bounds[1:]):
-        if (f := model.store.open(f"shard-{shard[a]}")) is None:
+        if (f := model.store.mapped(f"shard-{shard[a]}")) is None:
             continue
         mine = seen[a:z]
         look = mine[(w[mine] >= 0) & (pieces[mine] == 1)]
@@ -647,8 +662,8 @@ def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
         look = mine[(u[mine] >= 0) & (v[mine] != model.start)]
         first = runs(v[look], u[look])  # neighbours share their context
         found = _find(f, "context", _hash(u[look[first[:-1]]], v[look[first[:-1]]]))
-        context[look] = np.repeat(found, np.diff(first), axis=0)
-        look = look[(w[look] >= 0) & (context[look, 0] > 0)]
+        share[look], mass[look] = (np.repeat(x, np.diff(first)) for x in _back_off(found, three))
+        look = look[(w[look] >= 0) & (share[look] > 0)]
         triple[look] = _find(f, "triple", _hash(u[look], v[look], w[look]))[:, 0]
     hot = np.flatnonzero((v >= 0) & (w >= 0) & (pieces > 1))
     to = (_hash(v[hot], w[hot]) % np.uint64(model.hot_shards)).astype(np.int64)
@@ -656,13 +671,14 @@ def probabilities(model: Model, b: Block) -> tuple[np.ndarray, np.ndarray]:
     hot, to = hot[order], to[order]
     bounds = runs(to)
     for a, z in zip(bounds[:-1], bounds[1:]):
-        if (f := model.store.open(f"hot-{to[a]}")) is not None:
+        if (f := model.store.mapped(f"hot-{to[a]}")) is not None:
             pair[hot[a:z]] = _find(f, "pair", _hash(v[hot[a:z]], w[hot[a:z]]))[:, 0]
-    one, two, three = model.discounts
-    left = np.where(w >= 0, stats[lw, 1], 0)
-    p = _less(left, one) / model.pairs + model.unseen / (model.start + 1)
-    p = _mix_in(pair, np.where(v[:, None] >= 0, stats[lv, 2:], 0), two, p)
-    return _mix_in(triple, context, three, p)[place], np.where(w >= 0, stats[lw, 0], 0)[place]
+    known = ids >= 0
+    p = (_less(np.where(known, stats[:, 1], 0), one) / model.pairs + model.unseen / (model.start + 1))[lw]
+    word_share, word_mass = _back_off(np.where(known[:, None], stats[:, 2:], 0), two)
+    p = _less(pair, two) * word_share[lv] + word_mass[lv] * p
+    p = _less(triple, three) * share + mass * p
+    return p[place], np.where(known, stats[:, 0], 0)[b.seq[b.at]]
 
 
 def held_out(id_col: str) -> Column:
@@ -680,7 +696,7 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total = np.zeros((batch.num_rows, 4))  # tokens, known, base, score
-            for b in blocks(_texts([batch]), replace(sizes, block=sizes.block // 2)):
+            for b in blocks(_texts([batch]), sizes):
                 if model:
                     p, c = probabilities(model, b)
                 else:
