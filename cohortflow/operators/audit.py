@@ -249,6 +249,82 @@ def keyset_diff(a: Mapping[str, DataFrame], b: Mapping[str, DataFrame], keys: Ma
     )
 
 
+# ---------------------------------------------------------------- S6
+
+
+def table_facts(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] = RANGE_COLUMNS) -> DataFrame:
+    """(table, rows, columns, missing, flags): what A1, A2 and A20 need of every
+    table, from one aggregate, and so one scan, per table."""
+    parts = []
+    for t, df in tables.items():
+        checks = [(c, issue, test) for c in columns.get(t, ()) for names, issue, test in RANGE_RULES if c in names]
+        got = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)],
+            *[F.count_if(test(numeric(c))).alias(f"f{i}") for i, (c, _, test) in enumerate(checks)],
+        )
+        missing = [F.struct(_lit_str(c).alias("column"), F.col(f"m{i}").alias("n")) for i, c in enumerate(df.columns)]
+        flags = [F.struct(_lit_str(c).alias("column"), _lit_str(issue).alias("issue"), F.col(f"f{i}").alias("n")) for i, (c, issue, _) in enumerate(checks)]
+        flag = "array<struct<column:string,issue:string,n:bigint>>"
+        parts.append(got.select(
+            _lit_str(t).alias("table"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"),
+            F.array(*missing).alias("missing"), F.array(*flags).cast(flag).alias("flags"),
+        ))
+    return union_all(parts)
+
+
+#: The evidence tables: key columns, then measures.
+EVIDENCE = {
+    "date_numeric_range_flags": (["table", "column", "issue"], ["count"]),
+    "date_numeric_range_stats": (["table", "column"], ["count", "mean", "std", "min", *[f"p{int(p * 100)}" for p in PERCENTILES], "max"]),
+    "key_duplicates": (["table", "key"], ["duplicated_rows_by_key", "duplicated_key_groups"]),
+    "missing_values_nonzero": (["table", "column"], ["missing_count", "missing_ratio"]),
+    "referential_integrity": (["check"], ["both", "left_only", "right_only"]),
+    "student_vle_duplicate_group_size_distribution": (["group_size"], ["group_count"]),
+    "student_vle_duplicate_summary": (["metric"], ["value"]),
+    "table_shapes": (["table"], ["rows", "columns"]),
+    "target_distribution_by_module": (["code_module", "final_result"], ["count", "ratio_within_group"]),
+    "target_distribution_by_module_presentation": (["code_module", "code_presentation", "final_result"], ["count", "ratio_within_group"]),
+    "target_distribution_by_presentation": (["code_presentation", "final_result"], ["count", "ratio_within_group"]),
+    "target_distribution_overall": (["final_result"], ["count", "ratio_within_group"]),
+}
+
+
+def evidence_tables(tables: Mapping[str, DataFrame], log_name: str = "student_vle") -> dict[str, DataFrame]:
+    """The audit's evidence, by name of ``EVIDENCE``. Shapes, missing cells
+    and range flags come from one aggregate per table, the four outcome
+    distributions from one grouping-sets aggregate; both are written first."""
+    facts = materialize(table_facts(tables), "audit-facts")
+    outcomes = materialize(target_grouping_sets(tables["student_info"]), "audit-outcomes")
+    missing = facts.select("table", "rows", F.inline("missing")).where("n > 0")
+    made = {
+        "date_numeric_range_flags": facts.select("table", F.inline("flags")).where("n > 0").withColumnRenamed("n", "count"),
+        "date_numeric_range_stats": column_profile(tables),
+        "key_duplicates": key_uniqueness(tables),
+        "missing_values_nonzero": missing.withColumns({"missing_count": F.col("n"), "missing_ratio": F.col("n") / F.col("rows")}),
+        "referential_integrity": referential_integrity(tables),
+        "student_vle_duplicate_group_size_distribution": dup_group_sizes(tables[log_name]),
+        "student_vle_duplicate_summary": dup_summary(tables[log_name]),
+        "table_shapes": facts,
+        "target_distribution_by_module": outcomes.where("grouping = 'by_module'"),
+        "target_distribution_by_module_presentation": outcomes.where("grouping = 'by_module_presentation'"),
+        "target_distribution_by_presentation": outcomes.where("grouping = 'by_presentation'"),
+        "target_distribution_overall": outcomes.where("grouping = 'overall'"),
+    }
+    return {name: made[name].select(*keys, *measures) for name, (keys, measures) in EVIDENCE.items()}
+
+
+def evidence_long(evidence: Mapping[str, DataFrame]) -> DataFrame:
+    """Evidence tables as (evidence, item, metric, value) rows."""
+    parts = []
+    for name, df in evidence.items():
+        keys, measures = EVIDENCE[name]
+        cells = F.array(*[F.struct(_lit_str(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in measures])
+        item = F.concat_ws(".", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+        parts.append(df.select(_lit_str(name).alias("evidence"), item.alias("item"), F.inline(cells)))
+    return union_all(parts)
+
+
 # ---------------------------------------------------------------- D1
 
 
@@ -277,6 +353,36 @@ def table_equality(name: str, a: DataFrame, b: DataFrame) -> DataFrame:
     ).withColumn("equal", (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0) & F.col("same_schema"))
 
 
+def bucket_digests(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """(bucket, rows, digest) of the rows by hash of ``key``: two sums of 64-bit
+    row hashes, NULLs told apart by position. ``buckets`` rows; no row is
+    shuffled, only a sum per bucket and task."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in df.columns])
+    digest = [F.sum(F.xxhash64(F.lit(seed), nulls, *cells).cast("decimal(38,0)")) for seed in (1, 2)]
+    return df.groupBy(F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(buckets)).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), F.array(*digest).alias("digest")
+    )
+
+
+def bucketed_equality(name: str, a: DataFrame, b: DataFrame, key: Sequence[str], buckets: int = 1024) -> DataFrame:
+    """D1 for large tables: rows are bucketed by ``key``, buckets with equal
+    counts and digests are done, and only rows of the others are compared as
+    bags. Equal tables are two scans without a shuffle of rows."""
+    sides = [materialize(bucket_digests(x, key, buckets), "digests") for x in (a, b)]
+    left, right = (x.select("bucket", F.col("rows").alias(f"rows_{s}"), F.col("digest").alias(f"digest_{s}")) for x, s in zip(sides, "ab"))
+    both = left.join(right, "bucket", "full_outer")
+    differ = [r.bucket for r in both.where(~(F.col("rows_a").eqNullSafe(F.col("rows_b")) & F.col("digest_a").eqNullSafe(F.col("digest_b")))).select("bucket").collect()]  # at most ``buckets``
+    rows = [x.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] for x in sides]
+    same = [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
+    of = lambda x: x.where(F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(buckets)).isin(differ))
+    found = table_equality(name, of(a), of(b)) if differ else None
+    one = a.sparkSession.createDataFrame([(name, same, *rows, len(differ))], "table string, same_schema boolean, rows_a long, rows_b long, unequal_buckets long")
+    counts = found.select("table", "only_in_a", "only_in_b") if found is not None else one.select("table", F.lit(0).cast("long").alias("only_in_a"), F.lit(0).cast("long").alias("only_in_b"))
+    out = one.join(counts, "table")
+    return out.withColumn("equal", F.col("same_schema") & (F.col("unequal_buckets") == 0))
+
+
 # ---------------------------------------------------------------- A19 / A20
 
 

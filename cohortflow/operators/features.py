@@ -2,7 +2,8 @@
 
 Click block: the event log is read once (``date <= max cutoff`` pushed to the
 scan), collapsed to the event key (see ``collapse``), reduced to narrow rows per
-(entity, band), and only those are expanded to the cutoffs and pivoted.
+(entity, band), and only those are expanded to the cutoffs, shuffled once more to
+their (cutoff, entity), summed per activity and pivoted there.
 
 Assessment block: submissions are joined to the assessment dimension once;
 the "all rows" (Stage 3) and "known due date only" (baseline) rollups are
@@ -11,7 +12,7 @@ conditional aggregates over the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,8 +71,10 @@ def click_rollup(
     stage3_types: Sequence[str] = (),
     baseline_types: Sequence[str] = (),
     spec: EntitySpec = COURSE_LOG,
+    restrict: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per (cutoff, entity) with any event by the cutoff.
+    """One row per (cutoff, entity) with any event by the cutoff; ``restrict``
+    leaves out (cutoff, entity) pairs before anything is counted for them.
 
     Columns: cutoff, cutoff_day, entity key, the Stage 3 block (sum/max
     strategies, with pivot columns for ``stage3_types``) and the baseline
@@ -81,7 +84,10 @@ def click_rollup(
     clicks under (band, activity), its day, and its item with that day (a band
     is the first cutoff that sees the event). Facts are reduced per entity in
     one aggregate, so a day or an item of a busy entity is one row by then;
-    only the reduced facts are expanded to the cutoffs, counted and pivoted."""
+    only the reduced facts are expanded to the cutoffs, counted and pivoted. The
+    pivot has two steps: sums per (cutoff, entity, activity), then columns. Both
+    run after the last shuffle, which carries narrow rows however many activity
+    types there are."""
     events = at_or_before(log.select(*spec.event_key, spec.measure), spec.time, cutoffs)
     k = with_activity(collapse_events(events, spec), vle, spec)
     t, day, item = F.col("activity_clean"), F.col(spec.time), F.col(spec.item)
@@ -117,10 +123,24 @@ def click_rollup(
     )
     reduced = reduced.withColumn("_seen", F.coalesce("_band", band(F.col("_first"))))
     x = expand_by_cutoff(reduced, "_seen", cutoffs)
+    # the key of every later join; the aggregates below need no other exchange
+    x = x.repartition("cutoff", *spec.key)
+    if restrict is not None:
+        x = restrict(x)
+    narrow = x.groupBy("cutoff", *spec.key, "activity_clean").agg(
+        F.max("cutoff_day").alias("cutoff_day"),
+        F.sum("_s").alias("_s"),
+        F.sum("_x").alias("_x"),
+        F.sum("_m").alias("_m"),
+        F.count("_day").alias("_days"),
+        F.count("_item").alias("_items"),
+        F.min("_day").alias("_first"),
+        F.max("_day").alias("_last"),
+    )
 
     def pivot(types: Sequence[str], measure: str, suffix: str) -> list[Column]:
         return [
-            F.coalesce(F.sum(F.when(t == a, F.col(measure))), F.lit(0)).alias(activity_column(a, suffix))
+            F.coalesce(F.max(F.when(t == a, F.col(measure))), F.lit(0)).alias(activity_column(a, suffix))
             for a in types
         ]
 
@@ -128,17 +148,17 @@ def click_rollup(
         F.sum("_s").alias("total_click_until_cutoff_sum_strategy"),
         F.sum("_x").alias("total_click_until_cutoff_max_strategy"),
         F.sum("_m").alias("total_click_until_cutoff_mean_strategy"),
-        F.count("_day").alias("active_days_until_cutoff"),
-        F.count("_item").alias("used_site_count_until_cutoff"),
-        F.min("_day").alias("first_activity_date_until_cutoff"),
-        F.max("_day").alias("last_activity_date_until_cutoff"),
+        F.sum("_days").alias("active_days_until_cutoff"),
+        F.sum("_items").alias("used_site_count_until_cutoff"),
+        F.min("_first").alias("first_activity_date_until_cutoff"),
+        F.max("_last").alias("last_activity_date_until_cutoff"),
         *pivot(stage3_types, "_s", "sum_strategy"),
         *pivot(stage3_types, "_x", "max_strategy"),
         *pivot(baseline_types, "_m", "until_cutoff_mean_strategy"),
     ]
     # cutoff_day is a function of cutoff: carry it as an aggregate so the
     # output is partitioned on (cutoff, entity), the key of every later join
-    r = x.groupBy("cutoff", *spec.key).agg(F.max("cutoff_day").alias("cutoff_day"), *aggs)
+    r = narrow.groupBy("cutoff", *spec.key).agg(F.max("cutoff_day").alias("cutoff_day"), *aggs)
     days = F.col("active_days_until_cutoff")
     return r.withColumns(
         {

@@ -511,6 +511,26 @@ def csv_na(spark: SparkSession, sf: str) -> DataFrame:
     return _src.read_csv_table(spark, path, "student_registration")
 
 
+@query
+def csv_equality(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 before and after NA normalisation: student_registration as two CSV
+    copies, one with '?' and one with every NA token, compared as raw strings
+    and as typed rows."""
+    name = "student_registration"
+    folder = _folder(spark, "csv-copy")
+    _src.write_tables_csv({name: course_tables(spark, sf)[name]}, folder)
+    paths = [f"{x}/{_FILES[name]}" for x in (folder, _na_file(spark, sf))]
+    raw = [spark.read.option("header", True).csv(p) for p in paths]
+    typed = [_src.read_csv_table(spark, p, name) for p in paths]
+    cols = raw[0].columns
+    return audit.union_all(
+        [
+            audit.bucketed_equality(stage, a.select(cols), b.select(cols), ["id_student"])
+            for stage, (a, b) in (("before_na", raw), ("after_na", typed))
+        ]
+    ).drop("unequal_buckets")
+
+
 @query
 def csv_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Missing and mistyped cells per column of that file."""
@@ -533,14 +553,33 @@ def derived_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def derived_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
+    """All cutoffs written with a wrong column first, then each rebuilt on its
+    own, the others untouched; compared cutoff by cutoff."""
+    made = materialize(stages.click_features_mean(course_tables(spark, sf)), "click-features")
+    path = _folder(spark, "rebuilt")
+    _src.write_by_cutoff(made.withColumn("active_days_until_cutoff", F.lit(-1).cast("long")), path)
+    for c in stages.CUTOFFS:
+        _src.write_by_cutoff(made.where(F.col("cutoff") == c), path)
+    return audit.union_all(
+        [
+            audit.table_equality(c, made.where(F.col("cutoff") == c), _src.read_cutoff(spark, path, c).select(made.columns))
+            for c in stages.CUTOFFS
+        ]
+    )
+
+
 @query
 def evidence_written(spark: SparkSession, sf: str) -> DataFrame:
-    """Evidence tables as CSV folders; the row counts by cutoff read back."""
-    t = course_tables(spark, sf)
-    made = {"cutoff_rows": ev.cutoff_row_evidence(t["student_vle"], t["student_assessment"], t["assessments"])}
+    """The twelve evidence tables written as CSV with a manifest, and read
+    back as (evidence, item, metric, value) rows, with the manifest's counts."""
+    made = audit.evidence_tables(course_tables(spark, sf))
     path = _folder(spark, "evidence")
-    _src.write_evidence(made, path)
-    return spark.read.schema(made["cutoff_rows"].schema).option("header", True).csv(f"{path}/cutoff_rows.csv")
+    manifest = _src.write_evidence(made, path)
+    back = _src.read_evidence(spark, path, {n: df.schema for n, df in made.items()})
+    counts = manifest.select("evidence", F.lit("manifest").alias("item"), F.lit("rows").alias("metric"), F.col("rows").cast("double").alias("value"))
+    return _r6(audit.evidence_long(back).unionByName(counts))
 
 
 @query

@@ -90,13 +90,16 @@ class FeatureBlocks:
     def baseline_types(self) -> list[str]:
         return dimension_activity_types(self.tables["vle"])
 
-    def clicks(self, stage3: bool = False, baseline: bool = False) -> DataFrame:
+    def clicks(self, stage3: bool = False, baseline: bool = False, active: bool = False) -> DataFrame:
+        """``active``: of the pairs still registered at the cutoff only."""
+        registration = self.tables["student_registration"]
         return click_rollup(
             self.tables["student_vle"],
             self.tables["vle"],
             self.cutoffs,
             stage3_types=self.union_types if stage3 else (),
             baseline_types=self.baseline_types if baseline else (),
+            restrict=(lambda x: active_cohort(x, registration, self.cutoffs)) if active else None,
         )
 
     def assessments(self) -> DataFrame:
@@ -117,17 +120,22 @@ def stage3_features(
     cutoffs: Mapping[str, int] = CUTOFFS,
     blocks: FeatureBlocks | None = None,
     validate: bool = True,
+    active: bool = False,
 ) -> DataFrame:
     """Base x cutoffs, left-joined to the click and assessment blocks,
     count-like columns filled with 0. Pivot columns are the activity types
     observed by any cutoff (0 at a cutoff that has not seen the type);
-    :func:`stage3_for_cutoff` gives the per-cutoff column set."""
+    :func:`stage3_for_cutoff` gives the per-cutoff column set. ``active``
+    restricts the base and the clicks to the cohort before they are joined."""
     blocks = blocks or feature_blocks(tables, cutoffs)
     click_cols = STAGE3_CLICK_COLUMNS + stage3_pivot_columns(blocks.union_types)
-    clicks = blocks.clicks(stage3=True).select("cutoff", *E, *click_cols)
+    clicks = blocks.clicks(stage3=True, active=active).select("cutoff", *E, *click_cols)
     assess = stage3_assessment_block(blocks.assessments())
+    base = _base_by_cutoff(tables, cutoffs, validate)
+    if active:
+        base = active_cohort(base, tables["student_registration"], cutoffs)
     df = (
-        _base_by_cutoff(tables, cutoffs, validate)
+        base
         .join(clicks, ["cutoff", *E], "left")
         .join(assess, ["cutoff", *E], "left")
     )
@@ -159,8 +167,10 @@ def cohort_stage4(
     blocks: FeatureBlocks | None = None,
     stage3: DataFrame | None = None,
 ) -> DataFrame:
-    """Stage 3 rows of students still registered at the cutoff."""
-    stage3 = stage3 if stage3 is not None else stage3_features(tables, cutoffs, blocks)
+    """Stage 3 rows of students still registered at the cutoff; of a given
+    ``stage3`` matrix, or built for these students only."""
+    if stage3 is None:
+        return stage3_features(tables, cutoffs, blocks, active=True)
     return active_cohort(stage3, tables["student_registration"], cutoffs)
 
 
@@ -186,7 +196,7 @@ def baseline_stage5(
     Built straight from the base: Stage 3 columns are never computed, so there
     is nothing to drop."""
     blocks = blocks or feature_blocks(tables, cutoffs)
-    clicks = blocks.clicks(baseline=True).select(
+    clicks = blocks.clicks(baseline=True, active=True).select(
         "cutoff", *E, *BASELINE_CLICK_COLUMNS, *baseline_pivot_columns(blocks.baseline_types)
     )
     assess = baseline_assessment_block(blocks.assessments())

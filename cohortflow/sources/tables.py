@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,14 +121,33 @@ def write_tables_csv(tables: Mapping[str, DataFrame], directory: str, null_token
 
 
 def write_by_cutoff(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a long-by-cutoff matrix partitioned by ``cutoff``."""
-    df.write.mode("overwrite").partitionBy("cutoff").format(fmt).option("header", True).save(path)
+    """Write a long-by-cutoff matrix partitioned by ``cutoff``. Only the
+    cutoffs that ``df`` has are replaced: one cutoff can be rebuilt while the
+    files of the others stay as they are."""
+    writer = df.write.mode("overwrite").partitionBy("cutoff").format(fmt).option("header", True)
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def write_evidence(evidence: Mapping[str, DataFrame], directory: str) -> None:
-    """One header CSV folder per audit evidence table."""
+def write_evidence(evidence: Mapping[str, DataFrame], directory: str) -> DataFrame:
+    """One header CSV folder per evidence table, and a manifest of them with
+    their rows, counted while they are written."""
+    rows = []
     for name, df in evidence.items():
-        df.write.mode("overwrite").option("header", True).csv(os.path.join(directory, f"{name}.csv"))
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(os.path.join(directory, f"{name}.csv"))
+        rows.append((name, seen.get["rows"], ",".join(df.columns)))
+    spark = next(iter(evidence.values())).sparkSession
+    manifest = spark.createDataFrame(rows, "evidence string, rows long, columns string")
+    manifest.coalesce(1).write.mode("overwrite").option("header", True).csv(os.path.join(directory, "manifest.csv"))
+    return manifest
+
+
+def read_evidence(spark: SparkSession, directory: str, schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
+    """The evidence tables that the manifest of a folder names."""
+    manifest = spark.read.option("header", True).csv(os.path.join(directory, "manifest.csv"))
+    names = [r.evidence for r in manifest.collect()]
+    return {n: spark.read.schema(schemas[n]).option("header", True).csv(os.path.join(directory, f"{n}.csv")) for n in names}
 
 
 def read_cutoff(spark: SparkSession, path: str, cutoff: str) -> DataFrame:
