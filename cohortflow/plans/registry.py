@@ -570,6 +570,14 @@ def derived_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def baseline_from_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    """C4 + S4: Stage 5 on top of a Stage 4 matrix written in buckets."""
+    t = course_tables(spark, sf)
+    stage4 = _src.write_bucketed(stages.cohort_stage4(t), _folder(spark, "stage4"), ["cutoff", *_E])
+    return _r6(stages.baseline_from_stage4(stage4, t))
+
+
 @query
 def evidence_written(spark: SparkSession, sf: str) -> DataFrame:
     """The twelve evidence tables written as CSV with a manifest, and read

@@ -196,11 +196,30 @@ def baseline_stage5(
     Built straight from the base: Stage 3 columns are never computed, so there
     is nothing to drop."""
     blocks = blocks or feature_blocks(tables, cutoffs)
+    cohort = active_cohort(_base_by_cutoff(tables, cutoffs, validate), tables["student_registration"], cutoffs)
+    return _baseline(cohort, blocks)
+
+
+def baseline_from_stage4(
+    stage4: DataFrame,
+    tables: Mapping[str, DataFrame],
+    cutoffs: Mapping[str, int] = CUTOFFS,
+    blocks: FeatureBlocks | None = None,
+) -> DataFrame:
+    """C4 + S4: the same matrix on top of a written Stage 4: its click, pivot and
+    assessment columns go (they are not even read), the Stage 5 blocks are joined.
+    Written in buckets of (cutoff, entity) (``write_bucketed``), Stage 4 is joined
+    where it lies, without an exchange or a sort."""
+    pivots = [c for c in stage4.columns if c.startswith("clicks_activity_")]
+    cohort = without_blocks(stage4, STAGE3_CLICK_COLUMNS, pivots, STAGE3_ASSESSMENT_COLUMNS)
+    return _baseline(cohort, blocks or feature_blocks(tables, cutoffs))
+
+
+def _baseline(cohort: DataFrame, blocks: FeatureBlocks) -> DataFrame:
     clicks = blocks.clicks(baseline=True, active=True).select(
         "cutoff", *E, *BASELINE_CLICK_COLUMNS, *baseline_pivot_columns(blocks.baseline_types)
     )
     assess = baseline_assessment_block(blocks.assessments())
-    cohort = active_cohort(_base_by_cutoff(tables, cutoffs, validate), tables["student_registration"], cutoffs)
     df = (
         cohort.join(clicks, ["cutoff", *E], "left")
         .join(assess, ["cutoff", *E], "left")

@@ -8,7 +8,8 @@ by ``cutoff`` so a reader of one cutoff prunes the others.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -128,6 +129,18 @@ def write_by_cutoff(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
+def write_bucketed(df: DataFrame, path: str, key: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Write ``df`` in sorted buckets of ``key`` under ``path`` and read it as
+    a bucketed table. As many buckets as shuffle partitions (the default) join
+    and group by ``key`` without an exchange."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # a task writes one bucket, so a bucket is one file
+    df.repartition(n, *key).write.bucketBy(n, *key).sortBy(*key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def write_evidence(evidence: Mapping[str, DataFrame], directory: str) -> DataFrame:
     """One header CSV folder per evidence table, and a manifest of them with
     their rows, counted while they are written."""

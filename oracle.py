@@ -946,6 +946,7 @@ select c.cutoff as "table", true as same_schema, count(*)::bigint as rows_a, cou
 from student_info cross join cut c group by c.cutoff
 """
 
+ORACLE["baseline_from_cohort"] = ORACLE["baseline_stage5"]
 ORACLE["derived_rebuilt"] = ORACLE["derived_roundtrip"]
 
 _TARGETS = {

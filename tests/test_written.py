@@ -57,3 +57,38 @@ def test_only_unequal_buckets_are_compared(spark):
     assert (twice.rows_b, twice.only_in_a, twice.only_in_b, twice.unequal_buckets) == (501, 0, 1, 1)
     none = audit.bucketed_equality("t", rows.limit(0), rows.where("id = 4"), ["id"], 16).first()
     assert (none.rows_a, none.only_in_b, none.equal) == (0, 1, False)
+
+
+def test_a_bucketed_stage4_is_joined_without_an_exchange(spark, tmp_path):
+    from cohortflow.plans import stages
+    from cohortflow.session import materialize
+
+    key = ["cutoff", "code_module", "code_presentation", "id_student"]
+    t = course_tables(spark, SF)
+    made = materialize(stages.cohort_stage4(t), "stage4")
+    bucketed = src.write_bucketed(made, str(tmp_path / "s4"), key)
+    assert len(files(str(tmp_path / "s4"))) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [stages.baseline_from_stage4(x, t)._jdf.queryExecution().executedPlan().toString() for x in (made, bucketed)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plain, kept = (p.count("Exchange hashpartitioning(cutoff") for p in plans)
+    assert kept == plain - 1
+    # Stage 3 columns are not read
+    scan = next(line for line in plans[1].splitlines() if "bucketed_" in line or "/s4" in line)
+    assert "clicks_activity_" not in scan and "weighted_score" not in scan
+
+
+def test_no_wide_row_crosses_the_last_shuffle(spark):
+    """The conditional sums per activity type stand above the last exchange."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["features_stage3"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    wide = [k for k, line in enumerate(lines) if "max(CASE WHEN (activity_clean" in line]
+    assert wide
+    for k in wide:
+        above = next(line for line in reversed(lines[:k]) if "WholeStageCodegen" not in line and "Project" not in line)
+        assert "Exchange hashpartitioning" not in above or "partial_max" not in lines[k]
