@@ -28,6 +28,26 @@ def test_leaf_blocks():
     assert [[t for t, _ in b.path] for b in path] == [["article", "p", "b"], ["article", "p"], ["footer"]]
 
 
+def test_formulas_drawings_and_fallbacks_are_text():
+    assert texts("<p>Energy is <math><mi>E</mi></math> here.</p>") == ["Energy is E here."]
+    assert texts("<article><noscript><p>Body one.</p><p>Two.</p></noscript></article>") == ["Body one.", "Two."]
+    assert texts("<p>a<svg viewBox='0 0'><text>label</text></svg>b</p><p>c") == ["alabelb", "c"]
+    for open_only in ("<svg>", "<iframe src=x>", "<math>", "<noscript>", "<template>", "<title>", "<textarea>"):
+        assert texts(f"<p>before</p>{open_only}<p>after</p><p>end</p>") == ["before", "after", "end"], open_only
+    assert texts("<template><p>x</p></template>y<script>if (a < b) '</p>'</script>z") == ["yz"]
+    assert texts("<p title='a>b' data-x=\"c>d\">t</p><p 5' class=x>u's</p>") == ["t", "u's"]
+
+
+@pytest.mark.parametrize("part", ["<p>it's <b 5' ", "<a x=\">\" ", "<div>x", "<title>y", "<a href='", "<!-- ", "<li><p>z", "</b></i>w<i>"])
+def test_long_awkward_pages_take_linear_time(part):
+    import time
+
+    page = part * (100_000 // len(part))
+    t = time.perf_counter()
+    leaf_blocks(page)
+    assert time.perf_counter() - t < 1.5
+
+
 @pytest.fixture(scope="module")
 def weights():
     rng = random.Random(1)
