@@ -213,6 +213,19 @@ def test_rules_learn_what_separates(spark):
     assert learned and wrong <= 2
 
 
+def test_near_copies_and_small_hosts_lose_no_ordinary_line(spark):
+    """A third of a host's pages are near copies, three pages of another share a
+    line by chance; only the lines that differing pages carry go."""
+    line = lambda *x: " ".join(f"w{v}" for v in x)
+    rows = [(i, "\n".join([line(i, k) for k in range(5)] + (["Contact us"] if i % 2 else [])), "big") for i in range(200)]
+    base = [line("base", k) for k in range(9)]
+    rows += [(1000 + i, "\n".join([*base[:4], line("own", i), *base[5:], "Contact us"]), "big") for i in range(100)]
+    rows += [(2000 + i, "\n".join([line("s", i, k) for k in range(4)] + (["a quotation"] if i < 3 else [])), "small") for i in range(50)]
+    got = {r.doc_id: r for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].n_dropped == ("Contact us" in t) for i, t, s in rows)
+    assert all(r.text == "\n".join(x for x in t.split("\n") if x != "Contact us") for i, t, s in rows for r in [got[i]])
+
+
 def test_line_dedup(spark, docs, corpus, tmp_path):
     import duckdb
 

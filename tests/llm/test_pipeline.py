@@ -39,8 +39,21 @@ def plain_lines(docs):
     trim = lambda x: x.strip(" \t\r\x0b\x0c")
     pages = {(s, t) for _, t, s in docs if t is not None}
     total = collections.Counter(s for s, _ in {(s, t) for _, t, s in docs})
-    seen = collections.Counter((s, x) for s, t in pages for x in {trim(y) for y in t.split("\n")} if x)
-    bad = {k for k, n in seen.items() if n >= lines.MIN_PAGES and n / total[k[0]] > lines.MAX_RATIO}
+    page_lines = [(s, {trim(y) for y in t.split("\n")} - {""}) for s, t in pages]
+
+    def passes(n, pages):
+        p = n / pages
+        return n >= lines.MIN_PAGES and (p + 0.5 / pages - (p * (1 - p) / pages + 0.25 / pages**2) ** 0.5) / (1 + 1 / pages) > lines.MAX_RATIO
+
+    seen = collections.Counter((s, x) for s, ls in page_lines for x in ls)
+    bad = {k for k, n in seen.items() if passes(n, total[k[0]])}
+    # near copies are one page
+    copies = [(s, ls) for s, ls in page_lines if ls and sum((s, x) in bad for x in ls) > len(ls) * lines.REPEATED]
+    total.subtract(s for s, _ in copies)
+    total.update({s for s, _ in copies})
+    seen.subtract((s, x) for s, ls in copies for x in ls)
+    seen.update({(s, x) for s, ls in copies for x in ls})
+    bad = {k for k in bad if passes(seen[k], total[k[0]])}
     return [(i, None if t is None else "\n".join(x for x in t.split("\n") if (s, trim(x)) not in bad), s) for i, t, s in docs]
 
 
@@ -118,7 +131,7 @@ def test_names():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "simhash near-dedup", "substring dedup", "best-fit packing"]
 
 
