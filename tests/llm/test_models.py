@@ -1,6 +1,7 @@
 """HTML extraction, tokenising, embeddings and the classifier."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -173,6 +174,36 @@ def test_embedding_links(spark, block, leaf, monkeypatch):
     assert sorted(map(tuple, embed.near_duplicates(df).collect()), key=str) == plain_links(rows)
 
 
+@pytest.mark.parametrize("block", [8192, 7])
+def test_embedding_links_of_doubles_and_string_labels(spark, block, monkeypatch):
+    monkeypatch.setattr(embed, "BLOCK", block)
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(8, 20))
+    rows = [(i, (base[i % 8] + rng.normal(size=20) * (0.02 + 0.04 * (i % 5))).tolist(), "ab"[i % 2]) for i in range(90)]
+    angle = math.acos(0.98)  # equal as floats, on both sides of the limit as doubles
+    rows += [(200, [1.0, 0.0], "c"), (201, [math.cos(angle - 1e-9), math.sin(angle - 1e-9)], "c"), (202, [math.cos(angle + 1e-9), -math.sin(angle + 1e-9)], "c")]
+    rows += [(210, [1e200, 2e200], "d"), (211, [1e-200, 2e-200], "d"), (212, [1.0, 2.0], "e")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed.near_duplicates(df).collect()}
+    unit = [np.ldexp(np.array(v), -np.frexp(np.abs(v).max())[1]) for _, v, _ in rows]
+    near = lambda i, j: rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] / np.sqrt((unit[i] @ unit[i]) * (unit[j] @ unit[j])) >= 0.98
+    links = {rows[i][0]: sum(near(i, j) for j in range(len(rows)) if j != i) for i in range(len(rows))}
+    assert {k: v[0] for k, v in got.items()} == links and sum(links.values()) > 20
+    assert got[200] == (1, 200) and got[201] == (1, 200) and got[202] == (0, 202) and got[210] == (1, 210) and got[211] == (1, 210)
+
+
+def test_embedding_intervals_that_lie_apart_never_meet(spark, monkeypatch):
+    monkeypatch.setattr(embed, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(40, 16))
+    rows = [(i, (base[i // 16] + rng.normal(size=16) * 0.01).tolist(), 1) for i in range(640)]
+    df = spark.createDataFrame(rows, "node long, vector array<double>, label long").selectExpr("*", "1L copies", "xxhash64(node) h1", "xxhash64(node, 1) h2")
+    basis = embed.principal_directions(df)
+    pairs = embed._pairs(embed._order(df, basis, 0.2), 0.2).count()
+    # 40 or a few more intervals (a range bound cuts one), each near itself and its neighbours
+    assert 40 <= pairs <= 4 * 56
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed.near_duplicates(df).collect() == []
