@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -49,7 +50,7 @@ from cohortflow.llm.texts import base_rows, covered, over_texts, requested
 LENGTH = 100
 GRAM = 24  # three eight-byte characters
 BUCKET = 400_000
-SPLITTER_SAMPLE = 1_000_000
+PER_BUCKET = 20  # sampled pieces a splitter is chosen from
 BLOB = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("tag", "<i8"), ("at", "<i4")])
 
 
@@ -130,8 +131,9 @@ def _spans(ids: np.ndarray, tags: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _bucket_sort(splitters: list[tuple], table: pa.Table) -> Iterable[pa.RecordBatch]:
-    """One bucket: spans of equal suffixes, and blocks for tokens that are cut."""
+def _bucket_sort(cuts: dict[int, int], table: pa.Table) -> Iterable[pa.RecordBatch]:
+    """One bucket: spans of equal suffixes, and blocks for tokens that are cut
+    (``cuts``: by how many splitters)."""
     text, n = table.column("text").combine_chunks(), table.column("n").to_numpy().astype(np.int64)
     m, ids, tags = (table.column(c).to_numpy() for c in ("m", "id", "tag"))
     start, off = table.column("start").to_numpy().astype(np.int64), table.column("off").to_numpy().astype(np.int64)
@@ -143,9 +145,6 @@ def _bucket_sort(splitters: list[tuple], table: pa.Table) -> Iterable[pa.RecordB
     later = _later(*equal_suffixes(buf, pos), wid, wtag, at)
     if len(later):
         yield _spans(wid[later], wtag[later], at[later])
-    cuts: dict[int, int] = {}
-    for s in splitters:
-        cuts[s[0]] = cuts.get(s[0], 0) + 1
     cut = np.array([x in cuts for x in m.tolist()], bool)
     first = cut[piece]
     first[later] = False
@@ -176,17 +175,33 @@ def _across(blobs: list[bytes]) -> Iterable[pa.RecordBatch]:
         yield _spans(x["id"][again], x["tag"][again], x["at"][again].astype(np.int64))
 
 
-def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _splitters(asked: DataFrame, pieces: int, buckets: int) -> list[tuple]:
+    """At most ``buckets`` - 1 sorted (token, id, start): the quantiles of a sample
+    of ``PER_BUCKET`` pieces a bucket, ranked where it lies. Only they come here."""
+    each = max(1, pieces // (PER_BUCKET * buckets))
+    key = [F.col("x.m").alias("m"), "id", F.col("x.start").alias("start")]
+    sample = materialize(asked.where(F.pmod(F.xxhash64("id", "tag", "x.start"), F.lit(each)) == 0).select(*key))
+    parts = materialize(sample.repartitionByRange("m", "id", "start").withColumn("b", F.spark_partition_id()))
+    counts = parts.groupBy("b").agg(F.count("*").alias("n"))  # a row a partition
+    line = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select("b", F.coalesce(F.sum("n").over(line), F.lit(0)).alias("off"))
+    rank = F.row_number().over(W.partitionBy("b").orderBy("m", "id", "start")) - 1 + F.col("off")
+    total = sample.count()
+    step = lambda r: F.floor(r * F.lit(buckets) / F.lit(max(1, total)))
+    chosen = parts.join(F.broadcast(before), "b").withColumn("r", rank).where((F.col("r") > 0) & (step(F.col("r")) > step(F.col("r") - 1)))
+    out = sorted(tuple(r) for r in chosen.select("m", "id", "start").collect())
+    release(sample, parts)
+    return out
+
+
+def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, repeated: DataFrame) -> DataFrame:
     """Spans of the suffixes, among the pieces asked for, that equal an earlier
-    one.  ``asked``: (id, tag, x = struct(m, start, n)), written."""
+    one.  ``asked``: (id, tag, x = struct(m, start, n)), written.  ``repeated``:
+    (id, tag) of rows listed more than once; their pieces are cut once."""
     size = asked.agg(F.sum("x.n"), F.count("*")).first()
     buckets = partitions_for(size[0] or 0, BUCKET, 1)
-    # sampled splitters: about 20 a bucket, at most SPLITTER_SAMPLE in all
-    each = max(1, (size[1] or 0) // min(20 * buckets, SPLITTER_SAMPLE))
-    sample = asked.select(F.col("x.m").alias("m"), "id", F.col("x.start").alias("start")).where(F.pmod(F.xxhash64("id", "tag", "x.start"), F.lit(each)) == 0)
-    sample = sorted(tuple(r) for r in sample.limit(2 * SPLITTER_SAMPLE).collect()) if buckets > 1 else []
-    splitters = [sample[len(sample) * k // buckets] for k in range(1, buckets)] if sample else []
-    shared = docs.sparkSession.sparkContext.broadcast(splitters)
+    splitters = _splitters(asked, size[1] or 0, buckets) if buckets > 1 else []
+    shared = docs.sparkSession.sparkContext.broadcast((splitters, Counter(m for m, *_ in splitters)))
 
     def cut(text: bytes, request: list[dict]) -> tuple:
         out, place = [], {}
@@ -197,12 +212,11 @@ def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text
             out.append(row | {"off": place[s] - s, "text": text[s : s + r["n"] + LENGTH - 1]})
         return (out,)
 
-    rows = over_texts(requested(docs, asked, id_col, text_col, "x"), cut, "out array<struct<m:long,start:int,n:int,off:int,text:binary>>")
-    # a row listed twice cuts its pieces twice: the same places, found once
+    rows = over_texts(requested(docs, asked, id_col, text_col, "x", repeated), cut, "out array<struct<m:long,start:int,n:int,off:int,text:binary>>")
     rows = rows.select("id", "tag", F.explode("out").alias("x")).select("id", "tag", "x.*")
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        at = shared.value
+        at = shared.value[0]
         for b in batches:
             keys = zip(b.column("m").to_pylist(), b.column("id").to_pylist(), b.column("start").to_pylist())
             yield b.append_column("bucket", pa.array([bisect_right(at, k) for k in keys], pa.int32()))
@@ -214,7 +228,7 @@ def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text
         for table in whole_runs(batches, ["bucket"]):
             bounds = runs(table.column("bucket").to_numpy())
             for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                yield from _bucket_sort(shared.value, table.slice(s, e - s))
+                yield from _bucket_sort(shared.value[1], table.slice(s, e - s))
 
     out = materialize(dealt.mapInArrow(sort, "id long, tag long, lo int, len int, m long, part int, blob binary"))
 
@@ -231,7 +245,9 @@ def _first_occurrence_spans(docs: DataFrame, asked: DataFrame, id_col: str, text
 
 def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tag, lo, len): merged spans of bytes that are covered."""
-    heads = scanned.select("id", "tag", "n_bytes", "k1", "k2").distinct()
+    heads = scanned.groupBy("id", "tag", "n_bytes", "k1", "k2").agg(F.count("*").alias("times"))
+    repeated = materialize(heads.where("times > 1").select("id", "tag"))
+    heads = heads.drop("times")
     first = heads.groupBy("k1", "k2").agg(F.min(F.struct("id", "tag")).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c")
     copies = materialize(heads.join(first, ["k1", "k2"]).where("id <> f.id or tag <> f.tag").select("id", "tag", "n_bytes"))
     rest = scanned.join(small_side(copies.select("id", "tag"), 16), ["id", "tag"], "left_anti")
@@ -249,10 +265,10 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: s
     asked = materialize(paths.join(small_side(branching, 8), "m").select("f.id", "f.tag", F.struct("m", F.col("f.start").alias("start"), "n").alias("x")))
     release(paths, branching)
     free_shuffles(docs)
-    spans = _merged(again.unionByName(_first_occurrence_spans(docs, asked, id_col, text_col)))
+    spans = _merged(again.unionByName(_first_occurrence_spans(docs, asked, id_col, text_col, repeated)))
     whole = copies.where(F.col("n_bytes") >= LENGTH).select("id", "tag", F.lit(0).alias("lo"), (F.col("n_bytes") - LENGTH + 1).cast("int").alias("len"))
     spans = materialize(spans.unionByName(whole))
-    release(again, asked, copies)
+    release(again, asked, copies, repeated)
     free_shuffles(docs)
     return spans.withColumn("len", F.col("len") + (LENGTH - 1))
 

@@ -52,16 +52,21 @@ def _arrow(t) -> pa.DataType:
     return to_arrow_type(t)
 
 
-def requested(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, items: str) -> DataFrame:
+def requested(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str, items: str, repeated: DataFrame | None = None) -> DataFrame:
     """Documents that ``asked`` names, with the structs they are asked for.
 
     Texts are shuffled to their requests; while the keys asked for are few
-    enough to broadcast, the other texts are left out before the shuffle."""
+    enough to broadcast, the other texts are left out before the shuffle.  Of the
+    rows that ``repeated`` (id, tag) names, only one of each is handed on."""
     lists = materialize(asked.groupBy("id", "tag").agg(F.collect_list(items).alias("request")))
     rows = base_rows(docs, id_col, text_col)
     keys = lists.select("id", "tag")
     if (few := small_side(keys, 16)) is not keys:
         rows = rows.join(few, ["id", "tag"], "left_semi")
+    if repeated is not None and not repeated.isEmpty():
+        many = small_side(repeated, 16)
+        once = rows.join(many, ["id", "tag"], "left_semi").groupBy("id", "tag").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+        rows = rows.join(many, ["id", "tag"], "left_anti").unionByName(once)
     # always a shuffle of the texts asked for, so that its cost follows the input
     return rows.join(lists.hint("merge"), ["id", "tag"]).select("doc_id", "id", "tag", "text", "request")
 

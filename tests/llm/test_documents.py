@@ -8,7 +8,8 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from cohortflow.llm import debruijn, lines, packing, rules, simhash, suffix
+from pyspark.sql import functions as F
+from cohortflow.llm import common, debruijn, lines, packing, rules, simhash, suffix, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = 2**63 - 1
@@ -135,6 +136,39 @@ def test_suffix_array(docs, corpus, bucket, monkeypatch):
     assert got == plain_bytes(corpus) and sum(k[2] for k in got) > 10_000
 
 
+def test_dedup_beyond_every_broadcast_bound(docs, corpus, monkeypatch):
+    small = bag(simhash.near_duplicates(docs).collect())
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(suffix, "BUCKET", 60)
+    assert bag(simhash.near_duplicates(docs).collect()) == small
+    assert bag(suffix.span_report(docs).collect()) == plain_bytes(corpus)
+    want = bag((i, len(w), sum(g), hashlib.sha256(b" ".join(x for x, y in zip(w, g) if not y)).hexdigest()) for i, w, g in words_removed(corpus, 50))
+    assert bag(debruijn.span_report(docs).collect()) == want
+
+
+def test_rows_listed_many_times_are_cut_once(spark, corpus):
+    some = [r for r in corpus if r[0] is None or r[0] < 40]
+    many = some + [some[4], (None, some[9][1], "s")] * 30
+    df = spark.createDataFrame([(i, t) for i, t, _ in many], "doc_id long, text string").repartition(4)
+    assert bag(suffix.span_report(df).collect()) == plain_bytes(many)
+    keys = texts.base_rows(df, "doc_id", "text").select("id", "tag")
+    repeated = keys.groupBy("id", "tag").count().where("count > 1").select("id", "tag")
+    asked = keys.distinct().withColumn("x", F.lit(1))
+    assert repeated.count() >= 2 and texts.requested(df, asked, "doc_id", "text", "x", repeated).count() == asked.count()
+
+
+@pytest.mark.parametrize("buckets", [2, 7, 50])
+def test_splitters_are_quantiles_of_the_pieces(spark, buckets):
+    n = 5000
+    asked = spark.range(n).select("id", F.lit(0).cast("long").alias("tag"), F.struct((F.col("id") * 7919 % n).alias("m"), F.lit(1).alias("start"), F.lit(1).alias("n")).alias("x")).repartition(5)
+    got = suffix._splitters(asked, n, buckets)
+    assert len(got) == buckets - 1 and got == sorted(got)
+    sizes = np.diff([0, *(m for m, _, _ in got), n])
+    assert sizes.max() < 3.5 * n / buckets
+    hot = asked.withColumn("x", F.struct(F.lit(5).cast("long").alias("m"), "x.start", "x.n"))
+    assert len({i for _, i, _ in suffix._splitters(hot, n, buckets)}) == buckets - 1
+
+
 def test_multikey_sort_finds_equal_suffixes():
     rng = np.random.default_rng(1)
     text = rng.integers(97, 99, 3000).astype(np.uint8)
