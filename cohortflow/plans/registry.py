@@ -303,6 +303,7 @@ def inactivity_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- guards and validation
 from cohortflow.operators import guards  # noqa: E402
+from cohortflow.operators.observed import ObservedMatrix  # noqa: E402
 from cohortflow.operators.joins import join_guard_report as _join_guard_report  # noqa: E402
 from cohortflow.schemas import RECOMMENDED_PREDICTORS  # noqa: E402
 
@@ -590,6 +591,23 @@ def evidence_written(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(audit.evidence_long(back).unionByName(counts))
 
 
+@query
+def baseline_written_validated(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 + V10: the Stage 5 matrix written by cutoff, its validation observed on
+    the rows as they were written."""
+    made = ObservedMatrix(stages.baseline_stage5(course_tables(spark, sf)))
+    _src.write_by_cutoff(made.rows, _folder(spark, "baseline"))
+    return made.validation_baseline()
+
+
+@query
+def stage3_written_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 + V8: the Stage 3 matrix written by cutoff, its missing cells observed."""
+    made = ObservedMatrix(stages.stage3_features(course_tables(spark, sf)))
+    _src.write_by_cutoff(made.rows, _folder(spark, "stage3"))
+    return made.missing_by_column()
+
+
 @query
 def model_results_written(spark: SparkSession, sf: str) -> DataFrame:
     """The model summary written as sorted CSV and read back."""

@@ -732,6 +732,10 @@ select cutoff, col as "column", n::bigint as missing_count from (
 where n > 0
 """
 
+# observed while written: the same rows as the checks of the matrix itself
+ORACLE["baseline_written_validated"] = ORACLE["validation_baseline"]
+ORACLE["stage3_written_missing"] = ORACLE["missing_cells_stage3"]
+
 _PRED = [
     "code_module", "code_presentation", "gender", "region", "highest_education", "imd_band", "age_band",
     "num_of_prev_attempts", "studied_credits", "disability", "imd_band_missing", "is_retake",
