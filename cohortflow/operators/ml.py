@@ -135,6 +135,72 @@ def gaussian_nb_predictions(
 # ---------------------------------------------------------------- nearest neighbours
 
 
+def _scale(c: str) -> Column:
+    return F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(1.0))
+
+
+def _home_lines(lines: DataFrame, queries: DataFrame, g: list[str], k: int) -> DataFrame:
+    """(g, qr, r): per integer value that is asked for, its nearest lines up to
+    the one that completes k points. Rows of values only, not of points."""
+    asked = queries.select(*g, "qr").distinct()
+    near = Window.partitionBy(*g, "qr").orderBy(F.abs(F.col("r") - F.col("qr")), "r")
+    held = F.coalesce(F.sum("points").over(near.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return asked.join(lines, g).withColumn("held", held).where(F.col("held") < k).select(*g, "qr", "r")
+
+
+def _lines_within(home: DataFrame, lines: DataFrame, homes: DataFrame, spread: DataFrame, g: list[str], k: int) -> DataFrame:
+    """(g, r, qr, qv): the lines, home lines aside, that may hold a point as near
+    as the query's k-th so far. A query with fewer than k has seen every line."""
+    bound = home.groupBy(*g, "qr", "qv").agg(F.max("dist").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    bound = bound.join(F.broadcast(spread), g)
+    reach = F.ceil(F.sqrt("bound") * _scale("sr")) + 1
+    values = F.sequence(F.greatest("first", F.col("qr") - reach), F.least("last", F.col("qr") + reach))
+    near = bound.where(F.greatest("first", F.col("qr") - reach) <= F.least("last", F.col("qr") + reach)).withColumn("r", F.explode(values))
+    near = near.where(((F.col("r") - F.col("qr")) / _scale("sr")) ** 2 <= F.col("bound"))
+    near = near.join(homes, [*g, "qr", "r"], "left_anti")
+    return near.join(lines, [*g, "r"], "left_semi").select(*g, "r", "qr", "qv")
+
+
+def _nearest(near: DataFrame, spread: DataFrame, g: list[str], k: int) -> DataFrame:
+    """The k best candidates of every query, with their scaled distance."""
+    near = near.join(F.broadcast(spread), g).withColumn(
+        "dist", ((F.col("v") - F.col("qv")) / _scale("sv")) ** 2 + ((F.col("r") - F.col("qr")) / _scale("sr")) ** 2
+    )
+    best = Window.partitionBy(*g, "qr", "qv").orderBy("dist", "key", *E)
+    near = near.withColumn("i", F.row_number().over(best)).where(F.col("i") <= k)
+    return near.select(*g, "qr", "qv", "dist", "key", *E, "y")
+
+
+def _on_lines(train: DataFrame, placed: DataFrame, g: list[str], k: int) -> DataFrame:
+    """Candidates of the queries on lines, ``placed`` (g, r, qr, qv): k points to
+    either side. Ranks come from range partitions with offsets, so a line with a
+    third of all rows is spread over many tasks."""
+    placed = placed.withColumnRenamed("qv", "v")
+    # points before queries at equal values: a query's place is the points up to it
+    none = F.lit(None)
+    both = train.select(*g, "r", "v", F.lit(0).alias("kind"), "key", *E, "y", none.cast("long").alias("qr")).unionByName(
+        placed.select(*g, "r", "v", F.lit(1).alias("kind"), none.cast("long").alias("key"), *[none.cast(train.schema[c].dataType).alias(c) for c in E], none.cast("long").alias("y"), "qr")
+    )
+    sorted_ = materialize(both.repartitionByRange(*g, "r", "v", "kind", "key", *E).withColumn("_b", F.spark_partition_id()), "knn-lines")
+    is_point = F.when(F.col("kind") == 0, 1).otherwise(0)
+    before = Window.partitionBy(*g, "r").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per line and partition it touches
+    offsets = sorted_.groupBy(*g, "r", "_b").agg(F.sum(is_point).alias("_n"))
+    offsets = offsets.select(*g, "r", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*g, "r", "_b").orderBy("v", "kind", "key", *E).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sorted_.join(offsets, [*g, "r", "_b"]).withColumn("rank", F.col("_off") + F.sum(is_point).over(inside))
+    # within a point the ranks ascend by key; to its left they must descend
+    size = Window.partitionBy(*g, "r", "v")
+    points = ranked.where("kind = 0").select(*g, "r", "v", "key", *E, "y", "rank")
+    points = points.withColumn("mirror", F.min("rank").over(size) + F.max("rank").over(size) - F.col("rank"))
+    asked = ranked.where("kind = 1").select(*g, "r", F.col("v").alias("qv"), "qr", "rank")
+    left = asked.withColumn("want", F.explode(F.sequence(F.col("rank") - (k - 1), F.col("rank"))))
+    right = asked.withColumn("want", F.explode(F.sequence(F.col("rank") + 1, F.col("rank") + k)))
+    return left.drop("rank").join(points.withColumn("want", F.col("mirror")), [*g, "r", "want"]).unionByName(
+        right.drop("rank").join(points.withColumn("want", F.col("rank")), [*g, "r", "want"])
+    )
+
+
 def knn_predictions(
     folded: DataFrame,
     value: str,
@@ -149,13 +215,14 @@ def knn_predictions(
 
     Training points of one integer value lie on a line, sorted by ``value``: the
     k nearest of a query among them are within k places of where the query
-    would stand. So each distinct query is placed on every line of its (cutoff,
-    held-out fold) by rank, meets at most 2k points there (an equi-join on
-    ranks), and keeps its k best: no pair of rows is formed beyond that.
+    would stand (``_on_lines``). Each distinct query visits its home lines
+    first, the nearest ones that hold k points together (mostly its own): their
+    k-th distance bounds the lines that are left to visit, and only those within
+    it are. Every visit is an equi-join on ranks and meets at most 2k points; no
+    pair of rows is formed beyond that.
     Neighbours are ordered by distance, then key; equal points keep their k
     smallest keys (a limit that is applied before the shuffle), which can never
-    lose a neighbour. Ranks come from range partitions with offsets, so a line
-    with a third of all rows is spread over many tasks.
+    lose a neighbour.
 
     Score is the positive share of the k neighbours, prediction its majority."""
     g = ["cutoff", "held_out"]
@@ -164,9 +231,6 @@ def knn_predictions(
         F.col(label).cast("long").alias("y"), F.col(key).alias("key"),
     )
     others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_folds - 1).cast("long")), lambda h: h != F.col("fold"))
-    spread = x.select("cutoff", F.explode(others).alias("held_out"), "v", "r").groupBy(*g).agg(
-        F.stddev_pop("v").alias("sv"), F.stddev_pop("r").alias("sr")
-    )
     # the k smallest keys of each point and fold, then of each point and held-out fold
     point = Window.partitionBy("cutoff", "fold", "r", "v").orderBy("key", *E)
     top = x.withColumn("i", F.row_number().over(point)).where(F.col("i") <= k)
@@ -174,40 +238,21 @@ def knn_predictions(
     point = Window.partitionBy(*g, "r", "v").orderBy("key", *E)
     train = materialize(top.withColumn("i", F.row_number().over(point)).where(F.col("i") <= k), "knn-points").drop("i")
     queries = x.select("cutoff", F.col("fold").alias("held_out"), F.col("r").alias("qr"), F.col("v").alias("qv")).distinct()
-    lines = train.select(*g, "r").distinct()  # one row per integer value of a fold
-    placed = queries.join(lines, g).select(*g, "r", F.col("qv").alias("v"), "qr")
-
-    # points before queries at equal values: a query's place is the points up to it
-    none = F.lit(None)
-    both = train.select(*g, "r", "v", F.lit(0).alias("kind"), "key", *E, "y", none.cast("long").alias("qr")).unionByName(
-        placed.select(*g, "r", "v", F.lit(1).alias("kind"), none.cast("long").alias("key"), *[none.cast(train.schema[c].dataType).alias(c) for c in E], none.cast("long").alias("y"), "qr")
-    )
-    sorted_ = materialize(both.repartitionByRange(*g, "r", "v", "kind", "key", *E).withColumn("_b", F.spark_partition_id()), "knn-lines")
-    is_point = F.when(F.col("kind") == 0, 1).otherwise(0)
-    before = Window.partitionBy(*g, "r").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per line and partition it touches
-    offsets = sorted_.groupBy(*g, "r", "_b").agg(F.sum(is_point).alias("_n"))
-    offsets = offsets.select(*g, "r", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*g, "r", "_b").orderBy("v", "kind", "key", *E).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sorted_.join(offsets, [*g, "r", "_b"]).withColumn("rank", F.col("_off") + F.sum(is_point).over(inside))
-    # within a point the ranks ascend by key; to its left they must descend
-    size = Window.partitionBy(*g, "r", "v")
-    points = ranked.where("kind = 0").select(*g, "r", "v", "key", *E, "y", "rank")
-    points = points.withColumn("mirror", F.min("rank").over(size) + F.max("rank").over(size) - F.col("rank"))
-    asked = ranked.where("kind = 1").select(*g, "r", F.col("v").alias("qv"), "qr", "rank")
-    left = asked.withColumn("want", F.explode(F.sequence(F.col("rank") - (k - 1), F.col("rank"))))
-    right = asked.withColumn("want", F.explode(F.sequence(F.col("rank") + 1, F.col("rank") + k)))
-    near = left.drop("rank").join(points.withColumn("want", F.col("mirror")), [*g, "r", "want"]).unionByName(
-        right.drop("rank").join(points.withColumn("want", F.col("rank")), [*g, "r", "want"])
-    )
-    scale = lambda c: F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(1.0))
-    # groups x folds rows (bounded)
-    near = near.join(F.broadcast(spread), g).withColumn(
-        "dist", ((F.col("v") - F.col("qv")) / scale("sv")) ** 2 + ((F.col("r") - F.col("qr")) / scale("sr")) ** 2
+    # groups x folds rows (bounded), and one row per integer value of them
+    spread = x.select("cutoff", F.explode(others).alias("held_out"), "v", "r").groupBy(*g).agg(
+        F.stddev_pop("v").alias("sv"), F.stddev_pop("r").alias("sr"), F.min("r").alias("first"), F.max("r").alias("last")
     )
+    spread = materialize(spread, "knn-spread")
+    lines = train.groupBy(*g, "r").agg(F.count(F.lit(1)).alias("points"))
+    homes = materialize(_home_lines(lines, queries, g, k), "knn-homes")
+
+    first = queries.join(homes, [*g, "qr"]).select(*g, "r", "qr", "qv")
+    home = materialize(_nearest(_on_lines(train, first, g, k), spread, g, k), "knn-home")
+    rest = _lines_within(home, lines, homes, spread, g, k)
+    more = _nearest(_on_lines(train, rest, g, k), spread, g, k)
     best = Window.partitionBy(*g, "qr", "qv").orderBy("dist", "key", *E)
     voted = (
-        near.withColumn("i", F.row_number().over(best)).where(F.col("i") <= k)
+        home.unionByName(more).withColumn("i", F.row_number().over(best)).where(F.col("i") <= k)
         .groupBy(*g, "qr", "qv").agg(F.avg("y").alias("score"))
     )
     rows = x.join(voted.withColumnsRenamed({"held_out": "fold", "qr": "r", "qv": "v"}), ["cutoff", "fold", "r", "v"])

@@ -232,6 +232,33 @@ def test_knn_equals_all_pairs(spark):
         assert got[i] == pytest.approx(sum(x[7] for x in best) / 5), i
 
 
+def test_knn_visits_only_lines_within_the_bound(spark, monkeypatch):
+    """20 lines of 60 points in a fold, so far apart in scaled distance that a
+    query's home line bounds most others. Values with too few points reach to
+    further lines, sparse folds to all."""
+    rng = __import__("random").Random(4)
+    rows = [("week5", i % 2, "AAA", "2013J", i, rng.uniform(0, 1), i // 120 * 12, i % 2) for i in range(2400)]
+    rows += [("week7", i % 2, "AAA", "2013J", i, float(i), 10 * i, i % 2) for i in range(6)]
+    rows += [("week5", i % 2, "AAA", "2013J", 9000 + i, 0.5, 260 + i, i % 2) for i in range(8)]
+    df = spark.createDataFrame(rows, "cutoff string, fold long, code_module string, code_presentation string, id_student long, v double, r long, target_at_risk long")
+    placed, plain = [], ml._on_lines
+
+    def counted(train, asked, g, k):
+        placed.append(asked.count())
+        return plain(train, asked, g, k)
+
+    monkeypatch.setattr(ml, "_on_lines", counted)
+    got = {(x.cutoff, x.id_student): x.score for x in ml.knn_predictions(df, "v", "r").collect()}
+    assert len(got) == len(rows) and placed[0] < 1.1 * len(rows) and placed[1] < 2 * len(rows)  # of 20 a row
+    import statistics
+
+    for cutoff, fold, _, _, i, v, r, _ in rows[:40] + rows[2400:]:
+        train = [x for x in rows if x[0] == cutoff and x[1] != fold]
+        sv, sr = (statistics.pstdev(float(x[k]) for x in train) for k in (5, 6))
+        best = sorted(train, key=lambda x: (((round(x[5], 6) - round(v, 6)) / sv) ** 2 + ((x[6] - r) / sr) ** 2, x[4]))[:5]
+        assert got[cutoff, i] == pytest.approx(sum(x[7] for x in best) / len(best)), (cutoff, i)
+
+
 def test_dropping_a_block_names_absent_columns(spark):
     from cohortflow.operators.baseline import without_blocks
 
