@@ -87,6 +87,34 @@ def test_extraction_drops_the_parts_around_an_article(weights):
     assert html_crf.extract(page, *weights[1], {}) == "A headline of the day\nFirst paragraph of the story, with some words.\nSecond one & more text in it."
 
 
+def test_hand_labelled_pages(spark):
+    """Words of the article found, and words found that are of the article, with
+    the production model (fitted on a pages table). Measured: precision 0.955,
+    recall 0.829; nearly all that is missed are the paragraphs of one page whose
+    paragraphs are div elements (composed training pages rarely have such)."""
+    import html
+    import re
+    from collections import Counter
+
+    from hand_labelled import PAGES
+
+    rows, truth = [], {}
+    for i, (name, source) in enumerate(PAGES.items()):
+        lines = [(line[0], line[2:]) for line in source.strip().split("\n")]
+        rows.append((i, name, "\n".join(x for _, x in lines)))
+        kept = (html.unescape(re.sub(r"<[^>]*>", "", x)) for mark, x in lines if mark == "+")
+        truth[name] = Counter(" ".join(kept).split())
+    weights = html_crf.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    got = {r.url: Counter(r.text.split()) for r in html_crf.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), weights=weights).collect()}
+    both = {n: (got[n] & truth[n]).total() for n in truth}
+    for n in truth:
+        print(f"{n}: precision {both[n] / max(1, got[n].total()):.3f}, recall {both[n] / max(1, truth[n].total()):.3f}")
+    precision = sum(both.values()) / sum(x.total() for x in got.values())
+    recall = sum(both.values()) / sum(x.total() for x in truth.values())
+    print(f"all: precision {precision:.3f}, recall {recall:.3f}")
+    assert precision > 0.94 and recall > 0.82
+
+
 def test_extract_pages_edges(spark, weights):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "v", "<article><p>A long enough text, in a paragraph of it.</p></article>", 1), (3, "w", "<nav><a>x</a></nav>", 1), (3, "w", "<nav><a>x</a></nav>", 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
