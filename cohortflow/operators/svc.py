@@ -5,6 +5,8 @@ label, with the box [0, C * copies] (equal points share one variable exactly), i
 alpha and u = sum of alpha y K over all variables.  Held-out points are rows with
 an empty box; their u is their decision value.
 
+A fit of more than ``WORKING_SET`` variables of two labels starts from the solution
+that ``svc_smooth`` finds in passes over them, which mostly leaves no round to do.
 Each round takes the ``WORKING_SET`` variables of every fit that violate the
 optimality conditions most, solves the dual over them to the tolerance (sequential
 minimal optimisation with second-order pairs; the other alphas stand still), and
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators import svc_smooth
 from cohortflow.schemas import ENTITY_KEY
 from cohortflow.session import materialize
 
@@ -156,6 +159,10 @@ def dual_solution(state: DataFrame, n_features: int, tolerance: float = TOLERANC
     """The state at the optimum, and (fit, b)."""
     zs = [f"z{k}" for k in range(n_features)]
     state = materialize(state, "svc-state")
+    sizes = state.where("y is not null").groupBy(*FIT).agg(F.count("*").alias("n"), F.count_distinct("y").alias("labels"), F.first("gamma").alias("gamma"), F.sum("cap").alias("caps"))
+    many = sizes.where((F.col("n") > WORKING_SET) & (F.col("labels") > 1)).collect()  # fits
+    if many:
+        state = materialize(svc_smooth.smooth_solution(state, zs, {(r.cutoff, r.held_out): (r.gamma, r.caps) for r in many}, tolerance), "svc-state")
     for _ in range(ROUNDS):
         edges = _sides(state).groupBy(*FIT).agg(F.max(F.when(F.col("up"), F.col("f"))).alias("top"), F.min(F.when(F.col("low"), F.col("f"))).alias("bottom"))
         left = [(r.cutoff, r.held_out) for r in edges.where(F.col("top") - F.col("bottom") > tolerance).collect()]  # fits

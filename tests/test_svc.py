@@ -63,3 +63,41 @@ def test_one_class_and_a_feature_without_spread(spark):
     df = spark.createDataFrame(rows, "cutoff string, code_module string, code_presentation string, id_student long, a double, b long, target_at_risk int, fold long")
     got = svc.svc_predictions(df, ["a", "b"], n_folds=2).collect()
     assert len(got) == 20 and {r.score for r in got if r.fold == 1} == {1.0}  # its training rows are all positive
+
+
+def conditions_gap(rows):
+    """How much a pair of variables violates the optimality conditions, by the exact kernel."""
+    rows = [r for r in rows if r.y is not None]
+    z, y, cap, alpha = np.array([[r.z0, r.z1] for r in rows]), *(np.array([float(r[c]) for r in rows]) for c in ("y", "cap", "alpha"))
+    assert (alpha >= 0).all() and (alpha <= cap).all() and abs((alpha * y).sum()) < 1e-4
+    f = y - np.exp(-rows[0].gamma * ((z[:, None] - z[None]) ** 2).sum(-1)) @ (alpha * y)
+    up, low = np.where(y > 0, alpha < cap, alpha > 0), np.where(y > 0, alpha > 0, alpha < cap)
+    return f[up].max() - f[low].min()
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    rng = random.Random(9)
+    rows = []
+    for cutoff in ("week5", "week10"):
+        rows += [(cutoff, "m", "p", i, round(a := rng.expovariate(0.5), 4), b := rng.randint(0, 9), int(a + b / 3 + rng.gauss(0, 1.5) > 3.5), i % 2) for i in range(1400)]
+        rows += [(cutoff, "m", "p", 2000 + i, 0.0, 0, int(i % 5 < 2), i % 2) for i in range(900)]  # a crowded point of both labels
+    return spark.createDataFrame(rows, "cutoff string, code_module string, code_presentation string, id_student long, a double, b long, target_at_risk int, fold long").repartition(5)
+
+
+@pytest.mark.parametrize("pivots", [1024, 8])
+def test_fits_of_many_variables_need_no_rounds(many, pivots, monkeypatch):
+    """A number of passes that does not grow with the variables; too few pivots leave the rounds."""
+    monkeypatch.setattr(svc, "WORKING_SET", 128 if pivots == 1024 else 640)
+    monkeypatch.setattr(svc.svc_smooth, "MOST_PIVOTS", pivots)
+    rounds, solved = [], svc._solved
+    monkeypatch.setattr(svc, "_solved", lambda *a: rounds.append(1) or solved(*a))
+    some = many if pivots == 1024 else many.where("cutoff = 'week5'")
+    start, _ = svc.scaled_variables(some, ["a", "b"], "target_at_risk", 2, 1.0)
+    state, bias = svc.dual_solution(start, 2)
+    rows = state.collect()
+    fits = {(r.cutoff, r.held_out) for r in rows}
+    assert len(fits) == bias.count() == (4 if pivots == 1024 else 2)
+    for fit in fits:
+        assert conditions_gap([r for r in rows if (r.cutoff, r.held_out) == fit]) <= svc.TOLERANCE * 1.01
+    assert (len(rounds) == 0) == (pivots == 1024)
