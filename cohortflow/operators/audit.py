@@ -147,13 +147,25 @@ def event_key_groups(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame
     return collapse_events(log.select(*spec.event_key, spec.measure), spec)
 
 
+def dup_totals(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
+    """Per number of rows that a key group has after exact dedup: groups, rows and
+    click totals. A9 and A12 are sums of these few rows."""
+    return event_key_groups(log, spec).groupBy("dedup_rows").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("raw_rows").alias("raw_rows"),
+        F.sum("clicks_raw").alias("clicks_raw"), F.sum("clicks_sum").alias("clicks_sum"), F.sum("clicks_max").alias("clicks_max"),
+    )
+
+
 def dup_group_sizes(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
     """After exact dedup, how many key groups have each size > 1."""
-    g = event_key_groups(log, spec).where("dedup_rows > 1")
+    return _group_sizes(dup_totals(log, spec))
+
+
+def _group_sizes(totals: DataFrame) -> DataFrame:
     # O2: by group size
     return (
-        g.groupBy(F.col("dedup_rows").alias("group_size"))
-        .agg(F.count(F.lit(1)).alias("group_count"))
+        totals.where("dedup_rows > 1")
+        .select(F.col("dedup_rows").alias("group_size"), F.col("groups").alias("group_count"))
         .orderBy("group_size")
     )
 
@@ -199,19 +211,22 @@ DUP_METRICS = [
 def dup_summary(log: DataFrame, spec: EntitySpec = COURSE_LOG) -> DataFrame:
     """The 12 duplicate metrics as (metric, value) from one aggregate
     over the event-key grain."""
-    g = event_key_groups(log, spec)
-    raw, dd = F.col("raw_rows"), F.col("dedup_rows")
-    one = g.agg(
+    return _summary(dup_totals(log, spec))
+
+
+def _summary(totals: DataFrame) -> DataFrame:
+    raw, dd, n = F.col("raw_rows"), F.col("dedup_rows"), F.col("groups")
+    repeated = F.sum(F.when(dd > 1, n))
+    one = totals.agg(
         F.sum(raw).alias("total_rows"),
-        F.sum(raw - dd).alias("exact_duplicate_rows"),
-        F.sum(raw - 1).alias("key_duplicate_rows"),
-        F.sum(dd).alias("rows_after_exact_duplicate_removal"),
-        F.sum(dd - 1).alias("remaining_key_duplicate_rows_after_exact_removal"),
-        F.count_if(dd > 1).alias("duplicated_key_groups_after_exact_removal"),
-        F.count_if(F.col("distinct_values") > 1).alias("all_key_groups_with_different_sum_click_after_exact_removal"),
-        F.count_if((dd > 1) & (F.col("distinct_values") > 1)).alias(
-            "duplicated_key_groups_with_different_sum_click_after_exact_removal"
-        ),
+        F.sum(raw - dd * n).alias("exact_duplicate_rows"),
+        F.sum(raw - n).alias("key_duplicate_rows"),
+        F.sum(dd * n).alias("rows_after_exact_duplicate_removal"),
+        F.sum((dd - 1) * n).alias("remaining_key_duplicate_rows_after_exact_removal"),
+        repeated.alias("duplicated_key_groups_after_exact_removal"),
+        # rows of a key that differ after exact dedup differ in their clicks
+        repeated.alias("all_key_groups_with_different_sum_click_after_exact_removal"),
+        repeated.alias("duplicated_key_groups_with_different_sum_click_after_exact_removal"),
         F.sum("clicks_raw").alias("raw_total_clicks"),
         F.sum("clicks_sum").alias("total_clicks_after_exact_duplicate_removal"),
         F.sum("clicks_sum").alias("total_clicks_after_key_aggregation_sum"),
@@ -593,16 +608,19 @@ def integrity_audit(tables: Mapping[str, DataFrame], log_name: str = "student_vl
     # small results that both the sections and the risk rules read: each is
     # computed once and written
     keys = materialize(key_uniqueness(tables), "audit-keys")
-    dups = materialize(dup_summary(tables[log_name]), "audit-duplicates")
+    facts = materialize(table_facts(tables), "audit-facts")  # one scan a table for three sections
+    totals = materialize(dup_totals(tables[log_name]), "audit-duplicates")
+    dups = _summary(totals)
     refs = materialize(referential_integrity(tables), "audit-references")
-    flags = materialize(range_flags(tables), "audit-flags")
+    flags = facts.select("table", F.inline("flags")).where("n > 0").withColumnRenamed("n", "count")
+    missing = facts.select("table", F.inline("missing")).where("n > 0").withColumnRenamed("n", "missing_count")
     outcomes = target_grouping_sets(tables["student_info"]).withColumn(
         "group", F.concat_ws(".", "grouping", "code_module", "code_presentation", "final_result")
     )
     profile = column_profile(tables)
     parts = [
-        long(table_shapes(tables), "table_shapes", F.col("table"), ["rows", "columns"]),
-        long(missing_profile(tables), "missing_values", F.concat_ws(".", "table", "column"), ["missing_count"]),
+        long(facts, "table_shapes", F.col("table"), ["rows", "columns"]),
+        long(missing, "missing_values", F.concat_ws(".", "table", "column"), ["missing_count"]),
         long(keys, "key_uniqueness", F.col("table"), ["duplicated_rows_by_key", "duplicated_key_groups"]),
         dups.select(
             _lit_str("duplicate_summary").alias("section"),
@@ -610,7 +628,7 @@ def integrity_audit(tables: Mapping[str, DataFrame], log_name: str = "student_vl
             "metric",
             F.col("value").cast("double").alias("value"),
         ),
-        long(dup_group_sizes(tables[log_name]), "duplicate_group_sizes", F.col("group_size"), ["group_count"]),  # A9
+        long(_group_sizes(totals), "duplicate_group_sizes", F.col("group_size"), ["group_count"]),  # A9
         long(refs, "referential_integrity", F.col("check"), ["both", "left_only", "right_only"]),
         long(
             profile,
